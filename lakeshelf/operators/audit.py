@@ -8,19 +8,19 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from lakeshelf.operators.tables import Lake
 
 # Names and columns of the audit tables.
 INGESTION_AUDIT = "bronze.ingestion_audit"
 QUALITY_AUDIT = "bronze.quality_audit"
-INGESTION_COLUMNS = T.StructType.fromDDL(
+INGESTION_COLUMNS = (
     "run_id string, source_id string, source_type string, status string, rows_extracted bigint, "
     "rows_written bigint, duration_seconds double, started_at timestamp, finished_at timestamp, "
     "errors string, created_at timestamp"
 )
-QUALITY_COLUMNS = T.StructType.fromDDL(
+QUALITY_COLUMNS = (
     "run_id string, source_id string, check_type string, check_column string, passed boolean, "
     "failed_rows bigint, total_rows bigint, failure_rate double, details string, checked_at timestamp"
 )
@@ -71,7 +71,7 @@ def record_runs(lake: Lake, results: Sequence[RunResult]) -> int:
 
 def record_checks(lake: Lake, report: DataFrame) -> int:
     """Append a quality report, by column name."""
-    return lake.append(report.select(*QUALITY_COLUMNS.names), QUALITY_AUDIT)
+    return lake.append(report, QUALITY_AUDIT)
 
 
 def ingestion_summary(runs: DataFrame) -> DataFrame:

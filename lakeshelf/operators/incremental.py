@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakeshelf.operators.tables import Lake, _quoted, qualify, same_types
-from lakeshelf.session import scratch_path, staged
+from lakeshelf.operators.tables import Lake, _quoted, qualify
+from lakeshelf.session import staged
 
 
 def newest(lake: Lake, table: str, column: str):
@@ -18,6 +18,37 @@ def newest(lake: Lake, table: str, column: str):
     return lake.read(table).agg(F.max(column)).first()[0]
 
 
+def month_start(day: date) -> date:
+    return day.replace(day=1)
+
+
+def with_month(df: DataFrame, day: str = "date_key", name: str = "month_key") -> DataFrame:
+    """Add the month a row belongs to. Facts are partitioned by it: they hold few rows a
+    day, and a folder per day would be a tiny file per day."""
+    return df.withColumn(name, F.trunc(day, "month"))
+
+
+def replace_days(
+    lake: Lake,
+    table: str,
+    fresh: DataFrame,
+    first_day: date,
+    day: str,
+    partition_by: str,
+    partition_start: Callable[[date], date] = month_start,
+) -> int:
+    """Replace all target rows from ``first_day`` on by ``fresh``.
+
+    ``partition_start`` gives the partition a day lies in. Partitions that begin before
+    ``first_day`` keep their earlier rows; only that partition of the target is read.
+    """
+    start = partition_start(first_day)
+    if start < first_day:
+        kept = lake.read(table).where((F.col(partition_by) == F.lit(start)) & (F.col(day) < F.lit(first_day)))
+        fresh = fresh.unionByName(kept, allowMissingColumns=True)
+    return lake.overwrite_partitions(fresh, table, [partition_by])
+
+
 def load(
     lake: Lake,
     table: str,
@@ -25,21 +56,24 @@ def load(
     build: Callable[[DataFrame], DataFrame],
     source_column: str,
     target_column: str,
+    day: str,
     partition_by: str,
     lookback_days: int | None = None,
+    time_column: str | None = None,
+    partition_start: Callable[[date], date] = month_start,
 ) -> int:
-    """Build and store only what is newer than the target.
+    """Build and store only what is newer than the target; returns the rows written.
 
     The newest target value is fetched first (one value), so the source filter is a
-    literal that reaches the scan and prunes partitions.
+    literal. Where ``source_column`` is computed (an hour or a day), name the raw time in
+    ``time_column``: the bound then also reaches the scan and skips files.
 
     Without ``lookback_days`` only source rows *strictly* newer than the target are
     read; their keys are new by definition, so the result is appended. A group that was
     half full keeps its old row, and late rows are left out.
 
-    With it, whole days are rebuilt from ``lookback_days`` before the newest day on and
-    their partitions replaced, which also picks up late rows. ``partition_by`` must be
-    the day of ``target_column``.
+    With it, the days from ``lookback_days`` before the newest one on are built again and
+    replaced, which also picks up late rows.
 
     An absent or empty target gets a full load.
     """
@@ -47,13 +81,17 @@ def load(
     if high is None:
         return lake.overwrite(build(source), table, [partition_by])
     if lookback_days is None:
+        if time_column:
+            source = source.where(F.col(time_column) >= F.lit(high))
         fresh = build(source.where(F.col(source_column) > F.lit(high)))
         sync_columns(lake, table, fresh)
         return lake.append(fresh, table, [partition_by])
-    first_day = newest(lake, table, partition_by) - timedelta(days=lookback_days)
+    first_day = newest(lake, table, day) - timedelta(days=lookback_days)
+    if time_column:
+        source = source.where(F.col(time_column) >= F.lit(first_day))
     fresh = build(source.where(F.to_date(source_column) >= F.lit(first_day)))
     sync_columns(lake, table, fresh)
-    return lake.overwrite_partitions(fresh, table, [partition_by])
+    return replace_days(lake, table, fresh, first_day, day, partition_by, partition_start)
 
 
 def replace_by_key(lake: Lake, table: str, delta: DataFrame, key: Sequence[str], partition_by: str) -> int:
@@ -107,9 +145,8 @@ def column_change(lake: Lake, table: str, wanted: DataFrame) -> ColumnChange:
 def sync_columns(lake: Lake, table: str, wanted: DataFrame) -> ColumnChange:
     """Make the columns of the table those of ``wanted``.
 
-    Adding columns only changes the catalog. Removing or retyping one rewrites the
-    table, by way of a copy in the shared scratch folder, because Parquet tables
-    cannot drop a column in place.
+    Adding columns only changes the catalog. Removing or retyping one writes a new
+    version of the table, because Parquet tables cannot drop a column in place.
     """
     change = column_change(lake, table, wanted)
     if not change.any:
@@ -126,10 +163,5 @@ def sync_columns(lake: Lake, table: str, wanted: DataFrame) -> ColumnChange:
         (F.col(f"`{f.name}`").cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in wanted.schema.fields
     ]
-    copy = scratch_path(lake.spark, "sync")
-    current.select(*select).write.parquet(copy)
-    lake.overwrite(lake.spark.read.schema(wanted.schema).parquet(copy), name, parts)
+    lake.overwrite(current.select(*select), name, parts)
     return change
-
-
-__all__ = ["ColumnChange", "column_change", "load", "newest", "replace_by_key", "same_types", "sync_columns"]

@@ -7,11 +7,12 @@ second time to be counted.
 from __future__ import annotations
 
 import threading
+import uuid
 from collections import defaultdict
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 LAYERS = ("bronze", "silver", "gold", "staging")
 
@@ -30,13 +31,15 @@ def qualify(name: str, schema: str | None = None) -> str:
 class Lake:
     """The layer databases of one session.
 
-    ``root`` places the tables below a folder (``root/layer/table``) as external tables;
-    left out, they are managed by the catalog.
+    Tables are Parquet files below ``root/layer/table/<version>``, by default in the
+    warehouse folder of the session. A full overwrite writes a new version folder and
+    then points the catalog at it, so a failed write leaves the old table in place and a
+    table may be overwritten with a query over itself.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.root = root.rstrip("/") if root else None
+        self.root = (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
         # Two jobs that commit to one folder at a time can remove each other's files.
         self._locks: dict[str, threading.RLock] = defaultdict(threading.RLock)
 
@@ -46,8 +49,10 @@ class Lake:
         for layer in LAYERS:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
 
-    def location(self, name: str) -> str | None:
-        return f"{self.root}/{qualify(name).replace('.', '/')}" if self.root else None
+    def location(self, name: str) -> str:
+        """The folder of a table's current version."""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {qualify(name)}")
+        return described.where("col_name = 'Location'").first()["data_type"]
 
     def exists(self, name: str, schema: str | None = None) -> bool:
         return self.spark.catalog.tableExists(qualify(name, schema))
@@ -82,13 +87,37 @@ class Lake:
 
     # ---- writes -----------------------------------------------------------
 
-    def _writer(self, df: DataFrame, name: str, partition_by: Sequence[str]):
-        writer = df.write.format("parquet")
+    def _prepared(self, df: DataFrame, partition_by: Sequence[str]):
+        """The frame to write, counted, and a function that gives the count.
+
+        Partitioned writes are rebalanced first: without it every task would write a file
+        into every partition. AQE splits a partition that is too large for one task, so a
+        day that holds a third of the rows is written by many. The counter sits behind
+        that shuffle, in the tasks that write, where a retry does not count twice.
+        """
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        if self.location(name):
-            writer = writer.option("path", self.location(name))
-        return writer
+            df = df.hint("rebalance", *_quoted(partition_by))
+        seen = Observation()
+        return df.observe(seen, F.count(F.lit(1)).alias("n")), lambda: int(seen.get["n"])
+
+    def _register(self, table: str, schema: T.StructType, path: str, partition_by: Sequence[str]) -> None:
+        """Point the catalog at a folder of Parquet files."""
+        order = [c for c in schema.names if c not in partition_by] + list(partition_by)
+        columns = ", ".join(f"{_name(c)} {schema[c].dataType.simpleString()}" for c in order)
+        parts = f"PARTITIONED BY ({', '.join(map(_name, partition_by))})" if partition_by else ""
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        # an overwriting insert replaces only the partitions it has rows for
+        self.spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet "
+            f"OPTIONS (partitionOverwriteMode 'dynamic') {parts} LOCATION '{path}'"
+        )
+        if partition_by:
+            self.spark.sql(f"MSCK REPAIR TABLE {table}")
+
+    def _delete(self, path: str) -> None:
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     def append(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int:
         """Append by column name, creating the table if needed; returns the row count.
@@ -96,30 +125,31 @@ class Lake:
         New columns of ``df`` are an error here; ``incremental.sync_columns`` adds them.
         """
         table = qualify(name)
-        counted, rows = _counted(df)
         with self._locks[table]:
             if not self.exists(table):
-                self._writer(counted, table, partition_by).mode("append").saveAsTable(table)
-                return rows()
+                return self.overwrite(df, table, partition_by)
             kept = self.columns(table)
             extra = sorted(set(df.columns) - set(kept))
             if extra:
                 raise ValueError(f"{table} has no column {', '.join(extra)}")
             absent = {c: F.lit(None) for c in kept if c not in df.columns}
-            counted.withColumns(absent).select(*_quoted(kept)).write.insertInto(table)
+            filled = df.withColumns(absent) if absent else df
+            counted, rows = self._prepared(filled.select(*_quoted(kept)), self.partition_columns(table))
+            counted.write.insertInto(table)
         return rows()
 
     def overwrite(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int:
         """Replace the whole table; returns the row count."""
         table = qualify(name)
-        counted, rows = _counted(df)
+        counted, rows = self._prepared(df, partition_by)
+        path = f"{self.root}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
         with self._locks[table]:
-            (
-                self._writer(counted, table, partition_by)
-                .mode("overwrite")
-                .option("partitionOverwriteMode", "static")
-                .saveAsTable(table)
-            )
+            old = self.location(table) if self.exists(table) else None
+            writer = counted.write.partitionBy(*partition_by) if partition_by else counted.write
+            writer.parquet(path)
+            self._register(table, df.schema, path, partition_by)
+            if old:
+                self._delete(old)
         return rows()
 
     def write(self, df: DataFrame, name: str, mode: str = "append", partition_by: Sequence[str] = ()) -> int:
@@ -139,13 +169,9 @@ class Lake:
             return self.overwrite(df, table, partition_by)
         if self.partition_columns(table) != list(partition_by):
             raise ValueError(f"{table} is partitioned by {self.partition_columns(table)}, not {partition_by}")
-        counted, rows = _counted(df)
+        counted, rows = self._prepared(df.select(*_quoted(self.columns(table))), partition_by)
         with self._locks[table]:
-            (
-                counted.select(*_quoted(self.columns(table)))
-                .write.option("partitionOverwriteMode", "dynamic")
-                .insertInto(table, overwrite=True)
-            )
+            counted.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
         return rows()
 
     # ---- views ------------------------------------------------------------
@@ -159,17 +185,9 @@ class Lake:
         self.spark.sql(f"CREATE OR REPLACE VIEW {qualify(name)} AS {sql}")
 
 
-def _quoted(names: Sequence[str]) -> list[Column]:
-    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
-
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
 
-def _counted(df: DataFrame):
-    """``df`` with a row counter, and a function that reads it after the write."""
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("n")), lambda: int(seen.get["n"])
 
-
-def same_types(a: DataFrame, b: DataFrame) -> bool:
-    """The columns the two frames share have the same types."""
-    types = {f.name: f.dataType for f in b.schema.fields}
-    return all(types.get(f.name, f.dataType) == f.dataType for f in a.schema.fields)
+def _quoted(names: Sequence[str]) -> list[Column]:
+    return [F.col(_name(n)) for n in names]

@@ -19,9 +19,9 @@ from lakeshelf.sources import messages
 
 # Message fields and what they are called in the bronze table, the
 # defaults of absent fields, and the names the intake writes.
-MESSAGE_FIELDS = T.StructType.fromDDL(
-    "event_id string, event_type string, sensor_id string, location_id string, latitude double, "
-    "longitude double, timestamp string, value double, unit string, payload string"
+MESSAGE_FIELDS = (
+    "event_id", "event_type", "sensor_id", "location_id", "latitude", "longitude", "timestamp", "value", "unit",
+    "payload",
 )
 UNKNOWN_TYPE = "unknown"
 EMPTY_PAYLOAD = "{}"
@@ -51,7 +51,7 @@ def project(envelope: DataFrame, batch_id: Column | None = None, now: Column | N
     make the whole message unreadable.
     """
     now = F.current_timestamp() if now is None else now
-    text_fields = T.StructType([T.StructField(f.name, T.StringType()) for f in MESSAGE_FIELDS.fields])
+    text_fields = T.StructType([T.StructField(name, T.StringType()) for name in MESSAGE_FIELDS])
     decoded = messages.decode(envelope, text_fields)
 
     def text(name: str, default: str) -> Column:
