@@ -8,7 +8,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakeshelf.operators.tables import Lake, _quoted, qualify
+from lakeshelf.operators.tables import Lake, _quoted
 from lakeshelf.session import staged
 
 
@@ -151,17 +151,16 @@ def sync_columns(lake: Lake, table: str, wanted: DataFrame) -> ColumnChange:
     change = column_change(lake, table, wanted)
     if not change.any:
         return change
-    name = qualify(table)
     if not change.removed and not change.retyped:
         ddl = ", ".join(f"`{c}` {wanted.schema[c].dataType.simpleString()}" for c in change.added)
-        lake.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({ddl})")
+        lake.spark.sql(f"ALTER TABLE {lake.table(table)} ADD COLUMNS ({ddl})")
         return change
-    parts = lake.partition_columns(name)
-    have = lake.columns(name)
-    current = lake.read(name)
+    parts = lake.partition_columns(table)
+    have = lake.columns(table)
+    current = lake.read(table)
     select = [
         (F.col(f"`{f.name}`").cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in wanted.schema.fields
     ]
-    lake.overwrite(current.select(*select), name, parts)
+    lake.overwrite(current.select(*select), table, parts)
     return change

@@ -35,37 +35,48 @@ class Lake:
     warehouse folder of the session. A full overwrite writes a new version folder and
     then points the catalog at it, so a failed write leaves the old table in place and a
     table may be overwritten with a query over itself.
+
+    ``namespace`` is put in front of the database names (``dev_bronze``), so several
+    lakes can live in one catalog.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, namespace: str = ""):
         self.spark = spark
+        self.namespace = namespace
         self.root = (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
         # Two jobs that commit to one folder at a time can remove each other's files.
         self._locks: dict[str, threading.RLock] = defaultdict(threading.RLock)
 
+    def table(self, name: str, schema: str | None = None) -> str:
+        """The catalog name of a table."""
+        full = qualify(name, schema)
+        return self.namespace + full if "." in full else full
+
     # ---- catalog ----------------------------------------------------------
 
     def create_layers(self) -> None:
         for layer in LAYERS:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.namespace}{layer}")
 
     def location(self, name: str) -> str:
         """The folder of a table's current version."""
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {qualify(name)}")
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table(name)}")
         return described.where("col_name = 'Location'").first()["data_type"]
 
     def exists(self, name: str, schema: str | None = None) -> bool:
-        return self.spark.catalog.tableExists(qualify(name, schema))
+        return self.spark.catalog.tableExists(self.table(name, schema))
 
     def list_tables(self, schema: str | None = None) -> list[tuple[str, str]]:
-        """(schema, table) of one schema, or of all of them."""
-        catalog = self.spark.catalog
-        schemas = [schema] if schema else [d.name for d in catalog.listDatabases()]
-        return [(s, t.name) for s in schemas for t in catalog.listTables(s) if not t.isTemporary]
+        """(schema, table) of one schema, or of all schemas of this lake's namespace."""
+        catalog, prefix = self.spark.catalog, self.namespace
+        schemas = [schema] if schema else [
+            d.name.removeprefix(prefix) for d in catalog.listDatabases() if d.name.startswith(prefix)
+        ]
+        return [(s, t.name) for s in schemas for t in catalog.listTables(prefix + s) if not t.isTemporary]
 
     def stats(self, name: str) -> dict:
         """Row count of a table; a table that cannot be read counts zero, with the error."""
-        table = qualify(name)
+        table = self.table(name)
         try:
             return {"table": table, "rows": self.spark.table(table).count()}
         except AnalysisException as error:
@@ -75,14 +86,14 @@ class Lake:
         """A table, optionally its first ``limit`` rows, or the result of a SQL query."""
         if query:
             return self.spark.sql(query)
-        df = self.spark.table(qualify(name))
+        df = self.spark.table(self.table(name))
         return df.limit(limit) if limit else df
 
     def columns(self, name: str) -> list[str]:
-        return self.spark.table(qualify(name)).columns
+        return self.spark.table(self.table(name)).columns
 
     def partition_columns(self, name: str) -> list[str]:
-        listed = self.spark.catalog.listColumns(qualify(name))
+        listed = self.spark.catalog.listColumns(self.table(name))
         return [c.name for c in listed if c.isPartition]
 
     # ---- writes -----------------------------------------------------------
@@ -124,27 +135,27 @@ class Lake:
 
         New columns of ``df`` are an error here; ``incremental.sync_columns`` adds them.
         """
-        table = qualify(name)
+        table = self.table(name)
         with self._locks[table]:
-            if not self.exists(table):
-                return self.overwrite(df, table, partition_by)
-            kept = self.columns(table)
+            if not self.exists(name):
+                return self.overwrite(df, name, partition_by)
+            kept = self.columns(name)
             extra = sorted(set(df.columns) - set(kept))
             if extra:
                 raise ValueError(f"{table} has no column {', '.join(extra)}")
             absent = {c: F.lit(None) for c in kept if c not in df.columns}
             filled = df.withColumns(absent) if absent else df
-            counted, rows = self._prepared(filled.select(*_quoted(kept)), self.partition_columns(table))
+            counted, rows = self._prepared(filled.select(*_quoted(kept)), self.partition_columns(name))
             counted.write.insertInto(table)
         return rows()
 
     def overwrite(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int:
         """Replace the whole table; returns the row count."""
-        table = qualify(name)
+        table = self.table(name)
         counted, rows = self._prepared(df, partition_by)
         path = f"{self.root}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
         with self._locks[table]:
-            old = self.location(table) if self.exists(table) else None
+            old = self.location(name) if self.exists(name) else None
             writer = counted.write.partitionBy(*partition_by) if partition_by else counted.write
             writer.parquet(path)
             self._register(table, df.schema, path, partition_by)
@@ -164,12 +175,12 @@ class Lake:
         Running the same batch again gives the same table. ``df`` may read the table
         itself: new files are written beside the old ones and swapped at commit.
         """
-        table = qualify(name)
-        if not self.exists(table):
-            return self.overwrite(df, table, partition_by)
-        if self.partition_columns(table) != list(partition_by):
-            raise ValueError(f"{table} is partitioned by {self.partition_columns(table)}, not {partition_by}")
-        counted, rows = self._prepared(df.select(*_quoted(self.columns(table))), partition_by)
+        table = self.table(name)
+        if not self.exists(name):
+            return self.overwrite(df, name, partition_by)
+        if self.partition_columns(name) != list(partition_by):
+            raise ValueError(f"{table} is partitioned by {self.partition_columns(name)}, not {partition_by}")
+        counted, rows = self._prepared(df.select(*_quoted(self.columns(name))), partition_by)
         with self._locks[table]:
             counted.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
         return rows()
@@ -182,7 +193,7 @@ class Lake:
 
     def create_sql_view(self, name: str, sql: str) -> None:
         """A view kept in the catalog."""
-        self.spark.sql(f"CREATE OR REPLACE VIEW {qualify(name)} AS {sql}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.table(name)} AS {sql}")
 
 
 def _name(column: str) -> str:

@@ -1 +1,304 @@
-"""To come."""
+"""Round trips: the tables are written by a sink, a stream or as files, and read back.
+
+Everything is put below the shared scratch folder of the session, in a new place for
+every call; catalog entries are dropped again.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from lakeshelf.operators import audit, incremental, quality
+from lakeshelf.operators.tables import LAYERS, Lake
+from lakeshelf.plans import gold
+from lakeshelf.plans.staging import stg_traffic
+from lakeshelf.session import scratch_path
+from lakeshelf.sources import files, messages
+from lakeshelf.sources.ingest import Ingestor
+from lakeshelf.sources.spec import SourceSpec
+from lakeshelf.streaming import bronze, windows
+from lakeshelf.workload import checks, ingest, tables as t
+from lakeshelf.workload.registry import TWINS, query
+from lakeshelf.workload.sql import with_ctes
+
+
+def with_lake(spark: SparkSession, table: str, work: Callable[[Lake], None]) -> DataFrame:
+    """Let ``work`` fill a table of a scratch lake; returns the table's rows."""
+    lake = Lake(spark, scratch_path(spark, "lake"), f"scratch_{uuid.uuid4().hex}_")
+    lake.create_layers()
+    try:
+        work(lake)
+        where, schema = lake.location(table), lake.read(table).schema
+    finally:
+        # the tables are external: their files stay
+        for layer in LAYERS:
+            spark.sql(f"DROP DATABASE {lake.namespace}{layer} CASCADE")
+    return spark.read.schema(schema).parquet(where)
+
+
+# ---- files ----------------------------------------------------------------
+
+
+@query("scan_csv_by_name", """
+SELECT o_orderkey, o_totalprice, o_orderstatus,
+       CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority
+FROM orders""")
+def scan_csv_by_name(spark, sf_dir):
+    """Two sets of CSV files with different headers, one set lacking a column."""
+    where = scratch_path(spark, "csv")
+    orders = t.table(spark, sf_dir, "orders")
+    done = F.col("o_orderstatus") == "F"
+    orders.where(~done).select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority").write.csv(
+        f"{where}/a", header=True)
+    orders.where(done).select("o_orderstatus", "o_orderkey", "o_totalprice").write.csv(f"{where}/b", header=True)
+    raw = files.read_files(spark, where, "*.csv", recursive=True)
+    return raw.select(
+        F.col("o_orderkey").cast("bigint"), F.col("o_totalprice").cast("double"), "o_orderstatus", "o_orderpriority"
+    )
+
+
+@query("scan_csv_skip_rows", "SELECT c_custkey, c_name FROM customer")
+def scan_csv_skip_rows(spark, sf_dir):
+    """Two preamble lines before the header of every file."""
+    where = scratch_path(spark, "skip")
+    lines = t.table(spark, sf_dir, "customer").select(
+        F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name").alias("value")
+    )
+
+    def with_preamble(batches):
+        yield pd.DataFrame({"value": ["made by hand", "not data", "c_custkey,c_name"]})
+        yield from batches
+
+    # one task writes one file, and its rows in order
+    lines.mapInPandas(with_preamble, "value string").write.text(where)
+    options = files.FileOptions(skip_rows=2)
+    raw = files.read_files(spark, where, "*.txt", options=options)
+    return raw.select(F.col("c_custkey").cast("bigint"), "c_name")
+
+
+@query("scan_json_lines", "SELECT event_id, event_type, value FROM events")
+def scan_json_lines(spark, sf_dir):
+    where = scratch_path(spark, "json")
+    t.table(spark, sf_dir, "events").select("event_id", "event_type", "value").write.json(where)
+    options = files.FileOptions(json_lines=True, schema="event_id string, event_type string, value string")
+    raw = files.read_files(spark, where, "*.json", "json", options=options)
+    return raw.select(F.col("event_id").cast("bigint"), "event_type", F.col("value").cast("double"))
+
+
+@query("ingest_csv_source", TWINS["map_full"])
+def ingest_csv_source(spark, sf_dir):
+    """A file source run from its spec: read, map, add audit columns, write, record."""
+    landed = scratch_path(spark, "landed")
+    ingest.raw_traffic(spark, sf_dir).write.csv(landed, header=True)
+    spec = SourceSpec.from_dict({
+        "source_id": "traffic_files", "source_type": "file", "format": "csv",
+        "file": {"base_path": landed, "pattern": "*.csv"},
+        "target": {"table": "bronze_traffic_files", "partition_by": "ingestion_date"},
+        "schema_mapping": ingest.TRAFFIC_MAPPING,
+    })
+    stored = with_lake(spark, "bronze_traffic_files", lambda lake: Ingestor(lake, [spec]).run_source("traffic_files"))
+    names = [r["target"] for r in ingest.TRAFFIC_MAPPING.values()]
+    return t.as_ntz(stored.select(*names, "station"))
+
+
+# ---- sinks ----------------------------------------------------------------
+
+
+@query("sink_append_by_name", """
+SELECT s_suppkey AS "key", s_name AS name, s_acctbal AS balance FROM supplier
+UNION ALL SELECT c_custkey, c_name, NULL FROM customer""")
+def sink_append_by_name(spark, sf_dir):
+    sellers = t.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"))
+    buyers = t.table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("name"), F.col("c_custkey").alias("key"))
+
+    def work(lake: Lake) -> None:
+        lake.append(sellers, "bronze_parties")
+        lake.append(buyers, "bronze_parties")
+
+    return with_lake(spark, "bronze_parties", work)
+
+
+def _status_rows(spark, sf_dir, status: str | None = None) -> DataFrame:
+    orders = t.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    return orders.where(F.col("o_orderstatus") == status) if status else orders
+
+
+@query("sink_overwrite_partitions", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice,
+       o_orderstatus FROM orders""")
+def sink_overwrite_partitions(spark, sf_dir):
+    """One partition is replaced, twice; the others stay."""
+
+    def work(lake: Lake) -> None:
+        lake.overwrite(_status_rows(spark, sf_dir), "silver_orders", ["o_orderstatus"])
+        negated = _status_rows(spark, sf_dir, "P").withColumn("o_totalprice", -F.col("o_totalprice"))
+        for _ in range(2):
+            lake.overwrite_partitions(negated, "silver_orders", ["o_orderstatus"])
+
+    return with_lake(spark, "silver_orders", work)
+
+
+def _traffic_model(df: DataFrame) -> DataFrame:
+    return incremental.with_month(gold.fact_traffic_hourly_model(df))
+
+
+def _load_traffic(lake: Lake, source: DataFrame, lookback_days: int | None = None) -> int:
+    return incremental.load(
+        lake, "gold_traffic", source, _traffic_model, "event_hour", "hour_key", "date_key", "month_key",
+        lookback_days, "event_timestamp",
+    )
+
+
+def _staged_traffic(spark, sf_dir) -> DataFrame:
+    return stg_traffic(t.bronze_traffic(spark, sf_dir))
+
+
+_FULL_MODEL = with_ctes("SELECT * FROM g_traffic_model", "g_traffic_model")
+
+
+@query("incremental_load_twice", _FULL_MODEL)
+def incremental_load_twice(spark, sf_dir):
+    """Up to an hour, then the rest, then the same again: equal to one full load."""
+    source = _staged_traffic(spark, sf_dir)
+
+    def work(lake: Lake) -> None:
+        _load_traffic(lake, source.where(F.col("event_hour") < F.lit("2024-01-20 07:00:00").cast("timestamp")))
+        for _ in range(2):
+            _load_traffic(lake, source)
+
+    return t.as_ntz(with_lake(spark, "gold_traffic", work).drop("month_key"))
+
+
+@query("incremental_lookback", _FULL_MODEL)
+def incremental_lookback(spark, sf_dir):
+    """The first load misses rows of its last days; the look-back brings them in."""
+    source = _staged_traffic(spark, sf_dir)
+    early = source.where(F.col("event_hour") < F.lit("2024-01-20 07:30:00").cast("timestamp"))
+    incomplete = early.where(
+        (F.col("event_date") < F.lit("2024-01-19").cast("date")) | (F.col("weather_condition") != "CLICK"))
+
+    def work(lake: Lake) -> None:
+        _load_traffic(lake, incomplete)
+        _load_traffic(lake, source, lookback_days=1)
+
+    return t.as_ntz(with_lake(spark, "gold_traffic", work).drop("month_key"))
+
+
+@query("replace_by_key", """
+SELECT o_orderkey, CAST(date_trunc('year', o_orderdate) AS DATE) AS year_start,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice
+FROM orders""")
+def replace_by_key(spark, sf_dir):
+    orders = t.table(spark, sf_dir, "orders")
+    rows = orders.select("o_orderkey", F.trunc("o_orderdate", "year").alias("year_start"), "o_totalprice")
+    urgent = orders.where(F.col("o_orderpriority") == "1-URGENT").select(
+        "o_orderkey", F.trunc("o_orderdate", "year").alias("year_start"), (F.col("o_totalprice") * 2).alias("o_totalprice"))
+
+    def work(lake: Lake) -> None:
+        lake.overwrite(rows, "gold_orders", ["year_start"])
+        incremental.replace_by_key(lake, "gold_orders", urgent, ["o_orderkey", "year_start"], "year_start")
+
+    return with_lake(spark, "gold_orders", work)
+
+
+@query("schema_sync", """
+SELECT p_partkey, CAST(p_size AS BIGINT) AS p_size, CAST(NULL AS VARCHAR) AS p_brand FROM part
+UNION ALL SELECT p_partkey, p_size, p_brand FROM part""")
+def schema_sync(spark, sf_dir):
+    """The second load has a new column, lacks one, and widens one."""
+    part = t.table(spark, sf_dir, "part")
+    old = part.select("p_partkey", "p_size", "p_retailprice")
+    new = part.select("p_partkey", F.col("p_size").cast("bigint").alias("p_size"), "p_brand")
+
+    def work(lake: Lake) -> None:
+        lake.overwrite(old, "gold_part")
+        incremental.sync_columns(lake, "gold_part", new)
+        lake.append(new, "gold_part")
+
+    return with_lake(spark, "gold_part", work)
+
+
+@query("quality_audit_append", with_ctes(checks._REPORT, *checks._REPORT_CTES))
+def quality_audit_append(spark, sf_dir):
+    def work(lake: Lake) -> None:
+        audit.create_audit_tables(lake)
+        audit.record_checks(lake, checks._suite(spark, sf_dir))
+
+    return with_lake(spark, audit.QUALITY_AUDIT, work).select(*checks._KEPT)
+
+
+# ---- streams --------------------------------------------------------------
+
+
+def _stream_of(df: DataFrame, label: str) -> DataFrame:
+    """A file stream over the rows of ``df``."""
+    stored = scratch_path(df.sparkSession, label)
+    df.write.parquet(stored)
+    return df.sparkSession.readStream.schema(df.schema).parquet(stored)
+
+
+def _drained(stream: DataFrame, label: str) -> DataFrame:
+    """Run a stream over what is there, into files; returns them."""
+    spark = stream.sparkSession
+    out = scratch_path(spark, label)
+    running = (
+        stream.writeStream.format("parquet").outputMode("append")
+        .option("checkpointLocation", scratch_path(spark, f"{label}-checkpoint"))
+        .trigger(availableNow=True).start(out)
+    )
+    running.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+_STORED = [c for c in bronze.BRONZE_COLUMNS if not c.startswith("_ingestion") and c not in ("_batch_id", "event_timestamp")]
+
+
+@query("stream_intake", f"""
+SELECT {', '.join(_STORED)}, event_timestamp FROM ({TWINS['stream_bronze_projection'].replace(
+    f"ELSE TIMESTAMP '{ingest._NOW}' END AS event_timestamp", "END AS event_timestamp")})
+WHERE kafka_offset % 50 <> 0""")
+def stream_intake(spark, sf_dir):
+    """Messages through the intake, in two runs of one checkpoint; every fiftieth is
+    broken and goes to quarantine. Times filled in by the intake are blanked."""
+    i = F.col("event_id")
+    body = F.when(i % 50 == 0, F.lit('{"event_id": ')).otherwise(ingest.stream_bodies())
+    stored = scratch_path(spark, "envelopes")
+    both = ingest.envelopes(spark, sf_dir, body)
+    checkpoint = scratch_path(spark, "intake-checkpoint")
+
+    def work(lake: Lake) -> None:
+        for topics in (["topic_0", "topic_1"], ["topic_2", "topic_3"]):
+            both.where(F.col("topic").isin(topics)).write.mode("append").parquet(stored)
+            source = spark.readStream.schema(messages.ENVELOPE).parquet(stored)
+            bronze.start(lake, source, checkpoint, "bronze_intake", once=True).awaitTermination()
+
+    taken = with_lake(spark, "bronze_intake", work)
+    sent = F.when(F.col("kafka_offset") % 9 != 0, F.col("event_timestamp")).alias("event_timestamp")
+    return t.as_ntz(taken.select(*_STORED, sent))
+
+
+@query("stream_hourly_windows", with_ctes("""
+SELECT hour_key, event_category, kafka_topic, event_count, max_metric_value, min_metric_value
+FROM g_events WHERE hour_key + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""", "g_events"))
+def stream_hourly_windows(spark, sf_dir):
+    """Closed hours of an event stream; the last hours stay open behind the watermark."""
+    stream = _stream_of(t.bronze_events(spark, sf_dir), "windows-in")
+    counted = _drained(windows.hourly_events(stream), "windows-out")
+    return t.as_ntz(counted.select(
+        "hour_key", "event_category", "kafka_topic", "event_count", "max_metric_value", "min_metric_value"))
+
+
+@query("stream_deduplicate", "SELECT CAST(event_id AS VARCHAR) AS event_id, ts AS event_timestamp FROM events")
+def stream_deduplicate(spark, sf_dir):
+    """Every event is sent twice, and counts once."""
+    events = t.bronze_events(spark, sf_dir).select(
+        "event_id", F.col("event_timestamp").cast("timestamp").alias("event_timestamp"),
+        F.explode(F.array(F.lit(1), F.lit(2))).alias("sent"))
+    stream = _stream_of(events, "dedup-in")
+    return t.as_ntz(_drained(windows.first_of_each_event(stream).drop("sent"), "dedup-out"))

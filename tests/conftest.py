@@ -1,11 +1,12 @@
 import os
 import sys
+import uuid
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from lakeshelf.operators.tables import Lake  # noqa: E402
+from lakeshelf.operators.tables import LAYERS, Lake  # noqa: E402
 from lakeshelf.session import build_session  # noqa: E402
 
 
@@ -31,11 +32,11 @@ def spark(tmp_path_factory):
 @pytest.fixture()
 def lake(spark, tmp_path):
     """Fresh layers below a temporary folder."""
-    made = Lake(spark, str(tmp_path / "lake"))
+    made = Lake(spark, str(tmp_path / "lake"), f"t{uuid.uuid4().hex[:8]}_")
     made.create_layers()
     yield made
-    for schema, table in made.list_tables():
-        spark.sql(f"DROP TABLE IF EXISTS {schema}.{table}")
+    for layer in LAYERS:
+        spark.sql(f"DROP DATABASE {made.namespace}{layer} CASCADE")
 
 
 @pytest.fixture(scope="session")
