@@ -17,6 +17,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Can only be set when the session starts. Keeping the Python call site of every column
+# expression makes building a plan several times slower.
+START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
@@ -42,7 +46,7 @@ def build_session(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**RUNTIME_CONF, **(conf or {})}.items():
+    for key, value in {**RUNTIME_CONF, **START_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 

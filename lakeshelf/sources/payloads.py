@@ -26,39 +26,65 @@ def read_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     )
 
 
-def _lists(body: Column, keys: Sequence[str]) -> Column:
-    """All candidate lists in one parse. A key that holds no list comes back null."""
-    return F.from_json(body, ", ".join(f"`{k}` array<string>" for k in keys))
+def _is_list(body: Column) -> Column:
+    return F.ltrim(body).startswith("[")
 
 
-def response_records(body: Column, keys: Sequence[str] = RESPONSE_KEYS) -> Column:
-    """Records of a single response: a top-level list, the first key that holds a list,
-    or else the whole object as one record."""
-    lists = _lists(body, keys)
-    return F.coalesce(
-        F.from_json(body, "array<string>"), *[lists.getField(k) for k in keys], F.array(body)
-    )
-
+def _with_candidates(df: DataFrame, body: str, keys: Sequence[str]) -> DataFrame:
+    """Add ``__top`` (records of a top-level list) and ``__lists`` (a struct with the list
+    under each key, null where there is none).
 
-def page_records(body: Column, keys: Sequence[str] = PAGE_KEYS) -> Column:
-    """Records of one page: as above, but the first key that is *present* decides, and a
-    null there is an empty page."""
-    lists = _lists(body, keys)
-    present = F.json_object_keys(body)
-    chosen = F.array(body)
+    Each body is parsed once: only the parse that fits its first character runs, since
+    a parse that fails costs far more than one that succeeds.
+    """
+    text = F.col(body)
+    fields = ", ".join(f"{_quoted(k)} array<string>" for k in keys)
+    return df.withColumns({
+        "__top": F.when(_is_list(text), F.from_json(text, "array<string>")),
+        "__lists": F.when(~_is_list(text), F.from_json(text, fields)),
+    })
+
+
+def with_response_records(df: DataFrame, body: str = "body", keys: Sequence[str] = RESPONSE_KEYS) -> DataFrame:
+    """Replace the body by ``__records``: a top-level list, the first key that holds a
+    list, or else the whole object as one record."""
+    found = [F.col("__lists").getField(k) for k in keys]
+    records = F.coalesce(F.col("__top"), *found, F.array(F.col(body)))
+    return _with_candidates(df, body, keys).withColumn("__records", records).drop(body, "__top", "__lists")
+
+
+def with_page_records(df: DataFrame, body: str = "body", keys: Sequence[str] = PAGE_KEYS) -> DataFrame:
+    """The same for a page, but there the first key that is *present* decides: a null
+    under it is an empty page, and any other value is one record."""
+    nothing = F.array().cast("array<string>")
+    chosen = F.array(F.col(body))
     for key in reversed(keys):
+        held = F.col("__lists").getField(key)
         single = F.get_json_object(body, f"$.{key}")
-        held = F.coalesce(
-            lists.getField(key), F.when(single.isNotNull(), F.array(single)), F.array().cast("array<string>")
-        )
-        chosen = F.when(F.array_contains(present, key), held).otherwise(chosen)
-    return F.coalesce(F.from_json(body, "array<string>"), chosen)
+        other = F.when(F.array_contains(F.json_object_keys(body), key), F.when(
+            single.isNotNull(), F.array(single)).otherwise(nothing))
+        chosen = F.coalesce(held, other, chosen)
+    return (
+        _with_candidates(df, body, keys)
+        .withColumn("__records", F.coalesce(F.col("__top"), chosen))
+        .drop(body, "__top", "__lists")
+    )
 
 
 def unwrap_responses(df: DataFrame, body: str = "body", keys: Sequence[str] = RESPONSE_KEYS) -> DataFrame:
     """One row per record of every response."""
-    others = [c for c in df.columns if c != body]
-    return df.select(*others, F.explode(response_records(F.col(body), keys)).alias(RECORD))
+    others = [_quoted(c) for c in df.columns if c != body]
+    return _one_row_each(with_response_records(df, body, keys).select(*others, "__records"))
+
+
+def _one_row_each(df: DataFrame) -> DataFrame:
+    """Explode ``__records``; null records are left out.
+
+    The outer form with a filter behind it: before a plain ``explode`` Spark puts a filter
+    on the size of the list and evaluates the whole parse once more for it.
+    """
+    rows = df.withColumn(RECORD, F.explode_outer("__records")).drop("__records")
+    return rows.where(F.col(RECORD).isNotNull())
 
 
 def unite_pages(
@@ -75,11 +101,7 @@ def unite_pages(
     page bodies are not shuffled unless the planner has to, and an entity with very many
     pages is never gathered in one task.
     """
-    sized = (
-        pages.where(F.col(page_no).between(1, max_pages))
-        .withColumn("__records", page_records(F.col(body), keys))
-        .drop(body)
-    )
+    sized = with_page_records(pages.where(F.col(page_no).between(1, max_pages)), body, keys)
     first_empty = (
         sized.where(F.size("__records") == 0).groupBy(*entity).agg(F.min(page_no).alias("__stop"))
     )
@@ -90,7 +112,7 @@ def unite_pages(
         kept = sized.withColumn("__stop", first_empty.scalar()).where(
             F.col("__stop").isNull() | (F.col(page_no) < F.col("__stop"))
         )
-    return kept.withColumn(RECORD, F.explode("__records")).drop("__records", "__stop")
+    return _one_row_each(kept.drop("__stop"))
 
 
 def missing_pages(
