@@ -238,7 +238,10 @@ def _read_csv_group(
 ) -> DataFrame:
     fields = [T.StructField(c, T.StringType()) for c in columns]
     schema = T.StructType(fields + ([T.StructField(CORRUPT, T.StringType())] if options.keep_corrupt else []))
-    reading = {"ignoreCorruptFiles": str(options.tolerate_bad_files).lower()}
+    # Under a promised header Spark compares every file with it; a mismatch must fail and
+    # not count as a bad file to skip. Otherwise the header was read before.
+    skip_bad = options.tolerate_bad_files and not options.same_header
+    reading = {"ignoreCorruptFiles": str(skip_bad).lower()}
     if options.skip_rows:
         if options.multi_line:
             raise ValueError("skip_rows and multi_line cannot be used together")
@@ -257,8 +260,7 @@ def _read_csv_group(
                 **reading,
                 **_csv_parse_options(options),
                 header=str(options.has_header).lower(),
-                # each file's own header must agree with the columns of its group
-                enforceSchema="false" if options.has_header else "true",
+                enforceSchema=str(not (options.same_header and options.has_header)).lower(),
                 encoding=options.encoding,
                 multiLine=str(options.multi_line).lower(),
             )

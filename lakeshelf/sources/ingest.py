@@ -213,7 +213,12 @@ class Ingestor:
             self._quarantine(transform(raw, spec, now), corrupt, spec)
 
     def _quarantine(self, mapped: DataFrame, corrupt: str, spec: SourceSpec) -> None:
-        """Broken rows, as text, beside the target. Read again only when there are any."""
-        kept = [corrupt, "_ingestion_timestamp", "_ingestion_date", "_source_id", "_batch_id"]
-        broken = mapped.where(columns_of(mapped, [corrupt])[0].isNotNull()).select(*columns_of(mapped, kept))
-        self.lake.append(broken.withColumnRenamed(corrupt, "raw_text"), f"{spec.target_table}_quarantine")
+        """Broken rows beside the target: their text, and what could be parsed of it. The
+        source is read again for them, and only when there are any."""
+        stamps = ["_ingestion_timestamp", "_ingestion_date", "_source_id", "_batch_id"]
+        parsed = [c for c in mapped.columns if c not in (corrupt, *stamps)]
+        text = columns_of(mapped, [corrupt])[0]
+        broken = mapped.where(text.isNotNull()).select(
+            text.alias("raw_text"), F.to_json(F.struct(*columns_of(mapped, parsed))).alias("parsed"), *stamps
+        )
+        self.lake.append(broken, f"{spec.target_table}_quarantine")

@@ -47,7 +47,7 @@ def test_same_header_promise_is_checked(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x,y\n1,2\n")
     (tmp_path / "b.csv").write_text("y,x\n3,4\n")
     with pytest.raises(Exception):
-        read(spark, tmp_path, same_header=True, tolerate_bad_files=False).collect()
+        read(spark, tmp_path, same_header=True).collect()
 
 
 def test_repeated_and_blank_headers(spark, tmp_path):
@@ -70,11 +70,11 @@ def test_formats_by_extension(spark, tmp_path):
 
 def test_bad_files_are_skipped_unless_all_are_bad(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x\n1\n")
-    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "empty.csv").write_text("\n\n")
     assert records(read(spark, tmp_path), "x") == [("1",)]
     with pytest.raises(files.UnreadableFile):
         read(spark, tmp_path, tolerate_bad_files=False)
-    (tmp_path / "a.csv").write_text("")
+    (tmp_path / "a.csv").write_text("\n")
     with pytest.raises(RuntimeError):
         read(spark, tmp_path)
     with pytest.raises(FileNotFoundError):
