@@ -12,10 +12,20 @@ from lakeshelf.operators.tables import Lake, _quoted
 from lakeshelf.session import staged
 
 
-def newest(lake: Lake, table: str, column: str):
-    """Largest value of a column of the target, or None. For a partition column with
-    statistics this is a metadata question; otherwise it reads that one column."""
-    return lake.read(table).agg(F.max(column)).first()[0]
+def newest(lake: Lake, table: str, column: str, partition_by: str):
+    """Largest value of a column of the target, or None if it has no rows.
+
+    The column must grow with the partition, so only the newest partition is read; which
+    one that is, the catalog knows.
+    """
+    target = lake.read(table)
+    kind = target.schema[partition_by].dataType
+    listed = lake.spark.sql(f"SHOW PARTITIONS {lake.table(table)}")
+    value = F.split(F.col("partition"), "=").getItem(1).try_cast(kind)
+    last = listed.agg(F.max(value)).first()[0]
+    if last is None:
+        return None
+    return target.where(F.col(partition_by) == F.lit(last)).agg(F.max(column)).first()[0]
 
 
 def month_start(day: date) -> date:
@@ -64,7 +74,7 @@ def load(
 ) -> int:
     """Build and store only what is newer than the target; returns the rows written.
 
-    The newest target value is fetched first (one value), so the source filter is a
+    The newest target value is fetched first (one value, from one partition), so the source filter is a
     literal. Where ``source_column`` is computed (an hour or a day), name the raw time in
     ``time_column``: the bound then also reaches the scan and skips files.
 
@@ -77,7 +87,7 @@ def load(
 
     An absent or empty target gets a full load.
     """
-    high = newest(lake, table, target_column) if lake.exists(table) else None
+    high = newest(lake, table, target_column, partition_by) if lake.exists(table) else None
     if high is None:
         return lake.overwrite(build(source), table, [partition_by])
     if lookback_days is None:
@@ -86,7 +96,7 @@ def load(
         fresh = build(source.where(F.col(source_column) > F.lit(high)))
         sync_columns(lake, table, fresh)
         return lake.append(fresh, table, [partition_by])
-    first_day = newest(lake, table, day) - timedelta(days=lookback_days)
+    first_day = newest(lake, table, day, partition_by) - timedelta(days=lookback_days)
     if time_column:
         source = source.where(F.col(time_column) >= F.lit(first_day))
     fresh = build(source.where(F.to_date(source_column) >= F.lit(first_day)))

@@ -98,15 +98,16 @@ class Lake:
 
     # ---- writes -----------------------------------------------------------
 
-    def _prepared(self, df: DataFrame, partition_by: Sequence[str]):
+    def _prepared(self, df: DataFrame, partition_by: Sequence[str], rebalance: bool):
         """The frame to write, counted, and a function that gives the count.
 
-        Partitioned writes are rebalanced first: without it every task would write a file
-        into every partition. AQE splits a partition that is too large for one task, so a
-        day that holds a third of the rows is written by many. The counter sits behind
-        that shuffle, in the tasks that write, where a retry does not count twice.
+        Rows spread over many partitions are rebalanced first, or every task would write
+        a file into every partition. AQE splits a partition that is too large for one
+        task, so a day that holds a third of the rows is written by many; without AQE
+        one task would get it, so then the rows stay where they are. The counter sits
+        behind that shuffle, in the tasks that write, where a retry does not count twice.
         """
-        if partition_by:
+        if rebalance and partition_by and _adaptive(df.sparkSession):
             df = df.hint("rebalance", *_quoted(partition_by))
         seen = Observation()
         return df.observe(seen, F.count(F.lit(1)).alias("n")), lambda: int(seen.get["n"])
@@ -130,7 +131,9 @@ class Lake:
         folder = jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
-    def append(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int:
+    def append(
+        self, df: DataFrame, name: str, partition_by: Sequence[str] = (), rebalance: bool = True
+    ) -> int:
         """Append by column name, creating the table if needed; returns the row count.
 
         New columns of ``df`` are an error here; ``incremental.sync_columns`` adds them.
@@ -138,21 +141,26 @@ class Lake:
         table = self.table(name)
         with self._locks[table]:
             if not self.exists(name):
-                return self.overwrite(df, name, partition_by)
+                return self.overwrite(df, name, partition_by, rebalance)
             kept = self.columns(name)
             extra = sorted(set(df.columns) - set(kept))
             if extra:
                 raise ValueError(f"{table} has no column {', '.join(extra)}")
             absent = {c: F.lit(None) for c in kept if c not in df.columns}
             filled = df.withColumns(absent) if absent else df
-            counted, rows = self._prepared(filled.select(*_quoted(kept)), self.partition_columns(name))
+            counted, rows = self._prepared(filled.select(*_quoted(kept)), self.partition_columns(name), rebalance)
             counted.write.insertInto(table)
         return rows()
 
-    def overwrite(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int:
-        """Replace the whole table; returns the row count."""
+    def overwrite(
+        self, df: DataFrame, name: str, partition_by: Sequence[str] = (), rebalance: bool = True
+    ) -> int:
+        """Replace the whole table; returns the row count.
+
+        ``rebalance=False`` saves a shuffle where all rows go to one partition or few.
+        """
         table = self.table(name)
-        counted, rows = self._prepared(df, partition_by)
+        counted, rows = self._prepared(df, partition_by, rebalance)
         path = f"{self.root}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
         with self._locks[table]:
             old = self.location(name) if self.exists(name) else None
@@ -163,13 +171,17 @@ class Lake:
                 self._delete(old)
         return rows()
 
-    def write(self, df: DataFrame, name: str, mode: str = "append", partition_by: Sequence[str] = ()) -> int:
+    def write(
+        self, df: DataFrame, name: str, mode: str = "append", partition_by: Sequence[str] = (), rebalance: bool = True
+    ) -> int:
         if mode not in ("append", "overwrite", "replace"):
             raise ValueError(f"unknown write mode {mode!r}")
         target = self.append if mode == "append" else self.overwrite
-        return target(df, name, partition_by)
+        return target(df, name, partition_by, rebalance)
 
-    def overwrite_partitions(self, df: DataFrame, name: str, partition_by: Sequence[str]) -> int:
+    def overwrite_partitions(
+        self, df: DataFrame, name: str, partition_by: Sequence[str], rebalance: bool = True
+    ) -> int:
         """Replace exactly the partitions that occur in ``df``.
 
         Running the same batch again gives the same table. ``df`` may read the table
@@ -177,10 +189,10 @@ class Lake:
         """
         table = self.table(name)
         if not self.exists(name):
-            return self.overwrite(df, name, partition_by)
+            return self.overwrite(df, name, partition_by, rebalance)
         if self.partition_columns(name) != list(partition_by):
             raise ValueError(f"{table} is partitioned by {self.partition_columns(name)}, not {partition_by}")
-        counted, rows = self._prepared(df.select(*_quoted(self.columns(name))), partition_by)
+        counted, rows = self._prepared(df.select(*_quoted(self.columns(name))), partition_by, rebalance)
         with self._locks[table]:
             counted.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
         return rows()
@@ -196,6 +208,10 @@ class Lake:
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.table(name)} AS {sql}")
 
 
+def _adaptive(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+
+
 def _name(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 

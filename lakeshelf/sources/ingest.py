@@ -8,14 +8,14 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from lakeshelf.operators import audit
+from lakeshelf.operators import audit, quality
 from lakeshelf.operators.mapping import columns_of
 from lakeshelf.operators.tables import Lake
 from lakeshelf.sources import files, messages, payloads
@@ -59,6 +59,8 @@ def read_api_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     where several entities are fetched, ``entity``. Fetching is not part of this library.
     """
     s = spec.settings
+    if not s.get("landing_path"):
+        raise ValueError(f"source {spec.source_id!r} names no landing_path with fetched responses")
     if not s.get("pagination", False):
         return payloads.unwrap_responses(payloads.read_documents(spark, s["landing_path"]))
     pages = spark.read.schema("entity string, page_no int, body string").json(s["landing_path"])
@@ -119,6 +121,20 @@ def transform(raw: DataFrame, spec: SourceSpec, now: datetime) -> DataFrame:
     return mapped.withColumns(audit_columns(spec, now))
 
 
+def check_sources(lake: Lake, specs: Iterable[SourceSpec], now: datetime | None = None) -> DataFrame | None:
+    """Run the checks that the specs declare over their target tables, and append the
+    results to the quality audit. Sources without a table or without checks are skipped."""
+    suite = [
+        (s.source_id, lake.read(s.target_table), s.checks())
+        for s in specs
+        if s.checks() and lake.exists(s.target_table)
+    ]
+    report = quality.report_all(suite, now=now)
+    if report is not None:
+        audit.record_checks(lake, report)
+    return report
+
+
 class Ingestor:
     """Runs the specs of a folder against a lake."""
 
@@ -204,7 +220,11 @@ class Ingestor:
         if corrupt:
             good = mapped.where(columns_of(mapped, [corrupt])[0].isNull()).drop(corrupt)
         partitions = [spec.partition_column] if spec.partition_column else []
-        result.rows_written = self.lake.write(good, spec.target_table, spec.write_mode, partitions)
+        # a run has one ingestion date: its tasks write that partition side by side
+        spread = partitions != ["_ingestion_date"]
+        result.rows_written = self.lake.write(
+            good, spec.target_table, spec.write_mode, partitions, rebalance=spread
+        )
         counts = seen.get
         result.rows_extracted = int(counts.pop("__rows"))
         result.cast_rejects = {k: int(v) for k, v in counts.items() if v}

@@ -92,12 +92,15 @@ def batch_writer(lake: Lake, table: str, label: str) -> Callable[[DataFrame, int
         named.persist()
         try:
             broken = F.col(messages.CORRUPT).isNotNull()
-            lake.overwrite_partitions(named.where(~broken).select(*BRONZE_COLUMNS), table, PARTITIONS)
+            # a batch is one partition, which its tasks write side by side
+            lake.overwrite_partitions(
+                named.where(~broken).select(*BRONZE_COLUMNS), table, PARTITIONS, rebalance=False
+            )
             bad = named.where(broken).select(
                 F.col(messages.CORRUPT).alias("raw_text"), "kafka_topic", "kafka_partition", "kafka_offset",
                 "_ingestion_timestamp", *PARTITIONS,
             )
-            lake.overwrite_partitions(bad, quarantine, PARTITIONS)
+            lake.overwrite_partitions(bad, quarantine, PARTITIONS, rebalance=False)
         finally:
             named.unpersist()
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeshelf.operators import audit
 from lakeshelf.sources import files, messages, payloads
-from lakeshelf.sources.ingest import Ingestor
+from lakeshelf.sources.ingest import Ingestor, check_sources
 from lakeshelf.sources.spec import SourceSpec, SpecFolder
 
 
@@ -202,6 +202,14 @@ def test_run_source(lake, raw):
     assert tuple(audit.ingestion_summary(runs).first()) == (2, 2, 0, 8)
 
 
+def test_declared_checks_run_over_the_target(lake, raw):
+    specs = [SourceSpec.from_dict(spec(raw)), SourceSpec.from_dict(spec(raw, source_id="x", target={"table": "bronze_none"}))]
+    Ingestor(lake, specs).run_source("cities")
+    got = {(r["check_type"], r["passed"]) for r in check_sources(lake, specs).collect()}
+    assert got == {("not_null", True), ("row_count", True)}
+    assert lake.stats(audit.QUALITY_AUDIT)["rows"] == 2
+
+
 def test_overwrite_mode(lake, raw):
     one = spec(raw)
     one["target"] = {"table": "bronze_cities", "write_mode": "overwrite"}
