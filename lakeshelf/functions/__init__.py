@@ -1,6 +1,6 @@
 """Column functions; all of them are built-in Spark expressions (no Python UDF)."""
 
-from lakeshelf.functions.casts import CAST_TYPES, tolerant_cast
+from lakeshelf.functions.casts import CAST_TYPES, number_of, tolerant_cast
 from lakeshelf.functions.dates import (
     day_of_week,
     day_start,
@@ -19,6 +19,6 @@ from lakeshelf.functions.text import tidy_lower, tidy_upper
 __all__ = [
     "CAST_TYPES", "at_least", "below", "between_or_null", "day_of_week", "day_start",
     "epoch_to_timestamp", "first_match", "hour_start", "is_weekend", "minute_start",
-    "percent_of", "round_half_even_int", "round_to", "season_name", "season_number", "surrogate_key",
+    "number_of", "percent_of", "round_half_even_int", "round_to", "season_name", "season_number", "surrogate_key",
     "tidy_lower", "tidy_upper", "tolerant_cast",
 ]

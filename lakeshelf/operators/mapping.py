@@ -14,7 +14,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from lakeshelf.functions import between_or_null, tolerant_cast
+from lakeshelf.functions import between_or_null, number_of, tolerant_cast
 from lakeshelf.operators.jsonpath import path_column, path_schema
 
 JSON_PREFIX = "$."
@@ -66,16 +66,16 @@ class FieldRule:
     def cast(self, c: Column, source_type: T.DataType) -> Column:
         return tolerant_cast(c, self.type, source_type, self.formats) if self.type else c
 
-    def in_range(self, c: Column) -> Column:
+    def in_range(self, c: Column, source_type: T.DataType) -> Column:
         if self.minimum is None and self.maximum is None:
             return c
         # Text that stayed text is compared as a number; what is no number passes.
-        number = c if self.type and self.type in _NUMERIC else c.try_cast("double")
+        number = c if self.type in _NUMERIC else number_of(c, source_type)
         kept = between_or_null(number, self.minimum, self.maximum)
         return F.when(number.isNull() | kept.isNotNull(), c)
 
     def compile(self, c: Column, source_type: T.DataType) -> Column:
-        return self.in_range(self.cast(self.with_default(c, source_type), source_type))
+        return self.in_range(self.cast(self.with_default(c, source_type), source_type), source_type)
 
 
 _NUMERIC = ("integer", "int", "bigint", "long", "double", "float", "real")

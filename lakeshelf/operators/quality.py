@@ -18,7 +18,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from lakeshelf.functions import round_to
+from lakeshelf.functions import number_of, round_to
 from lakeshelf.operators.aggregates import count_distinct_tuple
 from lakeshelf.operators.filters import recent
 from lakeshelf.operators.mapping import _quoted
@@ -82,7 +82,7 @@ class Check:
         if self.is_unique:
             return F.count(F.lit(1)) - count_distinct_tuple(*[_quoted(c) for c in self.columns])
         if self.kind == "value_range":
-            number = cols[0].try_cast("double")
+            number = number_of(cols[0], df.schema[self.columns[0]].dataType)
             outside = F.lit(False)
             if self.low is not None:
                 outside = outside | (number < F.lit(float(self.low)))

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lakeshelf.functions import number_of
 from lakeshelf.operators.filters import recent
 from lakeshelf.operators.tables import Lake
 from lakeshelf.sources import messages
@@ -58,7 +59,7 @@ def project(envelope: DataFrame, batch_id: Column | None = None, now: Column | N
         return F.coalesce(F.col(name), F.lit(default))
 
     def number(name: str) -> Column:
-        return F.col(name).try_cast("double")
+        return number_of(F.col(name))
 
     return decoded.select(
         F.coalesce(F.col("event_id"), message_position_id()).alias("event_id"),
