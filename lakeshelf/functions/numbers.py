@@ -13,13 +13,20 @@ def round_half_even_int(c: Column) -> Column:
 def round_to(c: Column, digits: int) -> Column:
     """Round a DOUBLE half away from zero by scaling: ``round(c * 10^n) / 10^n``.
 
-    ``F.round(c, n)`` rounds the decimal text of the number instead, and the two differ
-    on values such as 1.005 that look like a tie and are none.
+    ``F.round(c, n)`` rounds the decimal text of the number instead: the two differ on
+    values such as 1.005 that look like a tie and are none, and going through text is
+    slow. ``rint`` rounds ties to even; the ties it took towards zero are put right.
     """
-    if digits == 0:
-        return F.round(c, 0)
     scale = F.lit(float(10**digits))
-    return F.round(c * scale, 0) / scale
+    scaled = c * scale if digits else c
+    whole = F.rint(scaled)
+    gap = scaled - whole
+    away = (
+        F.when((gap == 0.5) & (scaled > 0), whole + 1)
+        .when((gap == -0.5) & (scaled < 0), whole - 1)
+        .otherwise(whole)
+    )
+    return away / scale if digits else away
 
 
 def between_or_null(c: Column, low: float | None, high: float | None) -> Column:
