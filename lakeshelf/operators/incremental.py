@@ -49,7 +49,8 @@ def replace_days(
 ) -> int:
     """Replace all target rows from ``first_day`` on by ``fresh``.
 
-    ``partition_start`` gives the partition a day lies in. Partitions that begin before
+    A partition for which no rows are left at all keeps its old rows; facts are rebuilt
+    from sources that only grow. ``partition_start`` gives the partition a day lies in. Partitions that begin before
     ``first_day`` keep their earlier rows; only that partition of the target is read.
     """
     start = partition_start(first_day)

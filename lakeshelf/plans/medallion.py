@@ -132,7 +132,7 @@ def build_silver(lake: Lake, since: date | None = None) -> list[StepResult]:
 def _summary(lake: Lake, target: str, needs: Sequence[str], build: Callable[[], DataFrame]) -> StepResult:
     if not all(lake.exists(n) for n in needs):
         return StepResult(target, audit.SKIPPED)
-    daily = silver.stamp(build(), "gold_processed_at").coalesce(1).sortWithinPartitions("date_key")
+    daily = silver.stamp(build(), "gold_processed_at").sortWithinPartitions("date_key")
     return StepResult(target, audit.SUCCESS, lake.overwrite(daily, target))
 
 
