@@ -112,7 +112,7 @@ def rows_with_ids(docs: DataFrame, ids: DataFrame, id_column: str = "doc_id", ma
         some = [k for k, p in enumerate(pages) if p.any()]
         yield batch(schema, some, [pages[k].tobytes() for k in some])
 
-    def unite(key, pages: pa.Table) -> pa.Table:
+    def unite(key, pages):
         out = np.zeros(len(pages["bits"][0].as_py()), np.uint8)
         for p in pages["bits"]:
             out |= np.frombuffer(p.as_py(), np.uint8)
