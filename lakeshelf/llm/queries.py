@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshelf.llm import exact_dedup, mixing
+from lakeshelf.llm import exact_dedup, html_text, mixing, token_records
 from lakeshelf.llm.common import table
 from lakeshelf.llm.registry import query
 
@@ -69,3 +70,15 @@ LEFT JOIN cuts c ON s.source IS NOT DISTINCT FROM c.source
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+
+
+@query("op3_html_main_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query("op6_token_records")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_records.write_and_read(docs, public_tokenizers.path("word_bpe_49k.json"))

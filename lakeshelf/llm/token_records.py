@@ -134,7 +134,7 @@ _ENCODERS: dict[str, "Encoder"] = {}
 class Encoder:
     """Ids of texts; every distinct run of non-space characters is encoded once (and again after a reset)."""
 
-    LIMIT = 400_000
+    LIMIT = 700_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -154,6 +154,11 @@ class Encoder:
             _ENCODERS[path] = cls(path)
         return _ENCODERS[path]
 
+    @staticmethod
+    def _folded(text: bytes) -> bytes:
+        """A-Z in lower case, as the tokenizer has it, unless the text may name a special token."""
+        return text if b"<|" in text else text.lower()
+
     def _learn(self, runs: list[bytes]) -> None:
         ids = [e.ids for e in self.tokenizer.encode_batch([r.decode() for r in runs], add_special_tokens=False)]
         sizes = np.array([len(i) for i in ids], np.int64)
@@ -166,7 +171,7 @@ class Encoder:
         """The ids of each text, the end id last."""
         if len(self.place) > self.LIMIT:
             self._reset()
-        split = [t.encode().split() for t in texts]
+        split = [self._folded(t.encode()).split() for t in texts]
         new = list(dict.fromkeys(r for s in split for r in s if r not in self.place))
         if new:
             self._learn(new)
