@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshelf.llm import exact_dedup, html_text, mixing, token_records
+from lakeshelf.llm import exact_dedup, html_text, mixing, token_records, warc
 from lakeshelf.llm.common import table
 from lakeshelf.llm.registry import query
 
@@ -82,3 +82,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return token_records.write_and_read(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op10_warc_round_trip")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    read = warc.records(warc.read_archives(archives, with_payload=False))
+    return read.select(
+        warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_of(F.col("refers_to_id")).alias("refers_to"),
+    )
