@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 #: Rows of an Arrow batch handed to Python: a batch of long texts stays within a few tens of MB.
 BATCH_ROWS = 512
 
+#: Ids that are broadcast as such: some 20 MB in an executor.
+BROADCAST_IDS = 500_000
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -89,12 +92,15 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def rows_with_ids(docs: DataFrame, ids: DataFrame, id_column: str = "doc_id", max_bits: int = 27) -> DataFrame:
     """Rows of ``docs`` whose integer id is in ``ids``, without shuffling most of the others.
 
-    A bitmap of hashed ids is made in the tasks, united on the driver and broadcast; the rows it lets
+    Up to BROADCAST_IDS ids (their number is counted here) are broadcast. Beyond, a bitmap of hashed ids is made in the tasks, united on the driver and broadcast; the rows it lets
     through are then joined exactly. It has at most ``2 ** max_bits`` bits (16 MB), however many ids
     there are: beyond that it lets more rows through to the join, which stays exact.
     """
     spark = docs.sparkSession
+    ids = ids.select(id_column).distinct()
     n = ids.count()
+    if n <= BROADCAST_IDS:
+        return docs.join(F.broadcast(ids), id_column, "left_semi")
     bits = int(min(max_bits, max(13, np.ceil(np.log2(16 * n + 1)))))
     shift = np.uint64(64 - bits)
     schema = pa.schema([("page", pa.int32()), ("bits", pa.binary())])
@@ -118,7 +124,7 @@ def rows_with_ids(docs: DataFrame, ids: DataFrame, id_column: str = "doc_id", ma
             out |= np.frombuffer(p.as_py(), np.uint8)
         return pa.table({"page": pa.array([key[0].as_py()], pa.int32()), "bits": [out.tobytes()]}, schema=schema)
 
-    made = ids.select(id_column).mapInArrow(collect, "page int, bits binary").groupBy("page").applyInArrow(unite, "page int, bits binary")
+    made = ids.mapInArrow(collect, "page int, bits binary").groupBy("page").applyInArrow(unite, "page int, bits binary")
     packed = np.zeros(1 << (bits - 3), np.uint8)
     for row in made.collect():  # at most 16 MB in all, whatever the input
         packed[row["page"] * 65536 : row["page"] * 65536 + len(row["bits"])] = np.frombuffer(row["bits"], np.uint8)
@@ -130,7 +136,7 @@ def rows_with_ids(docs: DataFrame, ids: DataFrame, id_column: str = "doc_id", ma
             hit = (shared.value[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1
             yield b.filter(pa.array(hit.astype(bool)))
 
-    return docs.mapInArrow(pick, docs.schema).join(ids.select(id_column).distinct(), id_column, "left_semi")
+    return docs.mapInArrow(pick, docs.schema).join(ids, id_column, "left_semi")
 
 
 # ---------------------------------------------------------------- words and shingles

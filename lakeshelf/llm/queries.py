@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshelf.llm import exact_dedup, html_text, mixing, token_records, warc
+from lakeshelf.llm import exact_dedup, html_text, mixing, ngram_join, token_records, warc
 from lakeshelf.llm.common import table
 from lakeshelf.llm.registry import query
 
@@ -92,3 +92,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         warc.page_of(F.col("refers_to_id")).alias("refers_to"),
     )
+
+
+@query("op7_ngram_jaccard_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
