@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshelf.llm import exact_dedup, html_text, mixing, ngram_join, token_records, warc
+from lakeshelf.llm import exact_dedup, html_text, language_id, mixing, ngram_join, token_records, toxicity, warc
 from lakeshelf.llm.common import table
 from lakeshelf.llm.registry import query
 
@@ -97,3 +97,23 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_ngram_jaccard_join")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def _crc(doc_id, parts: int):
+    return F.crc32(doc_id.cast("string").cast("binary")) % parts
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = _crc(F.col("doc_id"), 5) == 0
+    model = language_id.fit(docs, ~held_out)
+    return language_id.classify(docs, model, "doc_id").select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = _crc(F.col("doc_id"), 3) == 1
+    scorer = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"), ~held_out)
+    return toxicity.score(docs, scorer, "doc_id").select("doc_id", held_out.alias("held_out"), "score", "predicted")
