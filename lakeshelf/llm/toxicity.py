@@ -2,10 +2,10 @@
 
 Two Zstandard dictionaries are trained, one on windows of toxic text and one on windows of ordinary text.
 A window is a word between spaces, set in a constant carrier text that both dictionaries hold, so that the
-compressed lengths differ by what the word alone costs. A word that the toxic dictionary shortens
-by at least a threshold of bytes is a hit. A document's score is a logistic function of its hits, their gains and
-their share of its words; the threshold and the function are calibrated on documents that their dictionaries
-were not trained on (FOLDS parts in turn).
+compressed lengths differ by what the word alone costs: the gain of the toxic dictionary, in bytes. A
+document's score is a logistic function of how many of its windows pass each of the gains in THRESHOLDS, and of
+the share that pass the middle one. How much each threshold counts is calibrated on documents
+that their dictionaries were not trained on (FOLDS parts in turn).
 
 The toxic dictionary's windows are words of toxic documents that, or whose beginnings, occur in toxic
 documents far more often than in ordinary ones (a likelihood ratio of at least EVIDENCE, counted over distinct
@@ -38,9 +38,11 @@ from lakeshelf.llm.common import small_batches, texts_of
 SAMPLE_TOXIC, SAMPLE_ORDINARY = 1200, 2400
 FOLDS = 3
 EVIDENCE = 18.0
-TOXIC_BYTES, ORDINARY_BYTES = 4096, 16384
+TOXIC_BYTES, ORDINARY_BYTES = 4096, 65536
 LEVEL = 12
-THRESHOLDS = range(2, 9)
+THRESHOLDS = range(2, 10)
+#: Gain from which a window counts as a hit on its own, weight of toxic documents in calibration, and ridge.
+HIT, TOXIC_WEIGHT, RIDGE = 4, 2.0, 0.3
 TOXIC_FROM = 0.7
 #: Words whose gain a worker remembers.
 REMEMBERED = 500_000
@@ -143,27 +145,30 @@ def train(docs: list[list[str]], labels: np.ndarray) -> Distance:
     return Distance(_dictionary(toxic_windows, TOXIC_BYTES), _dictionary(ordinary_windows, ORDINARY_BYTES))
 
 
-def _measures(words: list[str], distance: Distance, threshold: int) -> list[float]:
-    gain = distance.gain
-    hits = [g for g in map(gain, words) if g >= threshold]
-    n = len(words)
-    return [math.log1p(len(hits)), 10 * len(hits) / max(1, n), min(1.0, len(hits)), math.log1p(n) / 5, math.log1p(sum(hits)), 1.0]
+def _measures(words: list[str], distance: Distance) -> list[float]:
+    last, n = THRESHOLDS[-1], len(words)
+    counts = Counter(min(last, g) for g in map(distance.gain, words) if g >= THRESHOLDS[0])
+    hits = sum(k for g, k in counts.items() if g >= HIT)
+    gained = sum(k * g for g, k in counts.items() if g >= HIT)
+    return [
+        *(math.log1p(counts[g]) for g in THRESHOLDS), math.log1p(hits), math.log1p(gained), 10 * hits / max(1, n),
+        min(1.0, hits), math.log1p(n) / 5, 1.0,
+    ]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and loss of a ridge logistic regression (Newton steps)."""
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of a ridge logistic regression (Newton steps)."""
     scale = np.abs(x).max(axis=0) + 1e-9
-    z, w = x / scale, np.zeros(x.shape[1])
-    for _ in range(40):
+    z, w, c = x / scale, np.zeros(x.shape[1]), np.where(y == 1, TOXIC_WEIGHT, 1.0)
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -40, 40)))
-        h = (z * (p * (1 - p))[:, None]).T @ z + 1e-2 * np.eye(len(w))
-        w -= np.linalg.solve(h, z.T @ (p - y) + 1e-2 * w)
-    p = np.clip(1 / (1 + np.exp(-np.clip(z @ w, -40, 40))), 1e-9, 1 - 1e-9)
-    return w / scale, float(-np.mean(y * np.log(p) + (1 - y) * np.log(1 - p)))
+        h = (z * (c * p * (1 - p))[:, None]).T @ z + RIDGE * np.eye(len(w))
+        w -= np.linalg.solve(h, z.T @ (c * (p - y)) + RIDGE * w)
+    return w / scale
 
 
 class Scorer:
-    """Dictionaries, threshold and logistic weights; 0 for all texts if there is nothing to learn from."""
+    """Dictionaries and logistic weights; 0 for all texts if there is nothing to learn from."""
 
     def __init__(self, texts: list[str], labels: list[int]):
         docs = [words_of(t) for t in texts]
@@ -177,18 +182,13 @@ class Scorer:
         for v in (0, 1):  # every part has both kinds
             part[y == v] = np.arange((y == v).sum()) % FOLDS
         apart = [train([d for d, p in zip(docs, part) if p != k], y[part != k]) for k in range(FOLDS)]
-        tried = []
-        for threshold in THRESHOLDS:
-            x = np.array([_measures(d, apart[p], threshold) for d, p in zip(docs, part)])
-            weights, loss = _logistic(x, y)
-            tried.append((loss, threshold, weights))
-        _, self.threshold, self.weights = min(tried, key=lambda t: t[:2])
+        self.weights = _logistic(np.array([_measures(d, apart[p]) for d, p in zip(docs, part)]), y)
         self.distance = train(docs, y)
 
     def score(self, text: str) -> float:
         if self.distance is None:
             return 0.0
-        at = float(np.dot(_measures(words_of(text), self.distance, self.threshold), self.weights))
+        at = float(np.dot(_measures(words_of(text), self.distance), self.weights))
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, at))))
 
 
