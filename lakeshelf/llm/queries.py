@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshelf.llm import exact_dedup, html_text, language_id, mixing, ngram_join, token_records, toxicity, warc
+from lakeshelf.llm import (
+    exact_dedup, fingerprints, html_text, language_id, mixing, ngram_join, packing, token_records, toxicity, warc,
+)
 from lakeshelf.llm.common import table
 from lakeshelf.llm.registry import query
 
@@ -72,12 +74,23 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
 
 
+@query("op2_imatch_fingerprints")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op3_html_main_text")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+@query("op5_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack(docs, mixing.word_count(F.col("text")))
+
+
 @query("op6_token_records")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
