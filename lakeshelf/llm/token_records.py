@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,16 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 
 
 _STEP, _PASS = _tables()
+_ONE = [int(x) for x in _STEP[0]]
+
+
+def masked_of_head(head: bytes) -> int:
+    """The masked CRC-32C of a few bytes."""
+    crc = 0xFFFFFFFF
+    for x in head:
+        crc = _ONE[(crc ^ x) & 255] ^ (crc >> 8)
+    crc ^= 0xFFFFFFFF
+    return (((crc >> 15) | (crc << 17)) + MASK_ADD) & 0xFFFFFFFF
 
 
 def crc32c(messages: list[bytes]) -> np.ndarray:
@@ -95,8 +106,8 @@ def masked(crc: np.ndarray) -> np.ndarray:
 
 def frames(payloads: list[bytes]) -> list[bytes]:
     heads = [struct.pack("<Q", len(p)) for p in payloads]
-    head_crc, body_crc = masked(crc32c(heads)).astype("<u4"), masked(crc32c(payloads)).astype("<u4")
-    return [h + a.tobytes() + p + b.tobytes() for h, a, p, b in zip(heads, head_crc, payloads, body_crc)]
+    checks = masked(crc32c(payloads)).tolist()
+    return [h + struct.pack("<I", masked_of_head(h)) + p + struct.pack("<I", c) for h, p, c in zip(heads, payloads, checks)]
 
 
 def read_frames(stream, portion: int = 1 << 22) -> Iterator[list[bytes]]:
@@ -110,7 +121,7 @@ def read_frames(stream, portion: int = 1 << 22) -> Iterator[list[bytes]]:
             if len(head) < 12:
                 raise ValueError("a record ends early")
             n = struct.unpack("<Q", head[:8])[0]
-            if masked(crc32c([head[:8]])).astype("<u4")[0].tobytes() != head[8:]:
+            if masked_of_head(head[:8]).to_bytes(4, "little") != head[8:]:
                 raise ValueError("a record's length fails its checksum")
             body = stream.read(n + 4)
             if len(body) < n + 4:
@@ -128,6 +139,9 @@ def read_frames(stream, portion: int = 1 << 22) -> Iterator[list[bytes]]:
 
 # ---------------------------------------------------------------- encoding
 
+#: A mark after letters or digits is a piece of its own for the tokenizer.
+_MARKS = frozenset(bytes([c]) for c in b".,!?;:|$%&#*")
+
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -159,34 +173,44 @@ class Encoder:
         """A-Z in lower case, as the tokenizer has it, unless the text may name a special token."""
         return text if b"<|" in text else text.lower()
 
-    def _learn(self, runs: list[bytes]) -> None:
+    def _learn(self, runs: set[bytes]) -> None:
+        """Add runs; one that is letters and a last mark is put together from the two."""
+        marked = [r for r in runs if r[-1:] in _MARKS and r[:-1].isalnum()]
+        self._add([*runs.difference(marked), *({r[:-1] for r in marked}.union(_MARKS) - self.place.keys() - runs)])
+        if marked:
+            core = np.fromiter((self.place[r[:-1]] for r in marked), np.int64, len(marked))
+            mark = np.fromiter((self.place[r[-1:]] for r in marked), np.int64, len(marked))
+            both = np.stack([core, mark], axis=1).ravel()
+            sizes = self.sizes[both]
+            self._append(marked, self._gather(both), sizes.reshape(-1, 2).sum(axis=1))
+
+    def _add(self, runs: list[bytes]) -> None:
         ids = [e.ids for e in self.tokenizer.encode_batch([r.decode() for r in runs], add_special_tokens=False)]
-        sizes = np.array([len(i) for i in ids], np.int64)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self._append(runs, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes)
+
+    def _append(self, runs: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         self.place.update(zip(runs, range(len(self.place), len(self.place) + len(runs))))
         self.starts = np.r_[self.starts, len(self.pool) + np.cumsum(sizes) - sizes]
         self.sizes = np.r_[self.sizes, sizes]
-        self.pool = np.r_[self.pool, np.array([x for i in ids for x in i], np.uint32)]
+        self.pool = np.r_[self.pool, ids]
+
+    def _gather(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the runs at these places, one after another."""
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        return self.pool[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(at) else 0)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, the end id last."""
         if len(self.place) > self.LIMIT:
             self._reset()
         split = [self._folded(t.encode()).split() for t in texts]
-        new = list(dict.fromkeys(r for s in split for r in s if r not in self.place))
+        new = set().union(*split) - self.place.keys()
         if new:
             self._learn(new)
         find = self.place.__getitem__
-        out = []
-        for s in split:
-            at = np.fromiter(map(find, s), np.int64, len(s))
-            sizes = self.sizes[at]
-            ends = np.cumsum(sizes)
-            n = int(ends[-1]) if len(s) else 0
-            ids = np.empty(n + 1, np.uint32)
-            ids[:n] = self.pool[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(n)]
-            ids[n] = END_ID
-            out.append(ids)
-        return out
+        return [np.append(self._gather(np.fromiter(map(find, s), np.int64, len(s))), np.uint32(END_ID)) for s in split]
 
 
 # ---------------------------------------------------------------- writing and reading
@@ -209,7 +233,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str | None = None) ->
         if first is None:
             return
         with created(path) as out, created(f"{path}.idx") as index:
-            for b in _chain(first, batches):
+            for b in chain([first], batches):
                 payloads, counts = [], []
                 for i, ids in zip(b.column(0).to_pylist(), encoder.encode(texts_of(b.column(1)))):
                     body = pack.compress(ids.astype(f"<u{encoder.width}").tobytes())
@@ -228,11 +252,6 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str | None = None) ->
     return stored(ordered.mapInArrow(write, _SHARDS), "token-shards")
 
 
-def _chain(first, rest):
-    yield first
-    yield from rest
-
-
 def parse(payload: bytes) -> tuple[int | None, np.ndarray]:
     """doc_id and ids of a record."""
     null, doc_id, n, width = struct.unpack_from("<BqIB", payload)
