@@ -22,8 +22,8 @@ _INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 _NUMBER_TEXT = r"(?i)^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity)\s*$"
 _BOOLEAN_TEXTS = ("true", "t", "yes", "y", "1", "false", "f", "no", "n", "0")
 
-# Every double below this bound in size that has no fraction is an exact BIGINT.
-_BIGINT_LIMIT = 9.2e18
+# A double without a fraction is an exact BIGINT from the first of these to below the second.
+_BIGINT_FROM, _BIGINT_BELOW = -(2.0**63), 2.0**63
 
 
 def cast_kind(type_name: str) -> str:
@@ -46,7 +46,8 @@ def _whole_number(c: Column, source: T.DataType) -> Column:
         return F.when(F.floor(c) == c, c).try_cast("bigint")
     as_double = number_of(c, source)
     by_double = F.when(
-        (F.rint(as_double) == as_double) & (F.abs(as_double) < F.lit(_BIGINT_LIMIT)), as_double
+        (F.rint(as_double) == as_double) & (as_double >= F.lit(_BIGINT_FROM)) & (as_double < F.lit(_BIGINT_BELOW)),
+        as_double,
     ).cast("bigint")
     if isinstance(source, (T.DoubleType, T.FloatType)):
         return by_double

@@ -25,6 +25,9 @@ QUALITY_COLUMNS = (
     "failed_rows bigint, total_rows bigint, failure_rate double, details string, checked_at timestamp"
 )
 
+TOPIC_PROGRESS = "bronze.topic_progress"
+PROGRESS_COLUMNS = "source_id string, topic string, partition int, next_offset bigint, recorded_at timestamp"
+
 SUCCESS, FAILED, SKIPPED = "success", "failed", "skipped"
 
 
@@ -69,6 +72,23 @@ def record_runs(lake: Lake, results: Sequence[RunResult]) -> int:
     return lake.append(lake.spark.createDataFrame(rows, INGESTION_COLUMNS).coalesce(1), INGESTION_AUDIT)
 
 
+def topic_progress(lake: Lake, source_id: str) -> list[tuple[str, int, int]]:
+    """(topic, partition, next offset) that earlier runs of a source came to; one row per topic partition."""
+    if not lake.exists(TOPIC_PROGRESS):
+        return []
+    rows = lake.read(TOPIC_PROGRESS).where(F.col("source_id") == source_id)
+    far = rows.groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset"))
+    return [(r["topic"], r["partition"], r["next_offset"]) for r in far.collect()]
+
+
+def record_topic_progress(lake: Lake, source_id: str, envelope: DataFrame, now: datetime) -> int:
+    """Record the offsets behind the messages that a run has loaded."""
+    reached = envelope.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset")).select(
+        F.lit(source_id).alias("source_id"), "topic", "partition", "next_offset", F.lit(now).alias("recorded_at")
+    )
+    return lake.append(reached.coalesce(1), TOPIC_PROGRESS)
+
+
 def record_checks(lake: Lake, report: DataFrame) -> int:
     """Append a quality report, by column name."""
     return lake.append(report, QUALITY_AUDIT)

@@ -49,15 +49,23 @@ def replace_days(
 ) -> int:
     """Replace all target rows from ``first_day`` on by ``fresh``.
 
-    A partition for which no rows are left at all keeps its old rows; facts are rebuilt
-    from sources that only grow. ``partition_start`` gives the partition a day lies in. Partitions that begin before
-    ``first_day`` keep their earlier rows; only that partition of the target is read.
+    Partitions from there on for which no rows are left are dropped. ``partition_start`` gives the partition a
+    day lies in. The partition that begins before ``first_day`` keeps its earlier rows; only that
+    partition of the target is read.
     """
     start = partition_start(first_day)
     if start < first_day:
         kept = lake.read(table).where((F.col(partition_by) == F.lit(start)) & (F.col(day) < F.lit(first_day)))
         fresh = fresh.unionByName(kept, allowMissingColumns=True)
-    return lake.overwrite_partitions(fresh, table, [partition_by])
+    # kept in the shared folder: the partitions that it fills must be known, and be the same when it is written
+    fresh, release = staged(fresh, "days")
+    try:
+        filled = {r[0] for r in fresh.select(partition_by).distinct().collect()}  # days or months
+        rows = lake.overwrite_partitions(fresh, table, [partition_by])
+        lake.drop_partitions(table, partition_by, lambda value: value is not None and value >= start and value not in filled)
+    finally:
+        release()
+    return rows
 
 
 def load(
@@ -117,10 +125,19 @@ def replace_by_key(lake: Lake, table: str, delta: DataFrame, key: Sequence[str],
     if not lake.exists(table):
         return lake.overwrite(delta, table, [partition_by])
     # written once: it is used three times below, and must not change in between
-    delta = staged(delta, "delta")
+    delta, release = staged(delta, "delta")
+    try:
+        return _replace_by_key(lake, table, delta, key, partition_by)
+    finally:
+        release()
+
+
+def _replace_by_key(lake: Lake, table: str, delta: DataFrame, key: Sequence[str], partition_by: str) -> int:
     sync_columns(lake, table, delta)
-    touched = delta.select(partition_by).distinct()
-    old = lake.read(table).join(touched, partition_by, "left_semi")
+    touched = delta.select(F.col(partition_by).alias("__touched")).distinct()
+    old = lake.read(table)
+    # null-safe: the partition of null values is replaced as a whole like any other
+    old = old.join(touched, old[partition_by].eqNullSafe(touched["__touched"]), "left_semi")
     same_key = None
     d = delta.select(*[F.col(k).alias(f"__{k}") for k in key])
     for k in key:

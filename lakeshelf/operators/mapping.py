@@ -7,7 +7,7 @@ into a single ``select``.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
@@ -66,6 +66,11 @@ class FieldRule:
     def cast(self, c: Column, source_type: T.DataType) -> Column:
         return tolerant_cast(c, self.type, source_type, self.formats) if self.type else c
 
+    def rejected(self, c: Column, source_type: T.DataType) -> Column:
+        """Aggregate: how many non-null raw values the cast turns into null."""
+        filled = self.with_default(c, source_type)
+        return F.count_if(filled.isNotNull() & self.cast(filled, source_type).isNull()).alias(self.target)
+
     def in_range(self, c: Column, source_type: T.DataType) -> Column:
         if self.minimum is None and self.maximum is None:
             return c
@@ -120,8 +125,14 @@ class FieldMapping:
             out.append(raw if rule is None else rule.compile(raw, f.dataType).alias(rule.target))
         return df.select(*out)
 
-    def apply_to_json(self, df: DataFrame, json_column: str, keep_raw: bool = True) -> DataFrame:
-        """Map the paths of a JSON text column.
+    def apply_to_json(
+        self,
+        df: DataFrame,
+        json_column: str,
+        keep_raw: bool = True,
+        watch: Callable[[DataFrame, Sequence[Column]], DataFrame] | None = None,
+    ) -> DataFrame:
+        """Map the paths of a JSON text column; ``watch`` as in ``ingest.transform``.
 
         One ``from_json`` with a schema made from the paths reads every path in a
         single parse; leaves stay text, so the casts are the same as for CSV.
@@ -134,16 +145,16 @@ class FieldMapping:
             for r in self.rules
         ]
         carried = df.select("*", parsed.alias(tmp))
+        if watch:
+            text = T.StringType()
+            carried = watch(carried, [r.rejected(path_column(F.col(tmp), r.flat_name), text) for r in self.rules])
         return carried.select(*mapped, *[F.col(_quoted(c)) for c in others])
 
     def rejected_casts(self, df: DataFrame) -> list[Column]:
         """Per rule: how many non-null raw values the cast turns into null."""
         counts = []
         for name, rule in self._steps(df).items():
-            source_type = df.schema[name].dataType
-            filled = rule.with_default(F.col(_quoted(name)), source_type)
-            lost = filled.isNotNull() & rule.cast(filled, source_type).isNull()
-            counts.append(F.count_if(lost).alias(rule.target))
+            counts.append(rule.rejected(F.col(_quoted(name)), df.schema[name].dataType))
         return counts
 
     def split_required(self, mapped: DataFrame) -> tuple[DataFrame, DataFrame]:

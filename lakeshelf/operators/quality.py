@@ -90,7 +90,17 @@ class Check:
                 outside = outside | (number > F.lit(float(self.high)))
             return F.count_if(outside)
         if self.kind == "accepted_values":
-            return F.count_if(~cols[0].cast("string").isin([str(v) for v in self.values]))
+            kind = df.schema[self.columns[0]].dataType
+            if isinstance(kind, T.StringType):
+                return F.count_if(~cols[0].isin([str(v) for v in self.values]))
+            # in the type of the column: 1 is 1.0, and True is not the text 'True'; what can't be one of its values is left out
+            whole = isinstance(kind, T.IntegralType)
+            fitting = [v for v in self.values if v is not None and not (whole and isinstance(v, float) and v % 1)]
+            listed = [F.lit(v).try_cast(kind) for v in fitting]
+            if not listed:
+                return F.count(cols[0])
+            accepted = F.array_contains(F.array_compact(F.array(*listed)), cols[0])
+            return F.count_if(cols[0].isNotNull() & ~accepted)
         if self.kind == "freshness":
             # any recent row passes, so the newest one decides
             newest = F.max(_moment(cols[0], df.schema[self.columns[0]].dataType))

@@ -6,14 +6,18 @@ second time to be counted.
 
 from __future__ import annotations
 
+import re
 import threading
 import uuid
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+from lakeshelf.session import delete_path
+
 LAYERS = ("bronze", "silver", "gold", "staging")
 
 
@@ -32,9 +36,10 @@ class Lake:
     """The layer databases of one session.
 
     Tables are Parquet files below ``root/layer/table/<version>``, by default in the
-    warehouse folder of the session. A full overwrite writes a new version folder and
-    then points the catalog at it, so a failed write leaves the old table in place and a
-    table may be overwritten with a query over itself.
+    warehouse folder of the session. A full overwrite writes a new version folder,
+    registers it under another name and then exchanges the names, so a failed write or
+    registration leaves the old table in place and a table may be overwritten with a query over
+    itself. The version before is kept for readers that began on it.
 
     ``namespace`` is put in front of the database names (``dev_bronze``), so several
     lakes can live in one catalog.
@@ -117,19 +122,60 @@ class Lake:
         order = [c for c in schema.names if c not in partition_by] + list(partition_by)
         columns = ", ".join(f"{_name(c)} {schema[c].dataType.simpleString()}" for c in order)
         parts = f"PARTITIONED BY ({', '.join(map(_name, partition_by))})" if partition_by else ""
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        # an overwriting insert replaces only the partitions it has rows for
-        self.spark.sql(
-            f"CREATE TABLE {table} ({columns}) USING parquet "
-            f"OPTIONS (partitionOverwriteMode 'dynamic') {parts} LOCATION '{path}'"
-        )
-        if partition_by:
-            self.spark.sql(f"MSCK REPAIR TABLE {table}")
 
-    def _delete(self, path: str) -> None:
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        def create(name: str) -> None:
+            # an overwriting insert replaces only the partitions it has rows for
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet "
+                f"OPTIONS (partitionOverwriteMode 'dynamic') {parts} LOCATION '{path}'"
+            )
+            if partition_by:
+                self.spark.sql(f"MSCK REPAIR TABLE {name}")
+
+        if not self.spark.catalog.tableExists(table):
+            create(table)
+            return
+        now = self.spark.table(table).schema
+        if not partition_by and [(f.name, f.dataType) for f in now] == [(c, schema[c].dataType) for c in order]:
+            if not any(c.isPartition for c in self.spark.catalog.listColumns(table)):
+                self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")  # one step for readers
+                self.spark.catalog.refreshTable(table)
+                return
+        # all that can fail is done under another name, and only then the names are exchanged
+        beside = f"{table}_{uuid.uuid4().hex[:12]}"
+        former = f"{beside}_former"
+        create(beside)
+        try:
+            self.spark.sql(f"ALTER TABLE {table} RENAME TO {former}")
+        except Exception:
+            self.spark.sql(f"DROP TABLE {beside}")
+            raise
+        try:
+            self.spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
+        except Exception:
+            self.spark.sql(f"ALTER TABLE {former} RENAME TO {table}")
+            raise
+        self.spark.sql(f"DROP TABLE {former}")
+
+    def _forget_versions(self, table: str, keep: set[str]) -> None:
+        """Delete version folders of this lake's own that are older than the last two.
+
+        The version before stays: queries that began on it still read its files. Folders
+        elsewhere, such as raw data an external table was made over, are never touched.
+        """
+        home = self._home(table)
+        names = {k.rstrip("/").rsplit("/", 1)[-1] for k in keep}
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(home)
+        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not system.exists(path):
+            return
+        for status in system.listStatus(path):
+            name = status.getPath().getName()
+            if status.isDirectory() and re.fullmatch(r"[0-9a-f]{32}", name) and name not in names:
+                delete_path(self.spark, f"{home}/{name}")
+
+    def _home(self, table: str) -> str:
+        return f"{self.root}/{table.replace('.', '/')}"
 
     def append(
         self, df: DataFrame, name: str, partition_by: Sequence[str] = (), rebalance: bool = True
@@ -161,16 +207,36 @@ class Lake:
         """
         table = self.table(name)
         counted, rows = self._prepared(df, partition_by, rebalance)
-        path = f"{self.root}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
+        path = f"{self._home(table)}/{uuid.uuid4().hex}"
         with self._locks[table]:
             old = self.location(name) if self.exists(name) else None
             writer = counted.write.partitionBy(*partition_by) if partition_by else counted.write
             writer.parquet(path)
             self._register(table, df.schema, path, partition_by)
-            if old:
-                self._delete(old)
+            self._forget_versions(table, {path, *([old] if old else [])})
         return rows()
 
+    def drop_partitions(self, name: str, column: str, which: Callable[[Any], bool]) -> int:
+        """Drop the partitions whose value of ``column`` (the only partition column) passes ``which``."""
+        table = self.table(name)
+        if self.partition_columns(name) != [column]:
+            raise ValueError(f"{table} is not partitioned by {column} alone")
+        kind = self.read(name).schema[column].dataType
+        value = F.split(F.col("partition"), "=").getItem(1)
+        listed = self.spark.sql(f"SHOW PARTITIONS {table}").select(
+            value.alias("text"), F.when(value != "__HIVE_DEFAULT_PARTITION__", value).try_cast(kind).alias("value")
+        )
+        gone = [r["text"] for r in listed.collect() if which(r["value"])]
+        with self._locks[table]:
+            for text in gone:
+                # the catalog entry goes first, so that no reader looks for files that are gone
+                folder = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({_name(column)} = '{text}')")
+                place = folder.where("col_name = 'Location'").first()["data_type"]
+                self.spark.sql(f"ALTER TABLE {table} DROP PARTITION ({_name(column)} = '{text}')")
+                if place.startswith(self.location(name)):
+                    delete_path(self.spark, place)
+        return len(gone)
+
     def write(
         self, df: DataFrame, name: str, mode: str = "append", partition_by: Sequence[str] = (), rebalance: bool = True
     ) -> int:

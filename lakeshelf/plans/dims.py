@@ -12,9 +12,6 @@ from lakeshelf.functions import day_of_week, is_weekend, season_name, season_num
 FIRST_DAY = date(2020, 1, 1)
 LAST_DAY = date(2026, 12, 31)
 
-# A dimension of at most this many days (about 270 years, a few MB) may be broadcast.
-BROADCAST_DAYS = 100_000
-
 
 def day_spine(spark: SparkSession, first: date = FIRST_DAY, last: date = LAST_DAY) -> DataFrame:
     """One row per day."""
@@ -60,14 +57,6 @@ def dim_date_short(spark: SparkSession, first: date = FIRST_DAY, last: date = LA
     )
 
 
-def join_dates(
-    df: DataFrame, dates: DataFrame, how: str = "left", first: date = FIRST_DAY, last: date = LAST_DAY
-) -> DataFrame:
-    """Join the dimension on ``date_key``.
-
-    The number of days bounds its size, so it is broadcast when that number is small
-    and left to the planner otherwise.
-    """
-    days = (last - first).days + 1
-    side = F.broadcast(dates) if days <= BROADCAST_DAYS else dates
-    return df.join(side, "date_key", how)
+def join_dates(df: DataFrame, dates: DataFrame, how: str = "left") -> DataFrame:
+    """Join the dimension on ``date_key``. The planner knows the size of ``dates`` and broadcasts it if it is small."""
+    return df.join(dates, "date_key", how)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,14 +55,17 @@ def build_session(
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (single-machine tests) a temporary folder is made.
+    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset and the
+    master is local a temporary folder is made; on a cluster each machine would have a
+    folder of its own, and later reads would miss files.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakeshelf-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
@@ -72,8 +76,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/lakeshelf/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str = "staged") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def delete_path(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def staged(df: DataFrame, label: str = "staged") -> tuple[DataFrame, Callable[[], None]]:
+    """Write ``df`` once to the shared folder and read it back; also a function that removes it again.
 
     Cuts the lineage with files that outlive a lost executor, so several later
     actions on the result do not repeat the work behind it.
@@ -81,4 +90,4 @@ def staged(df: DataFrame, label: str = "staged") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), lambda: delete_path(spark, path)

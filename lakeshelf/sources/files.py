@@ -1,20 +1,24 @@
 """File sources: CSV, JSON, JSON Lines and Parquet, united by column name.
 
 Listing is left to Spark (parallel for large trees). File contents are read by
-executors only; the driver sees file names and, for CSV, header lines.
+executors; the driver sees file names and, for CSV, the first bytes of each file up to the end of
+its header (one file's where ``same_header`` is promised), 32 files at a time.
 """
 
 from __future__ import annotations
 
 import csv
-import io
 import logging
+import re
+from bisect import bisect_right
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
+from urllib.parse import unquote
 
+import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -34,7 +38,6 @@ SOURCE_FILE = "_source_file"
 CORRUPT = "_corrupt_record"
 
 _HEADER_CHUNK = 64 * 1024
-_HEADER_LIMIT = 16 * 1024 * 1024
 _PROBE_THREADS = 32
 
 
@@ -113,8 +116,25 @@ def dataset_file(spark: SparkSession, folder: str, filename: str) -> str:
 # ---- CSV ------------------------------------------------------------------
 
 
-def _first_records(spark: SparkSession, path: str, options: FileOptions, count: int) -> list[list[str]]:
-    """The first ``count`` CSV records of a file after the skipped lines."""
+@dataclass(frozen=True)
+class _Head:
+    """The first record of a CSV file, and the lines that come before the data."""
+
+    record: tuple[str, ...]
+    # lines in front of the record, and up to its end
+    lines_before: int
+    lines_through: int
+    # byte offset at which each of those lines begins
+    offsets: tuple[int, ...]
+    size: int
+
+
+def _head(spark: SparkSession, path: str, options: FileOptions) -> _Head | None:
+    """The head of a file after the skipped lines; None if nothing follows them.
+
+    As much of the file is read as that takes, in growing portions: however long a preamble or
+    a header is, it is found. A file that cannot be opened or decoded so far is an error.
+    """
     jvm = spark._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     conf = spark._jsc.hadoopConfiguration()
@@ -135,21 +155,41 @@ def _first_records(spark: SparkSession, path: str, options: FileOptions, count:
             except Exception as error:  # noqa: BLE001
                 raise UnreadableFile(path) from error
             data += more
-            text = data.decode(options.encoding, errors="replace").removeprefix("﻿")
-            lines = text.splitlines(keepends=True)
             at_end = len(more) < size
-            usable = lines[options.skip_rows:] if at_end else lines[options.skip_rows:-1]
-            rows = csv.reader(
-                io.StringIO("".join(usable)), delimiter=options.delimiter, quotechar=options.quote_char
-            )
-            records = [r for r in rows if r][:count]
-            if len(records) == count or at_end or len(data) >= _HEADER_LIMIT:
-                return records
-            size *= 4
+            found = _head_in(data, at_end, options)
+            if found is not None or at_end:
+                return found
+            size = min(size * 4, 64 * 1024 * 1024)
     finally:
         stream.close()
 
 
+def _head_in(data: bytes, at_end: bool, options: FileOptions) -> _Head | None:
+    text = data.decode(options.encoding, errors="replace")
+    mark = text.startswith("\ufeff")
+    # line ends as the text reader knows them; the last line may go on
+    lines = re.findall(r"[^\r\n]*(?:\r\n|\r|\n)|[^\r\n]+$", text.removeprefix("\ufeff"))
+    if not at_end:
+        lines = lines[:-1]
+    body = lines[options.skip_rows:]
+    rows = csv.reader(iter(body), delimiter=options.delimiter, quotechar=options.quote_char)
+    before = 0
+    for row in rows:
+        if not row or (len(row) == 1 and not row[0].strip()):
+            before = rows.line_num  # a blank line in front of the header
+            continue
+        if not at_end and rows.line_num >= len(body):
+            return None  # the record may go on behind what was read
+        through = options.skip_rows + rows.line_num
+        width = lambda t: len(t.encode(options.encoding, errors="replace"))
+        starts, at = [], width("\ufeff") if mark else 0
+        for line in lines[:through]:
+            starts.append(at)
+            at += width(line)
+        return _Head(tuple(row), options.skip_rows + before, through, tuple(starts), at)
+    return None
+
+
 def _column_names(header: list[str]) -> tuple[str, ...]:
     """Names as given; blanks become ``Unnamed: i`` and repeats get a number."""
     names: list[str] = []
@@ -163,38 +203,62 @@ def _column_names(header: list[str]) -> tuple[str, ...]:
     return tuple(names)
 
 
-def _csv_columns(spark: SparkSession, path: str, options: FileOptions) -> tuple[str, ...]:
-    records = _first_records(spark, path, options, 1)
-    if not records:
-        raise UnreadableFile(f"{path} is empty")
+def _columns_of_head(head: _Head, options: FileOptions) -> tuple[str, ...]:
     if options.has_header:
-        return _column_names(records[0])
-    return tuple(str(i) for i in range(len(records[0])))
+        return _column_names(list(head.record))
+    return tuple(str(i) for i in range(len(head.record)))
 
 
-def _csv_groups(
-    spark: SparkSession, paths: list[str], options: FileOptions
-) -> dict[tuple[str, ...], list[str]]:
+@dataclass
+class _Group:
+    """Files with the same columns and the same number of lines in front of the data."""
+
+    columns: tuple[str, ...]
+    drop: int
+    paths: list[str] = field(default_factory=list)
+    # where the dropped lines begin, for files in which they may reach beyond the first split
+    long_heads: dict[str, tuple[int, ...]] = field(default_factory=dict)
+
+
+def _csv_groups(spark: SparkSession, paths: list[str], options: FileOptions) -> list[_Group]:
     """Files by their columns. Reading files with other columns under one schema would
     shift values into the wrong columns."""
-    if options.same_header:
-        return {_csv_columns(spark, paths[0], options): paths}
 
-    def probe(path: str) -> tuple[str, tuple[str, ...] | None]:
+    def probe(path: str) -> tuple[str, _Head | None]:
         try:
-            return path, _csv_columns(spark, path, options)
+            head = _head(spark, path, options)
         except UnreadableFile:
             if not options.tolerate_bad_files:
                 raise
             log.exception("skipping unreadable file %s", path)
             return path, None
-
-    groups: dict[tuple[str, ...], list[str]] = {}
+        if head is None:
+            # nothing behind the skipped lines: an empty file, not a bad one
+            log.warning("file %s holds no record", path)
+        return path, head
+
+    groups: dict[tuple, _Group] = {}
+    first = paths[:1] if options.same_header and not options.skip_rows else paths
+    shortest = _shortest_split(spark)
     with ThreadPoolExecutor(_PROBE_THREADS) as pool:
-        for path, columns in pool.map(probe, paths):
-            if columns is not None:
-                groups.setdefault(columns, []).append(path)
-    return groups
+        for path, head in pool.map(probe, first):
+            if head is None:
+                continue
+            columns = _columns_of_head(head, options)
+            drop = (head.lines_through if options.has_header else head.lines_before) if options.skip_rows else 0
+            group = groups.setdefault((columns, drop), _Group(columns, drop))
+            group.paths.append(path)
+            if drop and head.size >= shortest:
+                group.long_heads[path] = head.offsets[:drop]
+    if len(first) < len(paths) and groups:
+        next(iter(groups.values())).paths = list(paths)
+    return list(groups.values())
+
+
+def _shortest_split(spark: SparkSession) -> int:
+    """No split of a file is shorter than this many bytes, but the last of the file."""
+    number = lambda key: spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    return min(number("spark.sql.files.maxPartitionBytes"), number("spark.sql.files.openCostInBytes"))
 
 
 def _csv_parse_options(options: FileOptions) -> dict[str, str]:
@@ -209,33 +273,49 @@ def _csv_parse_options(options: FileOptions) -> dict[str, str]:
     }
 
 
-def _drop_first_lines(lines: DataFrame, count: int) -> DataFrame:
-    """Drop the first lines of every file.
+def _plain_path(path: str) -> str:
+    """One form for the paths of listings and of row metadata."""
+    return re.sub(r"^(\w+):/+", r"\1:/", unquote(path))
+
 
-    Rows of a split arrive in file order, and only the split that starts at byte 0
-    holds the first lines, so counting while the rows stream by is enough.
+def _drop_first_lines(lines: DataFrame, count: int, long_heads: dict[str, tuple[int, ...]]) -> DataFrame:
+    """Drop the first ``count`` lines of every file.
+
+    Rows of a split arrive in file order. Where the lines fit into the split at byte 0 (nearly always), the first
+    ``count`` rows of that split go. For the files of ``long_heads`` it is known where each of the lines begins: a
+    split holds the lines that begin behind its first byte, up to its end (the split at byte 0 also
+    the first), and so its share of them.
     """
+    heads = {_plain_path(path): sorted(starts) for path, starts in long_heads.items()}
+
+    def share(path: str, start: int, length: int) -> int:
+        starts = heads.get(_plain_path(path)) if heads else None
+        if starts is None:
+            return count if start == 0 else 0
+        return bisect_right(starts, start + length) - (bisect_right(starts, start) if start else 0)
 
     def skim(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         current, left = None, 0
         for batch in batches:
-            keep = []
-            for name, start in zip(batch["file"], batch["start"]):
-                if start != 0:
-                    keep.append(True)
-                    continue
-                if name != current:
-                    current, left = name, count
-                keep.append(left <= 0)
-                left -= 1
-            yield batch.loc[keep]
+            if batch.empty:
+                continue
+            keep = np.ones(len(batch), bool)
+            splits = pd.MultiIndex.from_frame(batch[["file", "start"]])
+            changes = np.flatnonzero(np.r_[True, splits[1:] != splits[:-1]])
+            for begin, end in zip(changes, [*changes[1:], len(batch)]):
+                split = splits[begin]
+                if split != current:
+                    current, left = split, share(split[0], split[1], int(batch["length"].iat[begin]))
+                gone = min(left, end - begin)
+                keep[begin : begin + gone] = False
+                left -= gone
+            yield batch.loc[keep] if not keep.all() else batch
 
     return lines.mapInPandas(skim, lines.schema)
 
 
-def _read_csv_group(
-    spark: SparkSession, columns: tuple[str, ...], paths: list[str], options: FileOptions
-) -> DataFrame:
+def _read_csv_group(spark: SparkSession, group: _Group, options: FileOptions) -> DataFrame:
+    columns, paths = group.columns, group.paths
     fields = [T.StructField(c, T.StringType()) for c in columns]
     schema = T.StructType(fields + ([T.StructField(CORRUPT, T.StringType())] if options.keep_corrupt else []))
     # Under a promised header Spark compares every file with it; a mismatch must fail and
@@ -247,9 +327,12 @@ def _read_csv_group(
             raise ValueError("skip_rows and multi_line cannot be used together")
         lines = (
             spark.read.options(**reading, encoding=options.encoding).text(paths)
-            .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+            .select(
+                "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                F.col("_metadata.file_block_length").alias("length"),
+            )
         )
-        body = _drop_first_lines(lines, options.skip_rows + int(options.has_header))
+        body = _drop_first_lines(lines, group.drop, group.long_heads)
         row = _from_csv(F.col("value"), schema, options)
         name = F.element_at(F.split("file", "/"), -1)
         raw = body.where(F.trim("value") != "").select(row.alias("row"), name.alias(SOURCE_FILE)).select("row.*", SOURCE_FILE)
@@ -337,8 +420,8 @@ def read_paths(
     frames: list[DataFrame] = []
     for fmt, members in sorted(by_format.items()):
         if fmt == "csv":
-            for columns, group in _csv_groups(spark, members, options).items():
-                frames.append(_read_csv_group(spark, columns, group, options))
+            for group in _csv_groups(spark, members, options):
+                frames.append(_read_csv_group(spark, group, options))
             continue
         try:
             if fmt == "parquet":

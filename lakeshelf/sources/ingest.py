@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from lakeshelf.operators import audit, quality
 from lakeshelf.operators.mapping import columns_of
 from lakeshelf.operators.tables import Lake
+from lakeshelf.session import staged
 from lakeshelf.sources import files, messages, payloads
 from lakeshelf.sources.spec import SourceSpec, SpecFolder
 
@@ -62,23 +63,63 @@ def read_api_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     if not s.get("landing_path"):
         raise ValueError(f"source {spec.source_id!r} names no landing_path with fetched responses")
     if not s.get("pagination", False):
-        return payloads.unwrap_responses(payloads.read_documents(spark, s["landing_path"]))
+        sound, broken = payloads.split_broken(payloads.read_documents(spark, s["landing_path"]))
+        return _with_broken(payloads.unwrap_responses(sound), broken)
     pages = spark.read.schema("entity string, page_no int, body string").json(s["landing_path"])
-    limit = s.get("max_pages", 10)
+    # the pages are here already: only a spec that names a limit leaves some out, and says how many
+    limit = s.get("max_pages")
+    if limit is not None and (beyond := pages.where(F.col("page_no") > limit).count()):
+        log.warning("source %s: %d landed pages beyond max_pages=%d are left out", spec.source_id, beyond, limit)
+        pages = pages.where(F.col("page_no") <= limit)
     gaps = payloads.missing_pages(pages, ["entity"], max_pages=limit).take(5)
     if gaps:
         raise RuntimeError(f"landed pages have gaps: {[r.asDict() for r in gaps]}")
-    return payloads.unite_pages(pages, ["entity"], max_pages=limit)
+    sound, broken = payloads.split_broken(pages)
+    return _with_broken(payloads.unite_pages(sound, ["entity"], max_pages=limit), broken)
 
 
-def read_topic_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """All messages of the topics, or of landed envelopes where ``landing_path`` is set."""
+def _with_broken(records: DataFrame, broken: DataFrame) -> DataFrame:
+    """Records, and bodies that are no JSON as rows with their text in ``_corrupt_record``."""
+    return records.withColumn(files.CORRUPT, F.lit(None).cast("string")).unionByName(
+        broken.withColumnRenamed("body", files.CORRUPT).withColumn(
+            files.CORRUPT, F.coalesce(files.CORRUPT, F.lit(""))
+        ),
+        allowMissingColumns=True,
+    )
+
+
+Progress = Sequence[tuple[str, int, int]]
+
+
+def read_envelopes(spark: SparkSession, spec: SourceSpec, progress: Progress = ()) -> DataFrame:
+    """Messages of the topics, or landed envelopes where ``landing_path`` is set, from ``progress`` on:
+    the next offset of each (topic, partition) that was read before."""
     s = spec.settings
-    if s.get("landing_path"):
-        envelope = spark.read.schema(messages.ENVELOPE).parquet(s["landing_path"])
-    else:
+    if not s.get("landing_path"):
         topics = [t["name"] for t in s.get("topics", [])]
-        envelope = messages.read_topics(spark, s["bootstrap_servers"], topics)
+        read = {topic for topic, _, _ in progress}
+        known, new = [t for t in topics if t in read], [t for t in topics if t not in read]
+        parts = []
+        if known:
+            parts.append(messages.read_topics(spark, s["bootstrap_servers"], known, **messages.starting_at(known, progress)))
+        if new or not known:
+            parts.append(messages.read_topics(spark, s["bootstrap_servers"], new))
+        return files.unite(parts)
+    envelope = spark.read.schema(messages.ENVELOPE).parquet(s["landing_path"])
+    if not progress:
+        return envelope
+    # one row per topic partition
+    seen = spark.createDataFrame(list(progress), "topic string, partition int, __next long")
+    joined = envelope.join(seen, ["topic", "partition"], "left")
+    return joined.where(F.col("__next").isNull() | (F.col("offset") >= F.col("__next"))).select(*envelope.columns)
+
+
+def read_topic_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    """All messages of the topics, decoded. A run of the ``Ingestor`` reads only what is new."""
+    return decode_envelopes(read_envelopes(spark, spec), spec)
+
+
+def decode_envelopes(envelope: DataFrame, spec: SourceSpec) -> DataFrame:
     # the envelope itself supplies these names of a mapping
     own = {"topic", "partition", "offset"}
     fields = ", ".join(f"`{r.source}` string" for r in spec.mapping.rules if r.source not in own)
@@ -108,16 +149,24 @@ def audit_columns(spec: SourceSpec, now: datetime) -> dict[str, Column]:
     }
 
 
-def transform(raw: DataFrame, spec: SourceSpec, now: datetime) -> DataFrame:
-    """Map the raw columns (or the paths of raw JSON records) and add the audit columns."""
+Watch = Callable[[DataFrame, Sequence[Column]], DataFrame]
+
+
+def transform(raw: DataFrame, spec: SourceSpec, now: datetime, watch: Watch | None = None) -> DataFrame:
+    """Map the raw columns (or the paths of raw JSON records) and add the audit columns.
+
+    ``watch`` gets the frame that the casts read, with one count of rejected values for each rule.
+    """
+    watch = watch or (lambda df, counts: df)
     if payloads.RECORD in raw.columns:
         records = raw.withColumnRenamed(payloads.RECORD, RAW_JSON)
         if spec.mapping.rules and not spec.settings.get("infer_columns", False):
-            mapped = spec.mapping.apply_to_json(records, RAW_JSON)
+            mapped = spec.mapping.apply_to_json(records, RAW_JSON, watch=watch)
         else:
-            mapped = spec.mapping.apply(payloads.flatten_records(records, RAW_JSON))
+            flat = payloads.flatten_records(records, RAW_JSON)
+            mapped = spec.mapping.apply(watch(flat, spec.mapping.rejected_casts(flat)))
     else:
-        mapped = spec.mapping.apply(raw)
+        mapped = spec.mapping.apply(watch(raw, spec.mapping.rejected_casts(raw)))
     return mapped.withColumns(audit_columns(spec, now))
 
 
@@ -192,7 +241,10 @@ class Ingestor:
                     f"unknown source type {spec.source_type!r} of {spec.source_id!r}; "
                     f"known: {', '.join(self.readers)}"
                 )
-            self._load(reader(self.lake.spark, spec), spec, started, result)
+            if reader is read_topic_source:
+                self._load_topics(spec, started, result)
+            else:
+                self._load(reader(self.lake.spark, spec), spec, started, result)
             result.status = audit.SUCCESS
         except Exception as error:
             result.status = audit.FAILED
@@ -207,14 +259,29 @@ class Ingestor:
                 log.exception("cannot record the run of %s", spec.source_id)
         return result
 
+    def _load_topics(self, spec: SourceSpec, now: datetime, result: audit.RunResult) -> None:
+        """Load the messages since the last run, and record how far it came.
+
+        They are fetched once, to the shared folder: good and broken messages and the offsets
+        come from the same rows, whatever arrives meanwhile. The offsets are recorded after the write; a run
+        that fails between the two is repeated, and so gives its messages twice at worst.
+        """
+        spark = self.lake.spark
+        progress = audit.topic_progress(self.lake, spec.source_id)
+        envelope, release = staged(read_envelopes(spark, spec, progress), "topics")
+        try:
+            self._load(decode_envelopes(envelope, spec), spec, now, result)
+            audit.record_topic_progress(self.lake, spec.source_id, envelope, now)
+        finally:
+            release()
+
     def _load(self, raw: DataFrame, spec: SourceSpec, now: datetime, result: audit.RunResult) -> None:
         seen = Observation()
-        watched = raw.observe(
-            seen,
-            F.count(F.lit(1)).alias("__rows"),
-            *[c for c in spec.mapping.rejected_casts(raw)],
-        )
-        mapped = transform(watched, spec, now)
+
+        def watch(df: DataFrame, rejected: Sequence[Column]) -> DataFrame:
+            return df.observe(seen, F.count(F.lit(1)).alias("__rows"), *rejected)
+
+        mapped = transform(raw, spec, now, watch)
         corrupt = next((c for c in (files.CORRUPT, messages.CORRUPT) if c in mapped.columns), None)
         good = mapped
         if corrupt:
@@ -233,8 +300,8 @@ class Ingestor:
             self._quarantine(transform(raw, spec, now), corrupt, spec)
 
     def _quarantine(self, mapped: DataFrame, corrupt: str, spec: SourceSpec) -> None:
-        """Broken rows beside the target: their text, and what could be parsed of it. The
-        source is read again for them, and only when there are any."""
+        """Broken rows beside the target: their text, and what could be parsed of it. Files
+        are read again for them, the ones listed for this run, and only when there are any."""
         stamps = ["_ingestion_timestamp", "_ingestion_date", "_source_id", "_batch_id"]
         parsed = [c for c in mapped.columns if c not in (corrupt, *stamps)]
         text = columns_of(mapped, [corrupt])[0]

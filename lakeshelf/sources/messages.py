@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -33,6 +34,16 @@ def _kafka(reader, servers: str, topics: Sequence[str], options: dict[str, str])
     return reader.format("kafka").options(**settings)
 
 
+def starting_at(topics: Sequence[str], progress: Sequence[tuple[str, int, int]]) -> dict[str, str]:
+    """The option that starts each (topic, partition) at its next offset. All of ``topics`` must have been
+    read before; a partition that was added since makes the source fail, and is not passed over."""
+    known: dict[str, dict[str, int]] = {t: {} for t in topics}
+    for topic, partition, following in progress:
+        if topic in known:
+            known[topic][str(partition)] = following
+    return {"startingOffsets": json.dumps(known), "failOnDataLoss": "true"}
+
+
 def read_topics(spark: SparkSession, servers: str, topics: Sequence[str], **options: str) -> DataFrame:
     """Everything the topics hold now. Needs the Kafka connector on the class path.
 

@@ -6,6 +6,7 @@ text until a mapping or ``flatten_records`` gives them columns.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -30,6 +31,16 @@ def _is_list(body: Column) -> Column:
     return F.ltrim(body).startswith("[")
 
 
+def split_broken(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """Rows whose body is a JSON object or list, and the others (no JSON, a bare value, nothing).
+
+    An error page that landed in place of a response is no record.
+    """
+    text = F.col(body)
+    sound = F.coalesce(F.try_parse_json(text).isNotNull() & F.ltrim(text).rlike(r"^[\[{]"), F.lit(False))
+    return df.where(sound), df.where(~sound)
+
+
 def _with_candidates(df: DataFrame, body: str, keys: Sequence[str]) -> DataFrame:
     """Add ``__top`` (records of a top-level list) and ``__lists`` (a struct with the list
     under each key, null where there is none).
@@ -87,40 +98,67 @@ def _one_row_each(df: DataFrame) -> DataFrame:
     return rows.where(F.col(RECORD).isNotNull())
 
 
+def _page_size(body: str, keys: Sequence[str]) -> Column:
+    """Number of records of a page, counted without parsing them: the length of the top-level list, or of what
+    the first present key holds (a null is empty, any other value is one record); else one."""
+    text = F.col(body)
+    size = F.lit(1)
+    for key in reversed(keys):
+        held = F.get_json_object(body, f"$.{key}")
+        own = F.when(held.isNull(), 0).when(_is_list(held), F.json_array_length(held)).otherwise(1)
+        size = F.when(F.array_contains(F.col("__keys"), key), own).otherwise(size)
+    return F.when(_is_list(text), F.json_array_length(text)).otherwise(size)
+
+
 def unite_pages(
     pages: DataFrame,
     entity: Sequence[str] = (),
     page_no: str = "page_no",
     body: str = "body",
-    max_pages: int = 10,
+    max_pages: int | None = None,
     keys: Sequence[str] = PAGE_KEYS,
 ) -> DataFrame:
-    """Records of the pages 1..max_pages of every entity, up to its first empty page.
+    """Records of the pages of every entity, from 1 to ``max_pages`` (all, if not given), up to its first
+    empty page. A page that landed twice counts once: the body that sorts first stands.
 
-    The first empty page comes from an aggregate over page numbers and sizes only, so
-    page bodies are not shuffled unless the planner has to, and an entity with very many
-    pages is never gathered in one task.
+    The first empty page comes from an aggregate over entities, page numbers and sizes; a null entity is an
+    entity like any other. Records are parsed only after the pages behind it are cut off, and an
+    entity with very many pages is never gathered in one task.
     """
-    sized = with_page_records(pages.where(F.col(page_no).between(1, max_pages)), body, keys)
-    first_empty = (
-        sized.where(F.size("__records") == 0).groupBy(*entity).agg(F.min(page_no).alias("__stop"))
-    )
+    inside = F.col(page_no) >= 1
+    if max_pages is not None:
+        inside = inside & (F.col(page_no) <= max_pages)
+    wanted = pages.where(inside)
+    place = [*entity, page_no]
+    if [c for c in wanted.columns if c not in (*place, body)]:
+        once = wanted.dropDuplicates(place)
+    else:
+        once = wanted.groupBy(*place).agg(F.min(body).alias(body))
+    keyed = once.withColumn("__keys", F.when(~_is_list(F.col(body)), F.json_object_keys(body)))
+    sizes = keyed.select(*place, _page_size(body, keys).alias("__size"))
+    ends = sizes.groupBy(*entity).agg(F.min(F.when(F.col("__size") == 0, F.col(page_no))).alias("__stop"))
     if entity:
-        limited = sized.join(first_empty, list(entity), "left")
-        kept = limited.where(F.col("__stop").isNull() | (F.col(page_no) < F.col("__stop")))
+        same = None
+        ends = ends.withColumnsRenamed({e: f"__{e}" for e in entity})
+        for e in entity:
+            match = once[e].eqNullSafe(ends[f"__{e}"])
+            same = match if same is None else same & match
+        limited = once.join(ends, same)
     else:
-        kept = sized.withColumn("__stop", first_empty.scalar()).where(
-            F.col("__stop").isNull() | (F.col(page_no) < F.col("__stop"))
-        )
-    return _one_row_each(kept.drop("__stop"))
+        limited = once.withColumn("__stop", ends.scalar())
+    kept = limited.where(F.col("__stop").isNull() | (F.col(page_no) < F.col("__stop"))).select(*once.columns)
+    return _one_row_each(with_page_records(kept, body, keys))
 
 
 def missing_pages(
-    pages: DataFrame, entity: Sequence[str] = (), page_no: str = "page_no", max_pages: int = 10
+    pages: DataFrame, entity: Sequence[str] = (), page_no: str = "page_no", max_pages: int | None = None
 ) -> DataFrame:
     """Entities whose landed pages have a gap. A gap is a failed request, not the end of
     the data, so a load must not go on over it."""
-    seen = pages.where(F.col(page_no).between(1, max_pages)).groupBy(*entity).agg(
+    inside = F.col(page_no) >= 1
+    if max_pages is not None:
+        inside = inside & (F.col(page_no) <= max_pages)
+    seen = pages.where(inside).groupBy(*entity).agg(
         F.max(page_no).alias("last_page"), F.count_distinct(page_no).alias("n_pages")
     )
     return seen.where(F.col("last_page") != F.col("n_pages"))
@@ -141,15 +179,33 @@ def flatten(df: DataFrame) -> DataFrame:
     return df.select(*[c for f in df.schema.fields for c in leaves(None, f.name, f)])
 
 
-def infer_record_schema(df: DataFrame, record: str = RECORD) -> str:
-    """DDL type of the records, from one distributed pass over them."""
+def _readable(kind: T.DataType) -> T.DataType:
+    """A type of inferred JSON with text in place of what has no type of its own; names stay as they are."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _readable(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_readable(kind.elementType))
+    return T.StringType() if isinstance(kind, (T.NullType, T.VariantType)) else kind
+
+
+_TYPE_WORD = re.compile(r"`(?:[^`]|``)*`|[A-Za-z_]\w*(?=<)")
+
+
+def infer_record_schema(df: DataFrame, record: str = RECORD) -> T.StructType:
+    """Type of the records, from one distributed pass over them."""
     found = df.agg(F.schema_of_variant_agg(F.try_parse_json(record)).alias("s")).first()["s"]
     if found is None or not found.startswith("OBJECT"):
         raise ValueError(f"the records are no JSON objects: {found}")
-    return found.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING")
+    # an object's type is a struct's, by another word; quoted names are stepped over
+    ddl = _TYPE_WORD.sub(lambda m: "STRUCT" if m[0] == "OBJECT" else m[0], found)
+    return _readable(_parsed_type(df.sparkSession, ddl))
+
+
+def _parsed_type(spark: SparkSession, ddl: str) -> T.DataType:
+    return spark.range(0).select(F.from_json(F.lit(None).cast("string"), f"v {ddl}").alias("j")).schema["j"].dataType["v"].dataType
 
 
-def flatten_records(df: DataFrame, record: str = RECORD, schema: str | None = None) -> DataFrame:
+def flatten_records(df: DataFrame, record: str = RECORD, schema: str | T.StructType | None = None) -> DataFrame:
     """Records with dotted columns. Without a schema it is inferred in an extra pass."""
     schema = schema or infer_record_schema(df, record)
     others = [F.col(_quoted(c)) for c in df.columns if c != record]

@@ -118,9 +118,9 @@ def test_date_dimension(spark):
     assert (leap["day_of_year"], leap["last_day_of_month"], leap["date_int"]) == (60, date(2024, 2, 29), 20240229)
 
 
-def test_large_date_dimension_is_not_broadcast(spark):
+def test_date_dimension_is_not_broadcast_by_hint(spark):
     df = spark.createDataFrame([(date(2024, 1, 1),)], "date_key date")
-    small = dims.join_dates(df, dims.dim_date(spark))
-    large = dims.join_dates(df, dims.dim_date(spark), first=date(1, 1, 1), last=date(2026, 1, 1))
+    large = spark.range(20_000_000).select(F.date_add(F.lit(date(1, 1, 1)), (F.col("id") % 700_000).cast("int")).alias("date_key"))
     plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
-    assert "rightHint=(strategy=broadcast)" in plan(small) and "strategy=broadcast" not in plan(large)
+    for dates in (dims.dim_date(spark), large):
+        assert "strategy=broadcast" not in plan(dims.join_dates(df, dates))
