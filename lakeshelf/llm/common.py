@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import lakeshelf
+
 #: Rows of an Arrow batch handed to Python: a batch of long texts stays within a few tens of MB.
 BATCH_ROWS = 512
 
@@ -22,8 +26,17 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound what a Python worker holds of its input at once."""
+    """Bound what a Python worker holds of its input at once, and see that it can import this package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    context = spark.sparkContext
+    if not getattr(context, "_lakeshelf_sent", False):
+        root = Path(lakeshelf.__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="lakeshelf-")) / "lakeshelf.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in sorted(root.glob("lakeshelf/**/*.py")):
+                out.write(path, path.relative_to(root))
+        context.addPyFile(str(archive))
+        context._lakeshelf_sent = True
 
 
 def scratch_root(spark: SparkSession) -> str:

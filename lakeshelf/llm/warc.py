@@ -215,15 +215,16 @@ def _records_at(archive: _Archive, pos: int) -> tuple[list[tuple[dict, bytes]],
     return found, end
 
 
-_START = re.compile(rb"\x1f\x8b\x08|(?<![^\n])WARC/1\.[01]\r\n")
+# a version line need not begin a line here: the byte before it may be the damaged one, and all checks follow
+_START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 
 
 def _next_valid(archive: _Archive, pos: int) -> int:
     """The first place from ``pos`` on where a valid member or record begins; the end if there is none."""
     while pos < archive.size:
-        window = archive.at(pos - 1, 1 << 20)  # with the byte before, so that a line's start is seen
-        for m in _START.finditer(window, 1):
-            place = pos - 1 + m.start()
+        window = archive.at(pos, 1 << 20)
+        for m in _START.finditer(window):
+            place = pos + m.start()
             try:
                 if m[0][:1] == b"\x1f" and not archive.member(place, 16)[0].startswith(b"WARC/1."):
                     continue
@@ -231,7 +232,7 @@ def _next_valid(archive: _Archive, pos: int) -> int:
                 return place
             except _Bad:
                 continue
-        pos += max(1, len(window) - 1 - 16) if pos - 1 + len(window) < archive.size else len(window)
+        pos += len(window) if pos + len(window) >= archive.size else len(window) - 16
     return archive.size
 
 
