@@ -227,14 +227,13 @@ def _csv_groups(spark: SparkSession, paths: list[str], options: FileOptions) ->
     def probe(path: str) -> tuple[str, _Head | None]:
         try:
             head = _head(spark, path, options)
+            if head is None:
+                raise UnreadableFile(f"{path} holds no record")
         except UnreadableFile:
             if not options.tolerate_bad_files:
                 raise
             log.exception("skipping unreadable file %s", path)
             return path, None
-        if head is None:
-            # nothing behind the skipped lines: an empty file, not a bad one
-            log.warning("file %s holds no record", path)
         return path, head
 
     groups: dict[tuple, _Group] = {}

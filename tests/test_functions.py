@@ -120,7 +120,7 @@ def test_date_dimension(spark):
 
 def test_date_dimension_is_not_broadcast_by_hint(spark):
     df = spark.createDataFrame([(date(2024, 1, 1),)], "date_key date")
-    large = spark.range(20_000_000).select(F.date_add(F.lit(date(1, 1, 1)), (F.col("id") % 700_000).cast("int")).alias("date_key"))
+    large = spark.range(20_000_000).select(F.date_add(F.lit(date(1900, 1, 1)), (F.col("id") % 360_000).cast("int")).alias("date_key"))
     plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
     for dates in (dims.dim_date(spark), large):
         assert "strategy=broadcast" not in plan(dims.join_dates(df, dates))
