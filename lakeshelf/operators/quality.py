@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
@@ -278,6 +278,11 @@ MODEL_TESTS: list[tuple[str, str, list[dict[str, Any]]]] = [
 ]
 
 
+def model_suite(frame_of: Callable[[str], DataFrame | None]) -> list[tuple[str, DataFrame | None, list[dict[str, Any]]]]:
+    """The declared column tests of every table, as a suite for ``report_all``."""
+    return [(name, frame_of(name), model_checks(name)) for name in dict.fromkeys(table for table, _, _ in MODEL_TESTS)]
+
+
 def model_checks(table: str) -> list[dict[str, Any]]:
     """The declared column tests of one table."""
     return [{**test, "col": column} for name, column, tests in MODEL_TESTS if name == table for test in tests]

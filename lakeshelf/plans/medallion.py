@@ -194,9 +194,21 @@ def build_models(lake: Lake, lookback_days: int | None = None) -> list[StepResul
     return results
 
 
+# The models are stored under names of their own beside the layer facts.
+MODEL_TABLES = {
+    "fact_traffic_hourly": FACT_TRAFFIC_MODEL, "fact_air_quality_daily": FACT_AIR_MODEL, "dim_date": DIM_DATE,
+}
+
+
 def run_quality(lake: Lake) -> DataFrame | None:
-    """Run the standing suite over the tables that exist, and append it to the audit."""
-    suite = [(name, lake.read(tbl) if lake.exists(tbl) else None, checks) for name, tbl, checks in quality.STANDING_SUITE]
+    """Run the standing suite and the declared column tests over the tables that exist, and
+    append the results to the audit."""
+
+    def frame(table: str) -> DataFrame | None:
+        return lake.read(table) if lake.exists(table) else None
+
+    suite = [(name, frame(table), checks) for name, table, checks in quality.STANDING_SUITE]
+    suite += quality.model_suite(lambda name: frame(MODEL_TABLES.get(name, f"bronze.{name}")))
     results = quality.report_all(suite)
     if results is not None:
         audit.record_checks(lake, results)

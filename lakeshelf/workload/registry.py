@@ -27,6 +27,6 @@ def query(name: str, twin: str | None = None) -> Callable[[QueryFn], QueryFn]:
 
 
 def load_all() -> tuple[dict[str, QueryFn], dict[str, str]]:
-    from lakeshelf.workload import basics, checks, ingest, layers, writes  # noqa: F401
+    from lakeshelf.workload import basics, checks, exactness, ingest, layers, writes  # noqa: F401
 
     return QUERIES, TWINS
