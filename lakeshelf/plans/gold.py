@@ -48,13 +48,6 @@ def fact_traffic_hourly(silver: DataFrame) -> DataFrame:
     )
 
 
-# The grain of the model form, and so the key of its incremental load.
-TRAFFIC_MODEL_KEY = (
-    "hour_key", "date_key", "hour_of_day", "day_of_week", "is_weekend", "weather_condition",
-)
-AIR_MODEL_KEY = ("city", "date_key")
-
-
 def fact_traffic_hourly_model(staging: DataFrame) -> DataFrame:
     """Traffic per hour and weather, from staging; rounded, with a level for the hour."""
     volume = F.col("traffic_volume")

@@ -132,7 +132,7 @@ def build_silver(lake: Lake, since: date | None = None) -> list[StepResult]:
 def _summary(lake: Lake, target: str, needs: Sequence[str], build: Callable[[], DataFrame]) -> StepResult:
     if not all(lake.exists(n) for n in needs):
         return StepResult(target, audit.SKIPPED)
-    daily = silver.stamp(build(), "gold_processed_at").sortWithinPartitions("date_key")
+    daily = silver.stamp(build(), "gold_processed_at").orderBy("date_key")  # a row a day, stored in order
     return StepResult(target, audit.SUCCESS, lake.overwrite(daily, target))
 
 
@@ -151,19 +151,19 @@ def build_gold(lake: Lake, since: date | None = None) -> list[StepResult]:
     return results
 
 
+# Source table -> the view over it, in the staging database.
 STAGING_VIEWS = (
-    (BRONZE_TRAFFIC, "stg_traffic", staging.stg_traffic),
-    (BRONZE_AIR, "stg_air_quality", staging.stg_air_quality),
-    (BRONZE_EVENTS, "stg_stream_events", staging.stg_stream_events),
+    (BRONZE_TRAFFIC, "stg_traffic"), (BRONZE_AIR, "stg_air_quality"), (BRONZE_EVENTS, "stg_stream_events"),
 )
 
 
 def create_staging_views(lake: Lake) -> list[str]:
-    """The staging models as views of this session; returns the ones whose source exists."""
+    """The staging models as views of the catalog, in the staging database, which every session
+    can read; returns the ones whose source exists."""
     made = []
-    for source, name, transform in STAGING_VIEWS:
+    for source, name in STAGING_VIEWS:
         if lake.exists(source):
-            lake.create_view(transform(lake.read(source)), name)
+            lake.create_sql_view(f"staging.{name}", staging.VIEW_SQL[name](lake.table(source)))
             made.append(name)
     return made
 
@@ -172,16 +172,15 @@ def build_models(lake: Lake, lookback_days: int | None = None) -> list[StepResul
     """Staging views, incremental model facts, the date dimension, the daily summary."""
     views = create_staging_views(lake)
     results = [build_dates(lake)]
-    spark = lake.spark
     if "stg_traffic" in views:
         rows = incremental.load(
-            lake, FACT_TRAFFIC_MODEL, spark.table("stg_traffic"), _traffic_model,
+            lake, FACT_TRAFFIC_MODEL, lake.read("staging.stg_traffic"), _traffic_model,
             "event_hour", "hour_key", "date_key", "month_key", lookback_days, "event_timestamp",
         )
         results.append(StepResult(FACT_TRAFFIC_MODEL, audit.SUCCESS, rows))
     if "stg_air_quality" in views:
         rows = incremental.load(
-            lake, FACT_AIR_MODEL, spark.table("stg_air_quality"), _air_model,
+            lake, FACT_AIR_MODEL, lake.read("staging.stg_air_quality"), _air_model,
             "measurement_date", "date_key", "date_key", "month_key", lookback_days, "measurement_timestamp",
         )
         results.append(StepResult(FACT_AIR_MODEL, audit.SUCCESS, rows))

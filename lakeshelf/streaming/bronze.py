@@ -34,7 +34,6 @@ BRONZE_COLUMNS = (
     "metric_value", "metric_unit", "kafka_topic", "kafka_partition", "kafka_offset", "raw_payload",
     "_ingestion_timestamp", "_ingestion_date", "_source_id", "_source_type", "_batch_id",
 )
-TOPICS = ("urban.traffic.events", "urban.pedestrian.events", "urban.air.events", "urban.orders.events")
 
 PARTITIONS = ("_ingestion_date", "_batch_id")
 

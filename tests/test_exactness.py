@@ -188,3 +188,26 @@ def test_accepted_values_in_the_type_of_the_column(spark):
     ]
     got = {r["check_column"]: r["failed_rows"] for r in quality.report(df, checks).collect()}
     assert got == {"b": 0, "d": 1, "i": 2}
+
+
+# ---- staging views
+
+
+def test_catalog_views_equal_the_transforms(lake, sf):
+    from lakeshelf.plans import medallion, staging
+    from lakeshelf.workload import tables
+
+    spark = lake.spark
+    sources = {
+        medallion.BRONZE_TRAFFIC: (tables.bronze_traffic, "stg_traffic"),
+        medallion.BRONZE_AIR: (tables.bronze_air_quality, "stg_air_quality"),
+        medallion.BRONZE_EVENTS: (tables.bronze_events, "stg_stream_events"),
+    }
+    for name, (make, _) in sources.items():
+        lake.overwrite(make(spark, sf), name)
+    assert medallion.create_staging_views(lake) == [view for _, view in sources.values()]
+    other = spark.newSession()  # a view of the catalog, not of the session
+    for name, (_, view) in sources.items():
+        got, want = other.table(lake.table(f"staging.{view}")), getattr(staging, view)(lake.read(name))
+        assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema]
+        assert rows(got) == rows(want) and got.count()
