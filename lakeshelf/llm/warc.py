@@ -299,6 +299,7 @@ def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
                 if rows:
                     yield _rows(rows)
 
+    small_batches(archives.sparkSession, 128)
     spread = archives.select("path").repartition(max(1, shuffle_partitions(archives.sparkSession)), "path")
     return spread.mapInArrow(read, READ_SCHEMA)
 
