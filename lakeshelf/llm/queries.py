@@ -107,7 +107,35 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op7_ngram_jaccard_join")
+OP7 = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+                                        WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                                        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+    FROM worded
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN sizes na ON na.doc_id = a.doc_id JOIN sizes nb ON nb.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))
+), reached AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents
+    UNION
+    SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, m.component_id
+FROM documents d JOIN (SELECT x, min(y) AS component_id FROM reached GROUP BY x) m ON m.x = d.doc_id
+LEFT JOIN sizes s ON s.doc_id = d.doc_id
+"""
+
+
+@query("op7_ngram_jaccard_join", OP7)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 

@@ -128,6 +128,21 @@ def test_tree_loses_no_pair():
     assert all(comp[a] != comp[b] for a, b in found)
 
 
+def test_a_pair_is_left_to_the_first_bucket_of_both():
+    rng = random.Random(1)
+    base = {rng.getrandbits(64) for _ in range(100)}
+    bits = [ngram_join._bitmap(np.array(sorted(base), np.uint64)) for _ in range(4)]
+    n, comp, home = np.full(4, 100), np.arange(4), np.ones(4, bool)
+    first = np.array([[3, 9], [3, -1], [4, 9], [-1, -1]])
+
+    def pairs(place):
+        found = ngram_join.tree_pairs(n, comp, bits, home, place, first)
+        return {(min(a, b), max(a, b)) for i, j in found for a, b in zip(i.tolist(), j.tolist())}
+
+    assert pairs(3) == {(a, b) for a in range(4) for b in range(a + 1, 4)}
+    assert (0, 1) not in pairs(5) and (0, 2) in pairs(5) and (0, 2) not in pairs(10) and (0, 3) in pairs(10)
+
+
 def test_near_empty_nulls_and_repeats(spark, nothing):
     assert ngram_join.near_duplicates(nothing).count() == 0
     rows = [(None, "a b c"), (5, "A b  c"), (5, "a b c"), (7, None), (8, ""), (8, ""), (9, " \n")]
