@@ -41,7 +41,7 @@ def components(links: DataFrame) -> DataFrame:
         if now == before or not now[0]:
             break
         before = now
-        edges = stored(_small_star(_large_star(edges).distinct()).distinct(), "links")
+        edges = stored(_small_star(_large_star(edges)).distinct(), "links")
     return edges.select(F.col("u").alias("cid"), F.col("v").alias("comp")).unionByName(
         edges.select(F.col("v").alias("cid"), F.col("v").alias("comp")).distinct()
     )

@@ -46,7 +46,7 @@ WIDTH, PERCENT = 5, 75
 OWNER_ROWS = 1_000_000
 #: A shingle is frequent when 1 in so many documents of some window of documents has it; at most so many are kept.
 FREQUENT_SHARE, FREQUENT_MOST = 512, 1 << 17
-_WINDOW = 2_000_000
+_WINDOW = 1_500_000
 
 
 def _needed(n):
@@ -167,11 +167,11 @@ def _signed(docs: DataFrame, frequent: np.ndarray, owners: int) -> DataFrame:
 
 
 def _buckets(signed: DataFrame) -> DataFrame:
-    """bucket, cid: the classes that share a first shingle; buckets with the same members are one.
+    """bucket, cid, shared: the classes that share a first shingle; buckets with the same members are one.
 
-    A bucket is named by a hash of its members.
+    A bucket is named by a hash of its members; ``shared`` counts the shingles behind it.
     """
-    schema = pa.schema([("bucket", pa.int64()), ("cid", pa.int64())])
+    schema = pa.schema([("bucket", pa.int64()), ("cid", pa.int64()), ("shared", pa.int64())])
 
     def meet(key, blocks):
         parts = [np.frombuffer(x.as_py(), np.uint64) for x in blocks["block"]]
@@ -193,16 +193,17 @@ def _buckets(signed: DataFrame) -> DataFrame:
         starts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
         lengths = np.diff(np.r_[starts, len(tokens)])
         names = mixed(np.add.reduceat(mixed(cids), starts) + lengths.astype(np.uint64))
-        _, first = np.unique(names, return_index=True)
-        keep = np.zeros(len(starts), bool)
-        keep[first] = True
-        keep &= lengths > 1
-        rows = np.repeat(keep, lengths)
-        return pa.table([np.repeat(names, lengths)[rows].view(np.int64), cids[rows].view(np.int64)], schema=schema)
+        _, first, times = np.unique(names, return_index=True, return_counts=True)
+        shared = np.zeros(len(starts), np.int64)
+        shared[first] = times
+        shared[lengths < 2] = 0
+        rows = np.repeat(shared > 0, lengths)
+        columns = (np.repeat(names, lengths).view(np.int64), cids.view(np.int64), np.repeat(shared, lengths))
+        return pa.table([c[rows] for c in columns], schema=schema)
 
     blocks = signed.where("owner IS NOT NULL").select("owner", "block")
-    met = blocks.groupBy("owner").applyInArrow(meet, "bucket long, cid long")
-    return stored(met.distinct(), "ngram-buckets")
+    met = blocks.groupBy("owner").applyInArrow(meet, "bucket long, cid long, shared long")
+    return stored(met.groupBy("bucket", "cid").agg(F.sum("shared").alias("shared")), "ngram-buckets")
 
 
 # ---------------------------------------------------------------- verification
@@ -226,6 +227,23 @@ def _may_link(n_a: int, n_b: int, a: bytes, b: bytes) -> bool:
     return (100 + PERCENT) * most >= PERCENT * (n_a + n_b)
 
 
+def _short(shingles: np.ndarray) -> bytes:
+    """The distinct low ends of the hashes, 16 bits each (32 of large sets), after a byte that says which."""
+    if len(shingles) < 4096:
+        return b"2" + np.unique(shingles.astype(np.uint16)).tobytes()
+    return b"4" + np.unique(shingles.astype(np.uint32)).tobytes()
+
+
+def _may_link_short(n_a: int, n_b: int, a: bytes, b: bytes) -> bool:
+    """Whether the low ends allow the overlap that a link needs."""
+    x, y = (np.frombuffer(s, np.uint16 if s[:1] == b"2" else np.uint32, offset=1) for s in (a, b))
+    if x.dtype != y.dtype:
+        x, y = np.unique(x.astype(np.uint16)), np.unique(y.astype(np.uint16))
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    most = min(n_a - (len(x) - both), n_b - (len(y) - both))
+    return (100 + PERCENT) * most >= PERCENT * (n_a + n_b)
+
+
 def _sizes_fit(n_a="n_a", n_b="n_b"):
     return F.expr(f"100 * least({n_a}, {n_b}) >= {PERCENT} * greatest({n_a}, {n_b})")
 
@@ -250,15 +268,33 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFram
     )
     wanted = likely.select(F.col("a").alias("cid")).union(likely.select("b")).distinct()
     reps = classes.join(wanted, "cid").select(F.col("rep").alias("doc_id"))
-    sets_schema = pa.schema([("cid", pa.int64()), ("set", pa.binary())])
+    sets_schema = pa.schema([("cid", pa.int64()), ("n", pa.int64()), ("short", pa.binary()), ("set", pa.binary())])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [v for v in (shingle_hashes(t, WIDTH) for t in texts_of(b.column(1))) if len(v)]
-            yield batch(sets_schema, [_names(v)[0] for v in found], [v.tobytes() for v in found])
+            yield batch(
+                sets_schema, [_names(v)[0] for v in found], map(len, found), [_short(v) for v in found],
+                [v.tobytes() for v in found],
+            )
 
     chosen = rows_with_ids(docs.select("doc_id", "text"), reps).select("doc_id", "text")
-    full = stored(chosen.mapInArrow(sets, "cid long, set binary").dropDuplicates(["cid"]), "ngram-full")
+    full = chosen.mapInArrow(sets, "cid long, n long, short binary, set binary").dropDuplicates(["cid"])
+    full = stored(full, "ngram-full")
+
+    def screen_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = [_may_link_short(*row) for row in zip(*(b.column(i).to_pylist() for i in range(2, 6)))]
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    # a quarter of the bytes rules out nearly all that the full sets would
+    ends = {
+        k: full.select(F.col("cid").alias(k), F.col("n").alias(f"n_{k}"), F.col("short").alias(f"short_{k}")) for k in "ab"
+    }
+    shorts = likely.join(ends["b"], "b").join(ends["a"], "a")
+    likely = stored(
+        shorts.select("a", "b", "n_a", "n_b", "short_a", "short_b").mapInArrow(screen_short, "a long, b long"), "ngram-likely"
+    )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -279,6 +315,8 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFram
 # ---------------------------------------------------------------- signature trees
 
 _LEAF, _FAN = 8, 8
+#: So many of its buckets a class carries along, to tell which pairs were met before.
+FIRST_BUCKETS = 8
 
 
 class _Level:
@@ -310,8 +348,14 @@ class _Level:
         return fit
 
 
-def tree_pairs(n: np.ndarray, comp: np.ndarray, bits: list[bytes], home: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of places that may link: in different components, at least one of them at home here."""
+def tree_pairs(
+    n: np.ndarray, comp: np.ndarray, bits: list[bytes], home: np.ndarray, place: int = 0, first: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places that may link: in different components, at least one of them at home here.
+
+    ``first`` has a row for each member with the places, in the order of all buckets, of the buckets it is in
+    first; a pair that meets in one of them before this bucket (at ``place``) is left to that one.
+    """
     words = [np.frombuffer(x, np.uint64) for x in bits]
     width = min(map(len, words))
     order = np.lexsort((n, comp))
@@ -337,7 +381,12 @@ def tree_pairs(n: np.ndarray, comp: np.ndarray, bits: list[bytes], home: np.ndar
                 a, b = rows[ii], rows[jj]
                 most = np.minimum(n[ii] - _count_bits(a & ~b), n[jj] - _count_bits(b & ~a))
                 ok = (100 + PERCENT) * most >= PERCENT * (n[ii] + n[jj])
-                yield order[ii[ok]], order[jj[ok]]
+                ii, jj = order[ii[ok]], order[jj[ok]]
+                if first is not None and len(ii):
+                    x, y = first[ii][:, :, None], first[jj][:, None, :]
+                    ok = ~((x == y) & (x >= 0) & (x < place)).any(axis=(1, 2))
+                    ii, jj = ii[ok], jj[ok]
+                yield ii, jj
             else:
                 found_i.append(ii)
                 found_j.append(jj)
@@ -351,12 +400,27 @@ def _tree_candidates(members: DataFrame, classes: DataFrame) -> DataFrame:
     """a, b: pairs of classes of different components in a bucket that the tree lets through.
 
     ``members`` (bucket, cid, comp). A bucket is split by size first: a class is at home in its size class
-    and a guest in the next larger one, since linked sizes differ by a third at most.
+    and a guest in the next larger one, since linked sizes differ by a third at most; parts with one component, or
+    without a class at home, need no tree. Buckets are ordered by size, the largest first, and a pair that meets in
+    several is looked at in the first of them, as far as the FIRST_BUCKETS first buckets of both tell.
     """
-    sized = members.join(classes.select("cid", "n", "bits"), "cid")
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    most, low = (1 << 20) - 1, (1 << 43) - 1
+    place = F.shiftleft((F.lit(most) - F.least("size", F.lit(most))).cast("long"), 43).bitwiseOR(F.col("bucket").bitwiseAND(F.lit(low)))
+    placed = members.join(sizes, "bucket").withColumn("place", place)
+    first = placed.groupBy("cid").agg(F.slice(F.array_sort(F.collect_list("place")), 1, FIRST_BUCKETS).alias("first"))
     grade = F.floor(F.log("n") / F.lit(float(np.log(100 / PERCENT)))).cast("int")
-    placed = sized.withColumn("grade", F.explode(F.array(F.struct(grade.alias("at"), F.lit(True).alias("home")), F.struct((grade + 1).alias("at"), F.lit(False).alias("home")))))
-    rows = placed.select("bucket", F.col("grade.at").alias("at"), "cid", "comp", "n", "bits", F.col("grade.home").alias("home"))
+    homes = placed.join(classes.select("cid", "n"), "cid").select("bucket", "place", "cid", "comp", grade.alias("grade"))
+    both = F.array(
+        F.struct(F.col("grade").alias("at"), F.lit(True).alias("home")), F.struct((F.col("grade") + 1).alias("at"), F.lit(False).alias("home"))
+    )
+    spread = stored(homes.withColumn("g", F.explode(both)).select("bucket", "place", "cid", "comp", "g.at", "g.home"), "ngram-grades")
+    parts = spread.groupBy("bucket", "at").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max("home").alias("lived_in"))
+    parts = parts.where("lived_in AND x <> y").select("bucket", "at")
+    rows = (
+        spread.join(parts, ["bucket", "at"]).join(first, "cid").join(classes.select("cid", "n", "bits"), "cid")
+        .select("bucket", "at", "place", "cid", "comp", "n", "bits", "home", "first")
+    )
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def pairs_of(group: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -364,11 +428,30 @@ def _tree_candidates(members: DataFrame, classes: DataFrame) -> DataFrame:
         if group.num_rows < 2 or not home.any() or (comp == comp[0]).all():
             return
         cid = group["cid"].to_numpy()
-        for i, j in tree_pairs(group["n"].to_numpy(), comp, group["bits"].to_pylist(), home):
+        first = np.full((group.num_rows, FIRST_BUCKETS), -1, np.int64)
+        for row, places in zip(first, group["first"].to_pylist()):
+            row[: len(places)] = places
+        for i, j in tree_pairs(group["n"].to_numpy(), comp, group["bits"].to_pylist(), home, group["place"][0].as_py(), first):
             if len(i):
                 yield batch(schema, np.minimum(cid[i], cid[j]), np.maximum(cid[i], cid[j]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs met in several buckets of a task are given once, as far as half a million of them are held."""
+        held, size = [], 0
+        for b in found_in(batches):
+            held.append(np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()], axis=1))
+            size += b.num_rows
+            if size > 500_000:
+                once = np.unique(np.concatenate(held), axis=0)
+                held, size = [once], len(once)
+                if size > 250_000:
+                    yield batch(schema, once[:, 0], once[:, 1])
+                    held, size = [], 0
+        if held:
+            once = np.unique(np.concatenate(held), axis=0)
+            yield batch(schema, once[:, 0], once[:, 1])
+
+    def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for b in batches:
             t = pa.Table.from_batches([b] if held is None else [*held.to_batches(), b])
@@ -390,6 +473,21 @@ def _tree_candidates(members: DataFrame, classes: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- the join
 
 
+def _stars(buckets: DataFrame, classes: DataFrame) -> DataFrame:
+    """bucket, cid, pivot, members: every member of a bucket with the one to compare it with first.
+
+    That is the member of which the largest part is shared with most others: in a group of edited copies, the text that they
+    were made from, which is more like each of them than they are like each other.
+    """
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
+    sized = buckets.join(sizes, "bucket")
+    weight = sized.groupBy("cid").agg(F.sum(F.col("shared") * F.col("members")).alias("met"))
+    weight = weight.join(classes.select("cid", "n"), "cid").select("cid", (F.col("met") / F.col("n")).alias("weight"))
+    weighed = sized.join(weight, "cid")
+    pivots = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "cid")).alias("best"))
+    return weighed.join(pivots, "bucket").select("bucket", "cid", F.col("best.cid").alias("pivot"), "members").where("cid <> pivot")
+
+
 def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents (doc_id, cid, n), classes (cid, n, rep, bits) and components (cid, comp)."""
     spark = docs.sparkSession
@@ -407,9 +505,8 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         "ngram-classes",
     )
     buckets = _buckets(signed)
-    pivots = buckets.groupBy("bucket").agg(F.min("cid").alias("pivot"), F.count(F.lit(1)).alias("members"))
-    stars = buckets.join(pivots, "bucket").where("cid <> pivot")
     findable = classes.where("rep IS NOT NULL")
+    stars = stored(_stars(buckets, findable), "ngram-stars")
     links = stored(_verified(docs, findable, stars.select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()), "ngram-links")
     comps = stored(components(links), "ngram-components")
     # pairs with the pivot are done: of the other members, those of buckets with several components remain
@@ -420,7 +517,8 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     members = stored(open_members.join(mixed_buckets.select("bucket"), "bucket"), "ngram-open")
     more = stored(_verified(docs, findable, _tree_candidates(members, findable)), "ngram-links")
     if not more.isEmpty():
-        comps = stored(components(links.unionByName(more)), "ngram-components")
+        known = comps.select(F.col("cid").alias("a"), F.col("comp").alias("b"))  # what is joined stays so
+        comps = stored(components(known.unionByName(more)), "ngram-components")
     return rows.select("doc_id", "cid", "n"), classes, comps
 
 
@@ -441,7 +539,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The document of each component that names it (its smallest doc_id), with the columns of ``docs``.
 
-    Rows without a doc_id stay.
+    Rows without a doc_id stay. Rows that repeat a doc_id stay or go together; they go if none of them names its component.
     """
-    gone = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone_id")).distinct()
+    named = near_duplicates(docs).groupBy("doc_id").agg(F.max(F.col("component_id") == F.col("doc_id")).alias("named"))
+    gone = named.where("NOT named").select(F.col("doc_id").alias("_gone_id"))
     return docs.join(gone, docs["doc_id"] == F.col("_gone_id"), "left_anti")
