@@ -20,7 +20,7 @@ from __future__ import annotations
 import os
 import struct
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -148,7 +148,8 @@ _ENCODERS: dict[str, "Encoder"] = {}
 class Encoder:
     """Ids of texts; every distinct run of non-space characters is encoded once (and again after a reset)."""
 
-    LIMIT = 700_000
+    #: Runs that are remembered: some 200 MB.
+    LIMIT = 1_200_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -206,11 +207,14 @@ class Encoder:
         if len(self.place) > self.LIMIT:
             self._reset()
         split = [self._folded(t.encode()).split() for t in texts]
-        new = set().union(*split) - self.place.keys()
+        places = [np.fromiter(map(self.place.get, s, repeat(-1)), np.int64, len(s)) for s in split]
+        unknown = [np.flatnonzero(at < 0) for at in places]
+        new = {s[k] for s, some in zip(split, unknown) for k in some.tolist()}
         if new:
             self._learn(new)
-        find = self.place.__getitem__
-        return [np.append(self._gather(np.fromiter(map(find, s), np.int64, len(s))), np.uint32(END_ID)) for s in split]
+        for s, at, some in zip(split, places, unknown):
+            at[some] = [self.place[s[k]] for k in some.tolist()]
+        return [np.append(self._gather(at), np.uint32(END_ID)) for at in places]
 
 
 # ---------------------------------------------------------------- writing and reading
@@ -287,6 +291,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
                         crcs = [zlib.crc32(ids.astype("<u4").tobytes()) for _, ids in rows]
                         yield batch(schema, [i for i, _ in rows], starts, sizes, crcs)
 
+    small_batches(shards.sparkSession)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # over one row per shard
     placed = shards.select("path", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("start"))
     spread = placed.repartition(max(1, shuffle_partitions(shards.sparkSession)), "path")
