@@ -4,7 +4,7 @@ A document is the set of its distinct shingles (64-bit hashes). Two link when
 100 * |A and B| >= 75 * |A or B|.
 
 1. Documents with equal sets form one class; a class has a 64-bit name, its number of shingles and a token
-   bitmap of some four bits a shingle. All that follows is about classes.
+   bitmap of some two bits a shingle. All that follows is about classes.
 2. Linked classes share a shingle among the first n - ceil(0.75 n) + 1 of each, in any order that all
    agree on. The order is that of the hashes, with frequent shingles last: those are counted over all
    documents first. So a class goes to few buckets, and common passages make none.
@@ -91,8 +91,10 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
 
 
 def _bitmap(shingles: np.ndarray) -> bytes:
-    """Bits at the low ends of the hashes: a power of two of them, four to eight per shingle, 256 at least."""
-    size = max(256, 1 << (4 * len(shingles)).bit_length() - 1)
+    """Bits at the low ends of the hashes: a power of two of them, 256 at least; two to four per shingle up to
+    1024 of them, one to two beyond."""
+    four, two = (1 << ((k * len(shingles)).bit_length() - 1) for k in (4, 2))
+    size = max(256, min(four, 1024), two)
     bits = np.zeros(size, np.uint8)
     bits[(shingles & np.uint64(size - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -316,7 +318,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFram
 
 _LEAF, _FAN = 8, 8
 #: So many of its buckets a class carries along, to tell which pairs were met before.
-FIRST_BUCKETS = 8
+FIRST_BUCKETS = 4
 
 
 class _Level:
@@ -419,12 +421,12 @@ def _tree_candidates(members: DataFrame, classes: DataFrame) -> DataFrame:
     parts = parts.where("lived_in AND x <> y").select("bucket", "at")
     rows = (
         spread.join(parts, ["bucket", "at"]).join(first, "cid").join(classes.select("cid", "n", "bits"), "cid")
-        .select("bucket", "at", "place", "cid", "comp", "n", "bits", "home", "first")
+        .select("place", F.when(F.col("home"), F.col("at")).otherwise(-F.col("at")).alias("at"), "cid", "comp", "n", "bits", "first")
     )
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def pairs_of(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        home, comp = group["home"].to_numpy(zero_copy_only=False), group["comp"].to_numpy()
+        home, comp = group["at"].to_numpy() >= 0, group["comp"].to_numpy()  # a guest's part has a minus
         if group.num_rows < 2 or not home.any() or (comp == comp[0]).all():
             return
         cid = group["cid"].to_numpy()
@@ -457,8 +459,8 @@ def _tree_candidates(members: DataFrame, classes: DataFrame) -> DataFrame:
             t = pa.Table.from_batches([b] if held is None else [*held.to_batches(), b])
             if not t.num_rows:
                 continue
-            bucket, at = t["bucket"].to_numpy(), t["at"].to_numpy()
-            cuts = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (at[1:] != at[:-1])])
+            place, at = t["place"].to_numpy(), np.abs(t["at"].to_numpy())
+            cuts = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (at[1:] != at[:-1])])
             for s, e in zip(cuts[:-1], cuts[1:]):
                 if e - s > 1:
                     yield from pairs_of(t.slice(s, e - s))
@@ -466,7 +468,8 @@ def _tree_candidates(members: DataFrame, classes: DataFrame) -> DataFrame:
         if held is not None:
             yield from pairs_of(held)
 
-    by_group = rows.repartition(shuffle_partitions(rows.sparkSession), "bucket", "at").sortWithinPartitions("bucket", "at")
+    part = [F.col("place"), F.abs("at")]
+    by_group = rows.repartition(shuffle_partitions(rows.sparkSession), *part).sortWithinPartitions(*part)
     return by_group.mapInArrow(run, "a long, b long").distinct()
 
 
