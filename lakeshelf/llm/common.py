@@ -62,7 +62,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage is cut by files that outlive executors."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

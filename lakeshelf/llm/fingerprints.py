@@ -94,8 +94,12 @@ def fingerprint(text: str, band: np.ndarray) -> np.ndarray:
     return np.r_[np.uint32(whole), hashes.astype(np.uint32)]
 
 
+def packed(prints: np.ndarray) -> bytes:
+    return prints.astype(">u4").tobytes()
+
+
 def shown(prints: np.ndarray) -> str:
-    return prints.astype(">u4").tobytes().hex()
+    return packed(prints).hex()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -113,21 +117,22 @@ def edited(text: str, following: str) -> str:
 
 _OUT = pa.schema([
     ("part", pa.int32()), ("edge", pa.string()), ("doc_id", pa.int64()), ("text", pa.string()), ("n_chars", pa.int64()),
-    ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
+    ("edited_sha256", pa.binary()), ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()),
     ("near_edited", pa.float64()), ("near_next", pa.float64()),
 ])
 _OUT_SQL = (
-    "part int, edge string, doc_id long, text string, n_chars long, edited_sha256 string, fingerprint string, "
-    "edited_fingerprint string, near_edited double, near_next double"
+    "part int, edge string, doc_id long, text string, n_chars long, edited_sha256 binary, fingerprint binary, "
+    "edited_fingerprint binary, near_edited double, near_next double"
 )
-RESULT = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+_HEX = ["edited_sha256", "fingerprint", "edited_fingerprint"]  # bytes while they are stored, text in the result
+RESULT = ["doc_id", "n_chars", *_HEX, "near_edited", "near_next"]
 
 
 def _compared(doc_id, text: str, own: np.ndarray, following: str, its: np.ndarray, band: np.ndarray) -> tuple:
     changed = edited(text, following)
     prints = fingerprint(changed, band)
     return (
-        doc_id, None, len(text), hashlib.sha256(changed.encode()).hexdigest(), shown(own), shown(prints),
+        doc_id, None, len(text), hashlib.sha256(changed.encode()).digest(), packed(own), packed(prints),
         likeness(own, prints), likeness(own, its),
     )
 
@@ -179,4 +184,5 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
             if rows:
                 yield batch(_OUT, *zip(*rows))
 
-    return walked.where("edge IS NULL").select(*RESULT).unionByName(met.mapInArrow(meet, _OUT_SQL).select(*RESULT))
+    found = walked.where("edge IS NULL").select(*RESULT).unionByName(met.mapInArrow(meet, _OUT_SQL).select(*RESULT))
+    return found.withColumns({c: F.lower(F.hex(c)) for c in _HEX})
