@@ -2,15 +2,22 @@
 
 Linear support vector machines on counts of letters, pairs and triples of letters (hashed to DIMENSIONS
 places, square roots, unit length). One machine per family against the rest chooses the family; within it,
-one machine for each pair of its languages votes, and margins break ties. The score is the lower of the
-family's and the languages' certainty.
+one machine for each pair of its languages votes, and margins break ties. The score is the lowest of the
+family's and the languages' certainty and of the text's likeness to the language it is given.
+
+Machines only choose among what was learned, so the likeness stands apart from them: the mean logarithm of a
+text's letters, pairs and triples under the language's own distribution, against even odds. Its cut is calibrated
+on the labelled sample, each text left out of its own distribution, and lies lower for short texts, as their
+likeness scatters more; it is never above half the sample's median, so that a text with passages in another
+language stays. A text below the cut scores below LEAST_SCORE.
 
 The machines are fitted on at most SAMPLE labelled documents of each language, those with the smallest
 hashes of doc_id; that is the only bound. All texts are classified whole.
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0. Rows without
 a language are not learned from; where there is none to learn from, all texts are ``und``. With one
-language learned, every text with a letter is that language, with score 1. Equal texts get equal results, wherever
+language learned, every text with a letter is that language, with its likeness as score. A language of fewer than
+CALIBRATED learned texts has no cut: likeness to it counts as 1. Equal texts get equal results, wherever
 they are. An empty table gives an empty result; further columns are kept by ``keep_known``.
 """
 
@@ -33,6 +40,9 @@ SAMPLE, LANGUAGES = 600, 64
 DIMENSIONS = 1 << 12
 #: Below this score a document's language counts as unknown in ``keep_known``.
 LEAST_SCORE = 0.2
+#: Learned texts from which a language's likeness has a cut, deviations below the median that it leaves at least, and
+#: the share of its labelled sample that it leaves.
+CALIBRATED, DEVIATIONS, STAYING = 20, 6.0, 0.995
 
 # Families of languages by ISO 639-1 code. A language that isn't here is a family of its own.
 FAMILIES = {
@@ -61,9 +71,14 @@ def family_of(lang: str) -> str:
 
 def features(text: str) -> np.ndarray | None:
     """The vector of a text, None if it has no letter."""
+    return counted(text)[0]
+
+
+def counted(text: str) -> tuple[np.ndarray | None, int]:
+    """The vector of a text, None if it has no letter, and the length of what it counts."""
     letters = _NOT_LETTERS.sub(" ", text.lower()).strip()
     if not letters:
-        return None
+        return None, 0
     c = np.frombuffer(f" {letters} ".encode("utf-32-le"), np.uint32)
     c = c * np.uint32(2654435761)
     counts = np.bincount(c[1:-1] >> 20, minlength=DIMENSIONS)
@@ -72,7 +87,7 @@ def features(text: str) -> np.ndarray | None:
     three = two[:-1] * np.uint32(31) + c[2:]
     counts += np.bincount((three * np.uint32(0xC2B2AE35)) >> 20, minlength=DIMENSIONS)
     x = np.sqrt(counts.astype(np.float32))
-    return x / np.linalg.norm(x)
+    return x / np.linalg.norm(x), len(letters)
 
 
 # ---------------------------------------------------------------- machines
@@ -101,16 +116,42 @@ def fit_machine(x: np.ndarray, y: np.ndarray, rounds: int = 30, c: float = 100.0
     return w.astype(np.float32)
 
 
+class Likeness:
+    """How like the learned texts of one language a text is."""
+
+    def __init__(self, x: np.ndarray, sizes: np.ndarray):
+        m = len(x)
+        shares = np.square(x)  # a text's counts as shares of all it counts
+        # one even text is added, so that what was never seen isn't impossible
+        total = shares.sum(axis=0) + np.float32(1 / DIMENSIONS)
+        self.log = np.log(total * (DIMENSIONS / (m + 1)))
+        found = np.array([s @ np.log((total - s).clip(1e-9) * (DIMENSIONS / m)) for s in shares])
+        self.middle = float(np.median(found))
+        p = total / (m + 1)
+        self.each = max(0.0, float(p @ np.square(self.log) - (p @ self.log) ** 2))
+        self.wide = (1.4826 * float(np.median(np.abs(found - self.middle)))) ** 2 + 1e-6
+        self.most = max(DEVIATIONS, float(np.quantile((self.middle - found) / np.sqrt(self.wide + self.each / sizes), STAYING)))
+
+    def score(self, x: np.ndarray, n: int) -> float:
+        """LEAST_SCORE at the cut, below it beneath and above it over the cut."""
+        unit = (self.wide + self.each / n) ** 0.5
+        cut = min(self.middle - self.most * unit, self.middle / 2)
+        below = (cut - float(np.square(x) @ self.log)) / unit
+        return float(1 / (1 + (1 / LEAST_SCORE - 1) * np.exp(np.clip(below, -50, 50))))
+
+
 class Classifier:
-    """Machines for the families, and for each pair of languages within one."""
+    """Machines for the families, and for each pair of languages within one; each language's likeness."""
 
-    def __init__(self, x: np.ndarray, langs: list[str]):
+    def __init__(self, x: np.ndarray, langs: list[str], sizes: list[int]):
         self.langs = sorted(set(langs))
         of = np.array(langs)
         families = np.array([family_of(k) for k in langs])
         self.families = sorted(set(families))
         self.members = {f: [k for k in self.langs if family_of(k) == f] for f in self.families}
         self.family_w = [fit_machine(x, np.where(families == f, 1, -1)) for f in self.families] if len(self.families) > 1 else []
+        sizes = np.array(sizes)
+        self.likeness = {k: Likeness(x[of == k], sizes[of == k]) for k in self.langs if (of == k).sum() >= CALIBRATED}
         self.pair_w = {}
         for f in self.families:
             for a, b in combinations(self.members[f], 2):
@@ -118,7 +159,7 @@ class Classifier:
                 self.pair_w[a, b] = fit_machine(x[rows], np.where(of[rows] == a, 1, -1))
 
     def predict(self, text: str) -> tuple[str, float]:
-        x = features(text) if self.langs else None
+        x, n = counted(text) if self.langs else (None, 0)
         if x is None:
             return UNKNOWN, 0.0
         sure = lambda m: float(1 / (1 + np.exp(-np.clip(3 * m, -50, 50))))
@@ -135,7 +176,8 @@ class Classifier:
             sums[a], sums[b] = sums[a] + m, sums[b] - m
             worst[a], worst[b] = min(worst[a], sure(m)), min(worst[b], sure(-m))
         best = max(members, key=lambda k: (votes[k], sums[k]))
-        return best, min(score, worst[best])
+        own = self.likeness[best].score(x, n) if best in self.likeness else 1.0
+        return best, min(score, worst[best], own)
 
 
 # ---------------------------------------------------------------- on Spark
@@ -154,30 +196,32 @@ def fit(docs: DataFrame, learn: Column | None = None, sample: int = SAMPLE) -> C
     span = 1 << 64
     cut = {k: -(1 << 63) + min(span - 1, int(span * min(1.0, (sample + 6 * sample**0.5 + 20) / n))) for k, n in rows_of.items()}
     if not cut:
-        return Classifier(np.empty((0, DIMENSIONS), np.float32), [])
+        return Classifier(np.empty((0, DIMENSIONS), np.float32), [], [])
     below = F.lit(False)
     for lang, edge in cut.items():
         below = below | ((F.col("lang") == lang) & (order <= F.lit(edge)))
     rows = labelled.where(below).select("lang", "text", order.alias("h"))
     small_batches(docs.sparkSession)
-    schema = pa.schema([("lang", pa.string()), ("h", pa.int64()), ("x", pa.binary())])
+    schema = pa.schema([("lang", pa.string()), ("h", pa.int64()), ("n", pa.int64()), ("x", pa.binary())])
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [(k, h, features(t)) for k, t, h in zip(b.column(0).to_pylist(), texts_of(b.column(1)), b.column(2).to_pylist())]
+            found = [(k, h, *counted(t)) for k, t, h in zip(b.column(0).to_pylist(), texts_of(b.column(1)), b.column(2).to_pylist())]
             found = [f for f in found if f[2] is not None]
             if found:
-                yield batch(schema, [f[0] for f in found], [f[1] for f in found], [f[2].astype(np.float16).tobytes() for f in found])
+                langs, hashes, x, sizes = zip(*found)
+                yield batch(schema, langs, hashes, sizes, [v.astype(np.float16).tobytes() for v in x])
 
     # at most LANGUAGES * (SAMPLE + some) vectors of 8 KB
-    got = rows.mapInArrow(vectors, "lang string, h long, x binary").toArrow().sort_by([("lang", "ascending"), ("h", "ascending")])
-    langs, taken, x = [], {}, []
-    for lang, data in zip(got["lang"].to_pylist(), got["x"]):
+    got = rows.mapInArrow(vectors, "lang string, h long, n long, x binary").toArrow().sort_by([("lang", "ascending"), ("h", "ascending")])
+    langs, taken, x, sizes = [], {}, [], []
+    for lang, n, data in zip(got["lang"].to_pylist(), got["n"].to_pylist(), got["x"]):
         taken[lang] = taken.get(lang, 0) + 1
         if taken[lang] <= sample:
             langs.append(lang)
+            sizes.append(n)
             x.append(np.frombuffer(data.as_buffer(), np.float16))
-    return Classifier(np.array(x, np.float32).reshape(-1, DIMENSIONS), langs)
+    return Classifier(np.array(x, np.float32).reshape(-1, DIMENSIONS), langs, sizes)
 
 
 def classify(docs: DataFrame, model: Classifier, *keep: str) -> DataFrame:

@@ -173,6 +173,23 @@ def test_nothing_to_learn(spark, nothing):
     assert language_id.fit(one).predict("bonjour") == ("en", 1.0)
 
 
+def test_what_was_not_learned_goes(spark):
+    """Four languages in two families: of the machines' margins one is never below 0."""
+    rng = np.random.default_rng(4)
+    parts = {"en": "the ing th er on", "de": "sch ung ein ch er", "fr": "eau que le ré ou", "es": "ción que el ñ os", "fi": "kää yö uu hto jk", "ru": "ого ста ни ть про"}
+
+    def said(kind, n):
+        return " ".join("".join(rng.choice(parts[kind].split(), rng.integers(1, 4))) for _ in range(n))
+
+    rows = [(i, said(k, int(rng.integers(2, 80))), k) for i, k in enumerate(["en", "de", "fr", "es"] * 60)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    random = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz  "), 200)) for _ in range(20)]
+    texts = [(1, said(k, n)) for k in ("en", "de", "fr", "es") for n in (2, 5, 200) for _ in range(10)]
+    texts += [(0, t) for t in random] + [(0, said(k, n)) for k in ("fi", "ru") for n in (15, 200) for _ in range(10)] + [(0, "..."), (0, None)]
+    kept = language_id.keep_known(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()
+    assert sorted((r[0], r[1]) for r in kept) == sorted(t for t in texts if t[0])
+
+
 # ---- toxicity
 
 
