@@ -6,9 +6,12 @@ the page; the threshold is the smallest density on the path from it up to the bo
 in an ``article`` or ``main`` element, the outermost such element is the text; else the text is, of every
 node that reaches the threshold, the descendant (or itself) with the largest sum.
 
-Menus, headers, footers, sidebars, forms, scripts, styles, notices, adverts and reader comments are taken
-out of the tree first, by element, by ARIA role and by the words of class and id. A header inside an
-article is the article's own and stays.
+Menus, footers, asides, scripts and styles are taken out of the tree first, by element and by ARIA role, as is
+what is hidden. A header, a form and what the words of class and id name as a sidebar, notice, advert, reader
+comments and the like are doubted only: such an element stays where it holds an article or main element of weight,
+or most of the page's prose, so that a wrapper does not take the page with it. Where the name only contains such a
+word (``related-work``, ``no-sidebar``), the element goes if a third of it is link text, and outside articles also
+if it is half as dense as the page or less. A header inside an article is the article's own and stays.
 
 Defined results: a null or empty page gives the empty text, as does a page without text outside what is
 taken out; unclosed and stray tags are mended as browsers do (a new block ends an open paragraph); text
@@ -47,10 +50,10 @@ IMPLIED_END = {
 SCOPE = frozenset("button table td th caption object template html".split())
 
 TAKEN_OUT = frozenset(
-    "head script style noscript template iframe object embed svg canvas audio video map nav footer aside form "
+    "head script style noscript template iframe object embed svg canvas audio video map nav footer aside "
     "button select textarea input dialog menu title".split()
 )
-ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
 COMMENT_WORDS = frozenset("comment comments commentlist reply replies respond disqus discussion".split())
 OTHER_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox sponsor sponsored promo promotion banner cookie cookies "
@@ -59,6 +62,17 @@ OTHER_WORDS = frozenset(
     "sharing social toolbar pagination pager".split()
 )
 NEVER = frozenset("html body main".split())
+# A name is what its last word says, these left out; after one of the second kind it says how the page looks.
+FILLING = frozenset(
+    "area bar block body box button buttons col column container content form group holder icons id inner item items list message outer "
+    "panel posts row section slot text unit wrap wrapper".split()
+)
+TURNED = frozenset("no not non without with has have hide show open close closed enabled disabled is".split())
+#: What an element is doubted for: a word within its name, its name, reader comments, being a form.
+WITHIN, NAMED, COMMENTS, FORM = 1, 2, 3, 4
+#: Link text from this share on is a list of links; a doubted element with this share of the page's text holds the page
+#: (the second, of comments and where an article or main is elsewhere); an article has weight from this share of the largest one's on; prose has so many characters a tag.
+LINKS, HOLDS, ALL_BUT_ALL, WEIGHT, PROSE = 1 / 3, 1 / 2, 9 / 10, 1 / 3, 10
 _WORD = re.compile(r"[a-z0-9]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
@@ -68,25 +82,38 @@ class _Tree(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.tag, self.parent, self.out = ["body"], [-1], [False]
+        self.tag, self.parent, self.out, self.doubt, self.in_article = ["body"], [-1], [False], [0], [False]
         self.pieces: list[tuple[int, str | None]] = []  # None: a block begins or ends here
         self.open = [0]
 
-    def _boilerplate(self, tag: str, attrs: list) -> bool:
+    def _boilerplate(self, tag: str, names: dict) -> bool:
         if tag in TAKEN_OUT:
             return True
-        if tag in NEVER:
+        if tag in NEVER or tag == "article":
             return False
-        names = {k: (v or "") for k, v in attrs}
-        found = set(_WORD.findall(f"{names.get('class', '')} {names.get('id', '')}".lower()))
-        in_article = any(self.tag[i] == "article" for i in self.open)
-        if tag == "article":
-            return bool(found & COMMENT_WORDS)
-        if not in_article and (tag == "header" or "header" in found and tag not in {"h1", "h2"}):
-            return True
         if names.get("role", "").lower() in ROLES or "hidden" in names or names.get("aria-hidden") == "true":
             return True
-        return bool(found & (COMMENT_WORDS | OTHER_WORDS)) or bool(_HIDDEN.search(names.get("style", "")))
+        return bool(_HIDDEN.search(names.get("style", "")))
+
+    def _doubt(self, tag: str, names: dict, in_article: bool) -> int:
+        if tag in NEVER:
+            return 0
+        found = 0
+        for name in f"{names.get('class', '')} {names.get('id', '')}".lower().split():
+            parts = _WORD.findall(name)
+            own = [w for w in parts if w not in FILLING and not w.isdigit()]
+            if own and not TURNED.intersection(own):
+                if own[-1] in COMMENT_WORDS and not (in_article and own[-1] == "discussion"):
+                    return COMMENTS
+                if own[-1] in OTHER_WORDS or own[-1] == "header" and not in_article and tag not in ("h1", "h2"):
+                    found = NAMED
+            if not found and (OTHER_WORDS | COMMENT_WORDS).intersection(parts):
+                found = WITHIN
+        if tag == "article":
+            return 0
+        if tag == "form" or names.get("role", "").lower() == "form":
+            return FORM
+        return NAMED if tag == "header" and not in_article else found
 
     def _break(self, node: int) -> None:
         self.pieces.append((node, None))
@@ -118,7 +145,10 @@ class _Tree(HTMLParser):
         node, up = len(self.tag), self.open[-1]
         self.tag.append(tag)
         self.parent.append(up)
-        self.out.append(self.out[up] or self._boilerplate(tag, attrs))
+        names = {k: (v or "") for k, v in attrs}
+        self.out.append(self.out[up] or self._boilerplate(tag, names))
+        self.in_article.append(self.in_article[up] or self.tag[up] == "article")
+        self.doubt.append(0 if self.out[node] else self._doubt(tag, names, self.in_article[node]))
         if tag in BLOCK:
             self._break(node)
         if tag == "br":
@@ -147,6 +177,50 @@ def _squeezed(text: str) -> str:
     return " ".join(text.split())
 
 
+def judge(tree: _Tree) -> None:
+    """Take out the doubted elements that neither hold the page nor read like it."""
+    n = len(tree.tag)
+    if not any(tree.doubt):
+        return
+    chars, links, tags = [0] * n, [0] * n, [1] * n
+    article, has_main = [0] * n, [False] * n  # the prose of the largest article within, and whether a main is
+    for node, text in tree.pieces:
+        if text is not None and not tree.out[node]:
+            chars[node] += len(_squeezed(text))
+    for i in range(n - 1, 0, -1):
+        p = tree.parent[i]
+        if tree.out[i]:
+            tags[p] += not tree.out[p]
+            continue
+        if tree.tag[i] == "a":
+            links[i] = chars[i]
+        if tree.tag[i] == "article" and tree.doubt[i] != COMMENTS and links[i] < LINKS * chars[i]:
+            article[i] = max(article[i], chars[i] - links[i])
+        chars[p] += chars[i]
+        links[p] += links[i]
+        tags[p] += tags[i]
+        article[p] = max(article[p], article[i])
+        has_main[p] |= has_main[i] or tree.tag[i] == "main"
+    inside = [False] * n
+    for i in range(1, n):
+        p = tree.parent[i]
+        inside[i] = inside[p] or tree.tag[p] in ("article", "main")
+        if tree.out[p]:
+            tree.out[i] = True
+        kind = tree.doubt[i]
+        if tree.out[i] or not kind:
+            continue
+        few_links, dense = links[i] < LINKS * chars[i], (chars[i] - links[i]) / tags[i]
+        if has_main[i] or article[i] and article[i] >= WEIGHT * article[0]:
+            continue
+        rival = not inside[i] and (article[0] or has_main[0])  # an article or main that it is neither in nor around
+        if chars[i] >= (ALL_BUT_ALL if kind == COMMENTS or rival else HOLDS) * chars[0] and few_links and dense >= PROSE:
+            continue
+        if kind == WITHIN and few_links and (tree.in_article[i] or dense > (chars[0] - links[0]) / tags[0] / 2):
+            continue
+        tree.out[i] = True
+
+
 def densities(tree: _Tree) -> tuple[list[float], list[float], list[int]]:
     """Per node: density, sum of the children's densities, characters."""
     n = len(tree.tag)
@@ -188,6 +262,7 @@ def main_text(html: str | None) -> str:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    judge(tree)
     density, total, chars = densities(tree)
     n = len(tree.tag)
     if not chars[0]:

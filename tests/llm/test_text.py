@@ -83,6 +83,39 @@ def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+ARTICLE = "<h1>Title of it</h1>" + "".join(f"<p>Sentence {i} of a text that goes on for a good while, with words.</p>" for i in range(6))
+WHOLE = html_text.main_text(f"<article>{ARTICLE}</article>")
+SIDE = "<div class='sidebar'><ul><li><a href=a>One</a><li><a href=b>Two</a></ul></div><div class='ad-container'>Buy this now</div>"
+
+
+@pytest.mark.parametrize("open, close", [
+    ("<div class='content no-sidebar'>", "</div>"), ("<div class='layout with-sidebar'>", "</div>"), ("<div class='nav-open'>", "</div>"),
+    ("<div class='widget Blog'>", "</div>"), ("<form action=x>", "<input></form>"), ("<div id=page class=overlay>", "</div>"),
+    ("<div class='comments-open'>", "</div>"), ("<header>", "</header>"),
+])
+@pytest.mark.parametrize("inner", ["article", "main", "div"])
+def test_wrapper_named_like_boilerplate(open, close, inner):
+    page = f"<body><nav><a href=x>Home</a></nav>{open}<{inner}>{ARTICLE}</{inner}>{SIDE}{close}<footer>End</footer>"
+    assert html_text.main_text(page) == WHOLE
+
+
+def test_sections_named_like_boilerplate():
+    for name in ("related-work", "social-impact", "sharing-economy", "discussion"):
+        section = f"<section class='{name}'><h2>Head</h2><p>What a section of the article says, in a sentence.</p></section>"
+        got = html_text.main_text(f"<article>{ARTICLE}{section}<div class='related'><a href=a>Next</a></div><div id='share-bar'>Share it</div></article>")
+        assert got == f"{WHOLE}\nHead\nWhat a section of the article says, in a sentence."
+    assert html_text.main_text("<article class='post comments-open'><p>Text of it.</p></article>") == "Text of it."
+
+
+def test_long_comments_and_teasers_go():
+    comments = "<div id='comments'>" + "<article class='comment'><p>I have much to say about that, and so on and on.</p></article>" * 20 + "</div>"
+    teasers = "<div class='related-posts'>" + "<article><a href=x>Another story</a><p>Short</p></article>" * 3 + "</div>"
+    assert html_text.main_text(f"<body><main><article>{ARTICLE}</article>{teasers}{comments}</main>") == WHOLE
+    assert html_text.main_text(f"<body><div>{ARTICLE}</div>{comments}") == WHOLE
+    assert html_text.main_text("<form>Name <input> Password <input></form>") == ""
+    assert html_text.main_text("<div class='ad'>An advert that is longer than the article.</div><article><p>Short article.</p></article>") == "Short article."
+
+
 def test_extract_keeps_columns(spark):
     df = spark.createDataFrame([(1, "u", "<p>a b</p>", "x", 5), (None, None, None, None, 6)], "page_id long, url string, html string, n_chars string, text int")
     got = html_text.extract(df)
