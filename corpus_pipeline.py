@@ -20,8 +20,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the row with the largest doc_id of each group of equal texts."""
-    return exact_dedup.drop_exact_copies(docs)
+    """Keep one row, with the largest doc_id, of each group of equal texts."""
+    return exact_dedup.keep_one_of_each(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@
 Defined results: a null text counts as empty, so null and empty texts are one group; texts are compared
 whole after lower-casing A-Z only. The row with the largest doc_id of a group stays (null doc_ids are the
 smallest); of rows that repeat a doc_id within a group all count towards the size and all are marked as
-kept if theirs is the largest doc_id. An empty table gives an empty result. Further columns of the input
+kept if theirs is the largest doc_id; ``keep_one_of_each`` keeps one of them, which the pipeline uses. An empty table gives an empty result. Further columns of the input
 are ignored by ``exact_groups`` and kept by ``drop_exact_copies``.
 
 A group that holds a third of all rows: in step 2 each task sends a fingerprint with repeats as zero
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeshelf.llm.common import (
-    ascii_lower, batch, rows_with_ids, scratch_path, shuffle_partitions, small_batches, texts_of,
+    ascii_lower, batch, rows_with_ids, scratch_path, shuffle_partitions, small_batches, stored, texts_of,
 )
 
 #: Bits beyond log2(rows): about one false suspect in 2 ** SPARE_BITS documents.
@@ -183,3 +183,24 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     ).distinct()
     same_text = F.sha2(ascii_lower(docs["text"]), 256) == F.col("_gone_text")
     return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone_id")) & same_text, "left_anti")
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each group of equal texts, with the columns of ``docs``: as ``drop_exact_copies``, and of rows that
+    share the largest doc_id one, the one with the smallest hash of its columns."""
+    changed = stored(
+        exact_groups(docs).where("group_size > 1").groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_text"))
+        .agg(F.first("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows")).where("NOT _kept OR _rows > 1"),
+        "dedup-changed",
+    )
+    changed_row = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.sha2(ascii_lower(docs["text"]), 256) == F.col("_text"))
+    others = docs.join(changed.select("_id", "_text"), changed_row, "left_anti")
+    repeated = changed.where("_kept").select("_id", "_text")
+    if repeated.isEmpty():
+        return others
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(*hashed).alias("h"), "doc_id", "text").join(
+        repeated, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.sha2(ascii_lower(F.col("text")), 256) == F.col("_text"))
+    )
+    # each task keeps one row of a group before the shuffle
+    return others.unionByName(rows.groupBy("_id", "_text").agg(F.min_by("row", "h").alias("row")).select("row.*"))

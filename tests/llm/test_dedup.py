@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from lakeshelf.llm import common, exact_dedup, ngram_join
 from lakeshelf.llm.components import components
 
@@ -81,6 +82,16 @@ def test_exact_empty_nulls_and_repeats(spark, nothing):
     assert got(exact_dedup.drop_exact_copies(df)) == sorted([(1, "X"), (1, "x"), (2, "y"), (None, None), (None, "")], key=str)
 
 
+def test_one_row_of_each_group_stays(spark, nothing):
+    stage = dict(corpus_pipeline.STAGES)["exact dedup"]
+    rows = [(None, "x"), (1, "X"), (1, "x"), (2, "y"), (None, None), (None, ""), (3, "z"), (4, "z"), (1, "other"), *[(7, "many")] * 500, (6, "many")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = stage(spark, df, "").collect()
+    assert len(found) == 6 and found[0].__fields__ == df.columns
+    assert {(r[0], (r[1] or "").lower()) for r in found} == {(1, "x"), (2, "y"), (None, ""), (4, "z"), (1, "other"), (7, "many")}
+    assert stage(spark, nothing, "").count() == 0
+
+
 def test_near_duplicates(docs, corpus):
     assert got(ngram_join.near_duplicates(docs)) == sorted(near_brute(corpus), key=str)
 
