@@ -11,8 +11,10 @@ on the labelled sample, each text left out of its own distribution, and lies low
 likeness scatters more; it is never above half the sample's median, so that a text with passages in another
 language stays. A text below the cut scores below LEAST_SCORE.
 
-The machines are fitted on at most SAMPLE labelled documents of each language, those with the smallest
-hashes of doc_id; that is the only bound. All texts are classified whole.
+Every language of the labelled rows is learned. The machines are fitted on at most SAMPLE labelled documents of
+each language, those with the smallest hashes of doc_id; where these are more than DRIVER_ROWS in all, the machines
+are fitted in tasks, and those of the families on at most FAMILY_ROWS documents, evenly of all languages and one of
+each at least. These bounds on labelled rows are the only ones. All texts are classified whole.
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0. Rows without
 a language are not learned from; where there is none to learn from, all texts are ``und``. With one
@@ -23,20 +25,23 @@ they are. An empty table gives an empty result; further columns are kept by ``ke
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeshelf.llm.common import batch, small_batches, texts_of
+from lakeshelf.llm.common import batch, small_batches, stored, texts_of
 
 UNKNOWN = "und"
-#: Documents per language that are learned from, at most, and languages that are learned, the most frequent first.
-SAMPLE, LANGUAGES = 600, 64
+#: Documents per language that are learned from, at most.
+SAMPLE = 600
+#: Documents that the driver fits on, and that a family's machine is fitted on in a task: 8 to 32 KB each.
+DRIVER_ROWS, FAMILY_ROWS = 8_000, 8_000
 DIMENSIONS = 1 << 12
 #: Below this score a document's language counts as unknown in ``keep_known``.
 LEAST_SCORE = 0.2
@@ -143,20 +148,27 @@ class Likeness:
 class Classifier:
     """Machines for the families, and for each pair of languages within one; each language's likeness."""
 
-    def __init__(self, x: np.ndarray, langs: list[str], sizes: list[int]):
+    def __init__(self, langs: list[str]):
         self.langs = sorted(set(langs))
-        of = np.array(langs)
-        families = np.array([family_of(k) for k in langs])
-        self.families = sorted(set(families))
+        self.families = sorted({family_of(k) for k in self.langs})
         self.members = {f: [k for k in self.langs if family_of(k) == f] for f in self.families}
-        self.family_w = [fit_machine(x, np.where(families == f, 1, -1)) for f in self.families] if len(self.families) > 1 else []
-        sizes = np.array(sizes)
+        self.family_w: list[np.ndarray] = []
+        self.pair_w: dict[tuple[str, str], np.ndarray] = {}
+        self.likeness: dict[str, Likeness] = {}
+
+    def pairs(self) -> list[tuple[str, str]]:
+        return [p for f in self.families for p in combinations(self.members[f], 2)]
+
+    def learn(self, x: np.ndarray, langs: list[str], sizes: list[int]) -> Classifier:
+        of, sizes = np.array(langs), np.array(sizes)
+        families = np.array([family_of(k) for k in langs])
+        if len(self.families) > 1:
+            self.family_w = [fit_machine(x, np.where(families == f, 1, -1)) for f in self.families]
+        for a, b in self.pairs():
+            rows = (of == a) | (of == b)
+            self.pair_w[a, b] = fit_machine(x[rows], np.where(of[rows] == a, 1, -1))
         self.likeness = {k: Likeness(x[of == k], sizes[of == k]) for k in self.langs if (of == k).sum() >= CALIBRATED}
-        self.pair_w = {}
-        for f in self.families:
-            for a, b in combinations(self.members[f], 2):
-                rows = (of == a) | (of == b)
-                self.pair_w[a, b] = fit_machine(x[rows], np.where(of[rows] == a, 1, -1))
+        return self
 
     def predict(self, text: str) -> tuple[str, float]:
         x, n = counted(text) if self.langs else (None, 0)
@@ -190,17 +202,15 @@ def fit(docs: DataFrame, learn: Column | None = None, sample: int = SAMPLE) -> C
         labelled = labelled.where(learn)
     order = F.xxhash64(F.lit("language"), F.col("doc_id"))
     ids = labelled.select("lang", "doc_id", order.alias("h"))
-    counts = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    counts = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per language
     rows_of = {r["lang"]: r["n"] for r in counts}
     # the smallest hashes of each language: a cut that keeps about SAMPLE rows, then exactly those
     span = 1 << 64
     cut = {k: -(1 << 63) + min(span - 1, int(span * min(1.0, (sample + 6 * sample**0.5 + 20) / n))) for k, n in rows_of.items()}
     if not cut:
-        return Classifier(np.empty((0, DIMENSIONS), np.float32), [], [])
-    below = F.lit(False)
-    for lang, edge in cut.items():
-        below = below | ((F.col("lang") == lang) & (order <= F.lit(edge)))
-    rows = labelled.where(below).select("lang", "text", order.alias("h"))
+        return Classifier([])
+    edges = docs.sparkSession.createDataFrame(sorted(cut.items()), "lang string, edge long")
+    rows = labelled.select("lang", "text", order.alias("h")).join(F.broadcast(edges), "lang").where("h <= edge").select("lang", "text", "h")
     small_batches(docs.sparkSession)
     schema = pa.schema([("lang", pa.string()), ("h", pa.int64()), ("n", pa.int64()), ("x", pa.binary())])
 
@@ -212,8 +222,11 @@ def fit(docs: DataFrame, learn: Column | None = None, sample: int = SAMPLE) -> C
                 langs, hashes, x, sizes = zip(*found)
                 yield batch(schema, langs, hashes, sizes, [v.astype(np.float16).tobytes() for v in x])
 
-    # at most LANGUAGES * (SAMPLE + some) vectors of 8 KB
-    got = rows.mapInArrow(vectors, "lang string, h long, n long, x binary").toArrow().sort_by([("lang", "ascending"), ("h", "ascending")])
+    vectors_of = rows.mapInArrow(vectors, "lang string, h long, n long, x binary")
+    if sum(min(n, sample) for n in rows_of.values()) > DRIVER_ROWS:
+        return _fit_in_tasks(vectors_of, sample)
+    # at most DRIVER_ROWS (and some) vectors of 8 KB
+    got = vectors_of.toArrow().sort_by([("lang", "ascending"), ("h", "ascending")])
     langs, taken, x, sizes = [], {}, [], []
     for lang, n, data in zip(got["lang"].to_pylist(), got["n"].to_pylist(), got["x"]):
         taken[lang] = taken.get(lang, 0) + 1
@@ -221,7 +234,53 @@ def fit(docs: DataFrame, learn: Column | None = None, sample: int = SAMPLE) -> C
             langs.append(lang)
             sizes.append(n)
             x.append(np.frombuffer(data.as_buffer(), np.float16))
-    return Classifier(np.array(x, np.float32).reshape(-1, DIMENSIONS), langs, sizes)
+    return Classifier(langs).learn(np.array(x, np.float32).reshape(-1, DIMENSIONS), langs, sizes)
+
+
+def _array(column: pa.ChunkedArray) -> np.ndarray:
+    return np.array([np.frombuffer(d.as_buffer(), np.float16) for d in column], np.float16).reshape(-1, DIMENSIONS)
+
+
+def _fit_in_tasks(vectors: DataFrame, sample: int) -> Classifier:
+    """The same machines and likenesses, one task's group each; the driver gets what they have learned."""
+    spark = vectors.sparkSession
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    chosen = stored(vectors.withColumn("place", place).where(F.col("place") <= sample), "language-vectors")
+    counts = {r["lang"]: r["n"] for r in chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    model = Classifier(list(counts))
+    pairs = model.pairs()
+    owned = [(k, -1 - i) for i, k in enumerate(model.langs) if counts[k] >= CALIBRATED]
+    members = owned + [(k, i) for i, pair in enumerate(pairs) for k in pair]
+
+    def one(key, rows):
+        rows, machine = rows.sort_by([("lang", "ascending"), ("h", "ascending")]), key[0].as_py()
+        x, of = _array(rows["x"]).astype(np.float32), np.array(rows["lang"].to_pylist())
+        made = fit_machine(x, np.where(of == pairs[machine][0], 1, -1)) if machine >= 0 else Likeness(x, rows["n"].to_numpy())
+        return pa.table({"machine": pa.array([machine], pa.int64()), "made": pa.array([pickle.dumps(made)], pa.binary())})
+
+    if members:
+        sides = F.broadcast(spark.createDataFrame(members, "lang string, machine long"))
+        for r in chosen.join(sides, "lang").groupBy("machine").applyInArrow(one, "machine long, made binary").toLocalIterator():
+            made = pickle.loads(r["made"])
+            if r["machine"] >= 0:
+                model.pair_w[pairs[r["machine"]]] = made
+            else:
+                model.likeness[model.langs[-1 - r["machine"]]] = made
+    families = model.families
+    if len(families) > 1:
+        some = chosen.where(F.col("place") <= max(1, FAMILY_ROWS // len(counts))).toArrow().sort_by([("lang", "ascending"), ("h", "ascending")])
+        shared = spark.sparkContext.broadcast((_array(some["x"]), [family_of(k) for k in some["lang"].to_pylist()]))
+        schema = pa.schema([("family", pa.int64()), ("made", pa.binary())])
+
+        def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            x, of = shared.value[0].astype(np.float32), np.array(shared.value[1])
+            for b in batches:
+                for i in b.column(0).to_pylist():
+                    yield batch(schema, [i], [fit_machine(x, np.where(of == families[i], 1, -1)).tobytes()])
+
+        made = spark.range(0, len(families), 1, len(families)).mapInArrow(rest, "family long, made binary").collect()
+        model.family_w = [np.frombuffer(r["made"], np.float32) for r in sorted(made, key=lambda r: r["family"])]
+    return model
 
 
 def classify(docs: DataFrame, model: Classifier, *keep: str) -> DataFrame:

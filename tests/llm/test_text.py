@@ -223,6 +223,27 @@ def test_what_was_not_learned_goes(spark):
     assert sorted((r[0], r[1]) for r in kept) == sorted(t for t in texts if t[0])
 
 
+def test_every_language_is_learned(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for k in range(70):
+        parts = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 3)) for _ in range(6)]
+        rows += [(len(rows) + i, " ".join("".join(rng.choice(parts, 2)) for _ in range(30)), f"x{k}") for i in range(4 if k < 64 else 3)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.langs) == 70 and np.mean([model.predict(t)[0] == k for _, t, k in rows]) > 0.95
+
+
+def test_machines_are_the_same_in_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(i, speech(rng, k), k) for i, k in enumerate(["en", "de", "fr", "xx"] * 25)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = language_id.fit(df, sample=22)
+    monkeypatch.setattr(language_id, "DRIVER_ROWS", 0)
+    got = language_id.fit(df, sample=22)
+    assert got.langs == want.langs and len(got.likeness) == 4 and len(got.family_w) == 3
+    assert [got.predict(t) for _, t, _ in rows] == [want.predict(t) for _, t, _ in rows]
+
+
 # ---- toxicity
 
 
