@@ -4,8 +4,10 @@ Writer: one gzip member per record, one archive per task. Of records with equal
 ``min_bytes``) the one with the largest page_id is a ``response``, the others are ``revisit`` records that
 name it; all shorter ones are responses. A record's id is ``<urn:page:N>``.
 
-Reader: a record counts when its member decompresses with a right checksum, its version line, header and
-length are whole, and its block digest (if it names one) is right. Where a check fails, the reader searches
+Reader: a record counts when its version line, header and length are whole, and its block digest (if it names one)
+is right. Members are unpacked as streams: of a member of several records each good one counts, also before a damaged
+end; after a bad one the unpacked bytes are searched for the next version line of a good record, and the gap names
+its bytes within the member. A damaged member of one record, or without a good one, is one gap. Where a check fails elsewhere, the reader searches
 on from the next byte for a gzip member that begins with a version line, or for a version line of an
 uncompressed record, that passes all checks; it goes on from there and reports the bytes between
 as a gap with the reason. What a good record holds is never searched, so a payload may hold WARC text.
@@ -200,19 +202,131 @@ def _plain(archive: _Archive, pos: int) -> tuple[dict, bytes, int]:
     return header, block, pos + end
 
 
-def _records_at(archive: _Archive, pos: int) -> tuple[list[tuple[dict, bytes]], int]:
-    """The records of the member at ``pos``, or the uncompressed record there, and where to go on."""
-    if archive.at(pos, 2) != b"\x1f\x8b":
-        header, block, end = _plain(archive, pos)
-        return [(header, block)], end
-    data, end = archive.member(pos)
-    found, at = [], 0
-    while at < len(data):
-        header, block, at = _parsed(data, at)
-        found.append((header, block))
-    if not found:
-        raise _Bad("empty member")
-    return found, end
+class _Stream:
+    """What the gzip member at ``pos`` holds, a piece at a time."""
+
+    def __init__(self, archive: _Archive, pos: int):
+        self.archive, self.here, self.unpack = archive, pos, zlib.decompressobj(31)
+        self.data, self.base = bytearray(), 0  # what is held, and where that is in the member
+        self.tail, self.ended, self.bad = b"", False, None
+
+    def more(self) -> None:
+        piece = self.tail or self.archive.at(self.here, 1 << 16)
+        if not piece:
+            self.ended, self.bad = True, "member ends early"
+            return
+        if not self.tail:
+            self.here += len(piece)
+        before = self.unpack.copy()
+        try:
+            self.data += self.unpack.decompress(piece, 1 << 20)
+        except zlib.error as error:
+            self.ended, self.bad = True, f"member is damaged: {error}"
+            try:  # what comes before the damaged byte
+                for k in range(len(piece)):
+                    self.data += before.decompress(piece[k : k + 1])
+            except zlib.error:
+                pass
+            return
+        self.tail, self.ended = self.unpack.unconsumed_tail, self.unpack.eof
+        if self.ended:
+            self.here -= len(self.unpack.unused_data)
+
+    def record(self, at: int) -> tuple[dict, bytes, int]:
+        """Header, block and end of the record at ``at`` of what is held; reads on as far as it needs."""
+        while len(self.data) < at + 10 and not self.ended:
+            self.more()
+        if not _VERSION_LINE.match(self.data, at):
+            raise _Bad("no version line")
+        seen = at
+        while (end := self.data.find(b"\r\n\r\n", seen)) < 0 and not self.ended:
+            seen = max(at, len(self.data) - 3)
+            self.more()
+        length = re.search(rb"(?im)^content-length:\s*(\d{1,18})\s*$", self.data[at:end]) if end >= 0 else None
+        stop = end + 8 + int(length[1]) if length else len(self.data)
+        while len(self.data) < stop and not self.ended:
+            self.more()
+        header, block, size = _parsed(bytes(self.data[at:stop]), 0)
+        return header, block, at + size
+
+    def drop(self, n: int) -> None:
+        del self.data[:n]
+        self.base += n
+
+    def items(self) -> Iterator[tuple]:
+        """("record", header, block) and ("gap", start, stop, reason) within the member."""
+        while True:
+            while not self.data and not self.ended:
+                self.more()
+            if not self.data:
+                return
+            began, at, reason = self.base, 0, ""
+            while True:
+                try:
+                    header, block, end = self.record(at)
+                    break
+                except _Bad as bad:
+                    reason = reason or str(bad)
+                while not (found := _VERSION_LINE.search(self.data, at + 1)) and not self.ended:
+                    self.drop(max(0, len(self.data) - 10))
+                    at = -1
+                    self.more()
+                if not found:
+                    yield "gap", began, self.base + len(self.data), self.bad or reason
+                    self.drop(len(self.data))
+                    return
+                at = found.start()
+            if reason:
+                yield "gap", began, self.base + at, reason
+            self.drop(end)
+            if not self.data and not self.ended:
+                self.more()
+            yield "record", header, block
+
+
+def _is_valid(archive: _Archive, pos: int) -> bool:
+    """Whether the member at ``pos`` holds a good record, or an uncompressed one begins there."""
+    if archive.at(pos, 2) == b"\x1f\x8b":
+        return any(x[0] == "record" for x in _Stream(archive, pos).items())
+    try:
+        _plain(archive, pos)
+        return True
+    except _Bad:
+        return False
+
+
+def _end_of(archive: _Archive, pos: int) -> int:
+    """Where the member at ``pos`` ends, or if it is damaged, where the next good one begins."""
+    stream = _Stream(archive, pos)
+    while not stream.ended:
+        stream.more()
+        stream.drop(len(stream.data))
+    return _next_valid(archive, pos + 1) if stream.bad else stream.here
+
+
+def _member_items(archive: _Archive, pos: int, stream: _Stream) -> Iterator[tuple]:
+    end, gaps, any_record, last = None, [], False, 0
+    for item in stream.items():
+        if item[0] == "record" and stream.bad and not (any_record or gaps or stream.data):
+            break  # a member of one record, and damaged
+        if item[0] == "gap":
+            gaps.append(item[1:])
+            if not any_record:
+                continue
+        if end is None:
+            end = stream.here if stream.ended and not stream.bad else _end_of(archive, pos)
+        for a, b, reason in gaps:
+            yield "gap", pos, end, f"{reason}; bytes {a} to {b} of the member", None
+            last = b if reason == stream.bad else last
+        gaps = []
+        if item[0] == "record":
+            any_record = True
+            yield "record", pos, end, *item[1:]
+    if not any_record:
+        reason = stream.bad or (gaps[0][2] if gaps else "empty member")
+        yield "gap", pos, _next_valid(archive, pos + 1), reason, None
+    elif stream.bad and not last:
+        yield "gap", pos, end, f"{stream.bad}; from byte {stream.base} of the member", None
 
 
 # a version line need not begin a line here: the byte before it may be the damaged one, and all checks follow
@@ -228,8 +342,8 @@ def _next_valid(archive: _Archive, pos: int) -> int:
             try:
                 if m[0][:1] == b"\x1f" and not archive.member(place, 16)[0].startswith(b"WARC/1."):
                     continue
-                _records_at(archive, place)
-                return place
+                if _is_valid(archive, place):
+                    return place
             except _Bad:
                 continue
         pos += len(window) if pos + len(window) >= archive.size else len(window) - 16
@@ -240,14 +354,17 @@ def salvage(file) -> Iterator[tuple]:
     """("record", offset, end, header, block) and ("gap", start, end, reason, None), in order of bytes."""
     archive, pos = _Archive(file), 0
     while pos < archive.size:
+        if archive.at(pos, 2) == b"\x1f\x8b":
+            for item in _member_items(archive, pos, _Stream(archive, pos)):
+                yield item
+            pos = item[2]
+            continue
         try:
-            records, end = _records_at(archive, pos)
+            header, block, end = _plain(archive, pos)
         except _Bad as bad:
             end = _next_valid(archive, pos + 1)
             yield "gap", pos, end, str(bad), None
-            pos = end
-            continue
-        for header, block in records:
+        else:
             yield "record", pos, end, header, block
         pos = end
 

@@ -47,6 +47,31 @@ def test_every_damaged_place_costs_its_record_only(gzipped):
             assert all(starts[k] <= a < b <= starts[k + 1] for a, b, _ in gaps) and len(ids) + len(gaps) >= 12
 
 
+def test_members_of_several_records():
+    records = [record(i, f"<p>{hashlib.sha256(b'%d' % i).hexdigest() * 900}</p>") for i in range(8)]
+    starts = [sum(map(len, records[:k])) for k in range(9)]
+    ids = [f"<urn:page:{i}>" for i in range(8)]
+    whole, after = warc._member(b"".join(records)), warc._member(record(99, "after"))
+    assert read(whole + after) == ([*ids, "<urn:page:99>"], [])
+    for k in range(8):
+        for place in (0, 3, len(records[k]) // 2, len(records[k]) - 1):
+            bad = bytearray(b"".join(records))
+            bad[starts[k] + place] ^= 0x41
+            member = warc._member(bytes(bad))
+            found, gaps = read(member + after)
+            assert set(found) >= {*ids, "<urn:page:99>"} - {ids[k]} and len(found) + len(gaps) >= 9
+            assert all(g[:2] == (0, len(member)) and "of the member" in g[2] for g in gaps)
+    for share in (0.3, 0.6, 0.9):  # damaged or cut late: what came before stays
+        cut = whole[: int(len(whole) * share)]
+        found, gaps = read(cut + after)
+        assert found[:-1] == ids[: len(found) - 1] and len(found) >= 8 * share and found[-1] == "<urn:page:99>" and len(gaps) == 1
+        found, gaps = read(cut)
+        assert found == ids[: len(found)] and len(found) >= 8 * share - 1 and gaps[-1][1] == len(cut)
+    torn = bytearray(whole)
+    torn[-6] ^= 1  # the checksum of the member
+    assert read(bytes(torn) + after)[0] == [*ids, "<urn:page:99>"] and len(read(torn)[1]) == 1
+
+
 def test_junk_between_cut_end_and_mixed_forms():
     packed, p = archive(True, 3)
     plain, q = archive(False, 3)
