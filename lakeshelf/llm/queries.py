@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshelf.llm import (
-    exact_dedup, fingerprints, html_text, language_id, mixing, ngram_join, packing, token_records, toxicity, warc,
+    exact_dedup, filter_audit, fingerprints, html_text, language_id, mixing, ngram_join, packing, token_records, toxicity, warc,
 )
 from lakeshelf.llm.common import table
 from lakeshelf.llm.registry import query
@@ -158,3 +158,53 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = _crc(F.col("doc_id"), 3) == 1
     scorer = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"), ~held_out)
     return toxicity.score(docs, scorer, "doc_id").select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+OP11 = r"""
+WITH worded AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), firsts AS (
+    SELECT coalesce(text, '') AS body, min(doc_id) AS least FROM documents GROUP BY 1
+), marks AS (
+    SELECT doc_id, max(coalesce(quality, 0) = 1) AS good, max(coalesce(toxic, 0) = 1) AS toxic FROM labels GROUP BY doc_id
+), cells AS (
+    SELECT d.part, CAST(len(d.w) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(d.w)) < 50 * len(d.w) AS INT)
+           + 4 * CAST(100 * length(regexp_replace(d.body, '[^A-Z]', '', 'g')) > 2 * length(d.body) AS INT)
+           + 8 * CAST(regexp_matches(d.body, '[#$%&*|]') AS INT)
+           + 16 * CAST(coalesce(d.doc_id > f.least, false) AS INT) AS fails,
+           count(*) AS n, count(*) FILTER (WHERE m.good) AS good, count(*) FILTER (WHERE m.toxic) AS toxic
+    FROM worded d JOIN firsts f ON f.body = d.body LEFT JOIN marks m ON m.doc_id = d.doc_id
+    GROUP BY 1, 2
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+    SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+           [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31
+), steps AS (
+    SELECT filter_order, CAST(s AS INT) AS step, bits[s] AS own, coalesce(list_sum(bits[1:s - 1]), 0) AS before
+    FROM orders, range(1, 6) t(s)
+), summed AS (
+    SELECT part, filter_order, step, own,
+           CAST(sum(n) FILTER (WHERE (fails & CAST(own + before AS INT)) = 0) AS BIGINT) AS kept,
+           CAST(sum(n) FILTER (WHERE (fails & own) <> 0 AND (fails & CAST(before AS INT)) = 0) AS BIGINT) AS removed,
+           CAST(sum(n) FILTER (WHERE (fails & own) <> 0 AND (fails & CAST(before AS INT)) <> 0) AS BIGINT) AS redundant,
+           CAST(sum(n) FILTER (WHERE fails = own) AS BIGINT) AS unique_fails,
+           CAST(sum(good) FILTER (WHERE (fails & own) <> 0 AND (fails & CAST(before AS INT)) = 0) AS BIGINT) AS good_lost,
+           CAST(sum(toxic) FILTER (WHERE (fails & own) <> 0 AND (fails & CAST(before AS INT)) = 0) AS BIGINT) AS toxic_lost
+    FROM cells, steps GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, coalesce(kept, 0) AS kept, coalesce(removed, 0) AS removed,
+       coalesce(redundant, 0) AS redundant, coalesce(unique_fails, 0) AS unique_fails, coalesce(good_lost, 0) AS good_lost,
+       coalesce(toxic_lost, 0) AS toxic_lost, CAST(coalesce(sum(removed) OVER (PARTITION BY part, own), 0) AS BIGINT) AS shapley
+FROM summed
+"""
+
+
+@query("op11_filter_audit", OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
