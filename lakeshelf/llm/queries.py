@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshelf.llm import (
-    exact_dedup, filter_audit, fingerprints, html_text, language_id, mixing, ngram_join, packing, token_records, toxicity, warc,
+    conversation_repair, exact_dedup, filter_audit, fingerprints, html_text, language_id, mixing, ngram_join, packing, token_records, toxicity, warc,
 )
 from lakeshelf.llm.common import table
 from lakeshelf.llm.registry import query
@@ -208,3 +208,9 @@ FROM summed
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
     return filter_audit.audit(docs, table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damage(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    return conversation_repair.summaries(conversation_repair.edits(rows))
