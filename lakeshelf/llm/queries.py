@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshelf.llm import (
-    conversation_repair, exact_dedup, filter_audit, fingerprints, html_text, language_id, mixing, ngram_join, packing, token_records, toxicity, warc,
+    conversation_repair, exact_dedup, filter_audit, fingerprints, html_text, language_id, mixing, ngram_join, packing,
+    pq_dedup, token_records, toxicity, warc,
 )
 from lakeshelf.llm.common import table
 from lakeshelf.llm.registry import query
@@ -214,3 +215,28 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conversation_repair.damage(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
     return conversation_repair.summaries(conversation_repair.edits(rows))
+
+
+OP13 = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reached AS (
+    SELECT vec_id AS x, vec_id AS y FROM embeddings
+    UNION
+    SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+), grouped AS (
+    SELECT x, min(y) AS component_id FROM reached GROUP BY x
+)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, g.component_id, e.vec_id = g.component_id AS kept
+FROM embeddings e JOIN grouped g ON g.x = e.vec_id LEFT JOIN (SELECT x, count(*) AS n FROM links GROUP BY x) n ON n.x = e.vec_id
+"""
+
+
+@query("op13_embedding_near_dedup", OP13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
