@@ -2,9 +2,10 @@
 
 1. Equal vectors become one class each (partial aggregates, so a hot vector costs no more).
 2. From a bounded sample, coarse centroids and, of the residuals, a codebook for each subspace are learned.
+   Centroids nearer to each other than half the linking distance are merged: a dense group is one list, not many to visit.
 3. Every class is entered in the list of its nearest centroid as codes of its residual, one byte a subspace, and visits the
-   lists of its ``probes`` nearest centroids. The number of probes is learned too: partners made at exactly the least
-   cosine must be met in PROBE_SHARE of the cases, from either side.
+   lists whose centroid is hardly farther (squared distance up to ``margin`` more). The margin is learned too: partners
+   made at exactly the least cosine must be met in PROBE_SHARE of the cases, from either side.
 4. In a list, a visitor's squared distance to every entry is the sum of table entries looked up by code (asymmetric
    distance). An entry's quantisation error is stored, so by the triangle inequality no pair of the list is lost:
    distance(visitor, code) <= distance(least cosine) + error holds for every linked pair.
@@ -77,67 +78,76 @@ def centres(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     return found
 
 
+def apart(found: np.ndarray, least: float) -> np.ndarray:
+    """The centres without those nearer than ``least`` to one before them."""
+    kept: list[int] = []
+    for k, c in enumerate(found):
+        if not kept or (((found[kept] - c) ** 2).sum(1) >= least * least).all():
+            kept.append(k)
+    return found[kept]
+
+
 def closest(points: np.ndarray, to: np.ndarray) -> np.ndarray:
     return np.argmin((to * to).sum(1) - 2 * points @ to.T, axis=1)
 
 
 @dataclass
 class Quantiser:
-    """Coarse centroids, codebooks of the residuals and the number of probes, for vectors of one length."""
+    """Coarse centroids, codebooks of the residuals and the margin of the probes, for vectors of one length."""
 
     coarse: np.ndarray  # lists x length
     books: np.ndarray  # subspaces x codes x part of the length
-    probes: int
+    margin: float
 
     @staticmethod
     def trivial(length: int) -> Quantiser:
         """One list, one code that says nothing: all pairs pass to the exact comparison. For lengths not in the sample."""
-        return Quantiser(np.zeros((1, length)), np.zeros((1, 1, length)), 1)
+        return Quantiser(np.zeros((1, length)), np.zeros((1, 1, length)), 0.0)
 
     @staticmethod
     def fit(sample: np.ndarray, classes: int, least_cosine: float) -> Quantiser:
         """From unit vectors; ``classes`` is how many there are in all."""
         rng, (rows, length) = np.random.default_rng(7), sample.shape
         lists = max(1, min(round(LISTS_SCALE * classes**0.5), rows // SAMPLES_A_LIST))
-        coarse = centres(sample, lists, rng)
+        coarse = apart(centres(sample, lists, rng), (2 - 2 * least_cosine) ** 0.5 / 2)
         parts = min(SUBSPACES, length)
-        made = Quantiser(coarse, np.zeros((parts, 1, -(-length // parts))), 1)
+        made = Quantiser(coarse, np.zeros((parts, 1, -(-length // parts))), 0.0)
         residuals = made.split(sample - coarse[closest(sample, coarse)])
         made.books = np.stack([centres(residuals[:, m], min(CODES, rows), rng) for m in range(parts)])
-        made.probes = made._probes(sample, least_cosine, rng)
+        made.margin = made._margin(sample, least_cosine, rng)
         return made
 
-    def _probes(self, sample: np.ndarray, least_cosine: float, rng: np.random.Generator) -> int:
+    def _margin(self, sample: np.ndarray, least_cosine: float, rng: np.random.Generator) -> float:
         """Enough that vectors and partners at the least cosine meet in PROBE_SHARE of the trials."""
         if len(self.coarse) == 1 or sample.shape[1] == 1:
-            return 1
+            return 0.0
         a = sample[rng.choice(len(sample), PROBE_TRIALS)]
         aside = rng.normal(size=a.shape)
         aside -= (aside * a).sum(1, keepdims=True) * a
         b = least_cosine * a + (1 - least_cosine**2) ** 0.5 * aside / np.linalg.norm(aside, axis=1, keepdims=True)
 
-        def rank(visitor: np.ndarray, entry: np.ndarray) -> np.ndarray:
+        def more(visitor: np.ndarray, entry: np.ndarray) -> np.ndarray:
             far = (self.coarse * self.coarse).sum(1) - 2 * visitor @ self.coarse.T
-            own = far[np.arange(len(visitor)), closest(entry, self.coarse)]
-            return (far < own[:, None]).sum(1)
+            return far[np.arange(len(visitor)), closest(entry, self.coarse)] - far.min(1)
 
-        return int(np.quantile(np.minimum(rank(a, b), rank(b, a)), PROBE_SHARE, method="higher")) + 1
+        return float(np.quantile(np.minimum(more(a, b), more(b, a)), PROBE_SHARE, method="higher"))
 
     def split(self, residuals: np.ndarray) -> np.ndarray:
         """rows x subspaces x part of the length, with zeros where the length doesn't divide."""
         parts, _, width = self.books.shape
         return np.pad(residuals, ((0, 0), (0, parts * width - residuals.shape[1]))).reshape(len(residuals), parts, width)
 
-    def encode(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Lists to visit (the nearest, own one first), codes, and each vector's distance from what its codes stand for."""
+    def encode(self, vectors: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+        """Own list (the nearest), lists to visit besides, codes, and each vector's distance from what its codes stand for."""
         far = (self.coarse * self.coarse).sum(1) - 2 * vectors @ self.coarse.T
-        k = min(self.probes, len(self.coarse))
-        some = np.argpartition(far, k - 1, axis=1)[:, :k]
-        visits = np.take_along_axis(some, np.argsort(np.take_along_axis(far, some, 1), axis=1, kind="stable"), 1)
-        rest = self.split(vectors - self.coarse[visits[:, 0]])
+        own = far.argmin(1)
+        near = far <= far.min(1)[:, None] + self.margin
+        near[np.arange(len(own)), own] = False
+        visits = [np.flatnonzero(row).astype(np.int32) for row in near]
+        rest = self.split(vectors - self.coarse[own])
         codes = np.stack([closest(rest[:, m], book) for m, book in enumerate(self.books)], axis=1)
         left = rest - self.books[np.arange(len(self.books)), codes]
-        return visits, codes.astype(np.uint8), np.sqrt((left * left).sum((1, 2)))
+        return own, visits, codes.astype(np.uint8), np.sqrt((left * left).sum((1, 2)))
 
     def distances(self, visitors: np.ndarray, codes: np.ndarray, of_list: int) -> np.ndarray:
         """Visitors x entries: from each visitor to what the entries' codes stand for, by table lookup."""
@@ -175,10 +185,10 @@ def usable_classes(vectors: DataFrame) -> DataFrame:
 
 
 def encoded(classes: DataFrame, quantisers) -> DataFrame:
-    """cid, copies, length, visits, codes, error, vector of every class; written once."""
+    """cid, copies, length, own, visits, codes, error, vector of every class; written once."""
     small_batches(classes.sparkSession, 4096)
     schema = pa.schema([
-        ("cid", pa.int64()), ("copies", pa.int64()), ("length", pa.int32()), ("visits", pa.list_(pa.int32())),
+        ("cid", pa.int64()), ("copies", pa.int64()), ("length", pa.int32()), ("own", pa.int32()), ("visits", pa.list_(pa.int32())),
         ("codes", pa.binary()), ("error", pa.float64()), ("vector", pa.binary()),
     ])
 
@@ -192,12 +202,12 @@ def encoded(classes: DataFrame, quantisers) -> DataFrame:
                 at = np.flatnonzero(lengths == n)
                 raw = values[starts[at][:, None] + np.arange(n)]
                 quantiser = quantisers.value.get(int(n)) or Quantiser.trivial(int(n))
-                visits, codes, errors = quantiser.encode(units(raw))
-                yield batch(schema, cids.take(pa.array(at)), copies.take(pa.array(at)), [int(n)] * len(at), visits.tolist(),
+                own, visits, codes, errors = quantiser.encode(units(raw))
+                yield batch(schema, cids.take(pa.array(at)), copies.take(pa.array(at)), [int(n)] * len(at), own, visits,
                             [c.tobytes() for c in codes], errors, [r.tobytes() for r in raw])
 
     made = classes.select("cid", "copies", "embedding").mapInArrow(
-        encode, "cid long, copies long, length int, visits array<int>, codes binary, error double, vector binary"
+        encode, "cid long, copies long, length int, own int, visits array<int>, codes binary, error double, vector binary"
     )
     return stored(made, "vector-codes")
 
@@ -208,17 +218,15 @@ def dealt(codes: DataFrame) -> DataFrame:
     A task compares a block of a list's entries with another one, or with a block of its visitors. What
     sets the blocks is a count per list, bounded by the number of lists learned.
     """
-    own = F.col("visits")[0]
-    visits = codes.select("cid", "length", F.explode("visits").alias("list"), own.alias("own"))
-    counts = visits.groupBy("length", "list").agg(
-        F.count_if(F.col("list") == F.col("own")).alias("entries"), F.count_if(F.col("list") != F.col("own")).alias("visitors")
-    )
+    each = lambda lists: F.explode(lists).alias("list")
+    entered = codes.select("length", F.col("own").alias("list"), F.lit(1).alias("e"), F.lit(0).alias("v"))
+    visited = codes.select("length", each("visits"), F.lit(0).alias("e"), F.lit(1).alias("v"))
+    counts = entered.unionByName(visited).groupBy("length", "list").agg(F.sum("e").alias("entries"), F.sum("v").alias("visitors"))
     blocks = lambda n: F.ceil(F.col(n) / BLOCK_ROWS).cast("int")
     lists = F.broadcast(counts.where("entries > 0").select("length", "list", blocks("entries").alias("e"), blocks("visitors").alias("v")))
     own_block = F.pmod(F.xxhash64("cid"), F.col("e")).cast("int")
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    both = codes.withColumn("own", own)
-    held = both.join(lists.withColumnRenamed("list", "own"), ["length", "own"]).withColumn("block", own_block)
+    held = codes.join(lists.withColumnRenamed("list", "own"), ["length", "own"]).withColumn("block", own_block)
     pairs = held.select("*", F.explode(upto("e")).alias("other"))
     among = pairs.select(
         "length", F.col("own").alias("list"), F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), F.lit(0).alias("kind"),
@@ -227,7 +235,7 @@ def dealt(codes: DataFrame) -> DataFrame:
     met = held.where("v > 0").select("*", F.explode(upto("v")).alias("other")).select(
         "length", F.col("own").alias("list"), F.col("block").alias("first"), F.col("other").alias("second"), F.lit(1).alias("kind"), F.lit(0).alias("side"), *_CARRIED, "codes", "error",
     )
-    guests = both.select("*", F.explode("visits").alias("list")).where("list <> own").join(lists, ["length", "list"])
+    guests = codes.select("*", each("visits")).join(lists, ["length", "list"])
     guests = guests.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("v")).cast("int")).select("*", F.explode(upto("e")).alias("other"))
     visitors = guests.select(
         "length", "list", F.col("other").alias("first"), F.col("block").alias("second"), F.lit(1).alias("kind"), F.lit(1).alias("side"), "cid", "copies", "own",
@@ -262,7 +270,7 @@ def compared(pieces: DataFrame, quantisers, number: type, least_cosine: float) -
         here, there = units(matrix(entries.column("vector"))), units(matrix(guests.column("vector")))
         ids, times = entries.column("cid").to_numpy(), entries.column("copies").to_numpy()
         guest_ids, guest_times, guest_own = (guests.column(c).to_numpy() for c in ("cid", "copies", "own"))
-        visits = np.array(entries.column("visits").to_pylist()) if kind else None
+        visits = [set(v) for v in entries.column("visits").to_pylist()] if kind else None
         links, guest_links = np.zeros(len(ids), np.int64), np.zeros(len(guest_ids), np.int64)
         stars = []
         for at in range(0, len(guest_ids), VISITORS_AT_ONCE):
@@ -275,9 +283,9 @@ def compared(pieces: DataFrame, quantisers, number: type, least_cosine: float) -
                 continue
             linked = passed[np.ix_(q, e)] & (there[some][q] @ here[e].T >= least_cosine)
             if kind:  # a pair that meets in both members' lists counts in the list with the smaller number
-                for x, own in enumerate(guest_own[some][q]):
-                    if own < of_list and linked[x].any():
-                        linked[x] &= ~(visits[e] == own).any(1)
+                for x in np.flatnonzero(linked.any(1) & (guest_own[some][q] < of_list)):
+                    own = int(guest_own[some][q][x])
+                    linked[x] &= ~np.fromiter((own in visits[y] for y in e), bool, len(e))
             links[e] += linked.T.astype(np.int64) @ guest_times[some][q]
             guest_links[some][q] += linked.astype(np.int64) @ times[e]
             if linked.any():

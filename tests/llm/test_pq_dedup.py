@@ -88,10 +88,10 @@ def test_hot_lists_in_blocks_give_the_same(spark, many, monkeypatch):
 def test_distances_bound_every_pair(many):
     u = pq_dedup.units(np.array([v for _, v in many[:1500]]))
     q = pq_dedup.Quantiser.fit(u[:1000], 1500, 0.9)
-    visits, codes, errors = q.encode(u)
-    assert len(q.coarse) > 20 and q.probes < len(q.coarse) / 2
+    own, visits, codes, errors = q.encode(u)
+    assert len(q.coarse) > 20 and sum(map(len, visits)) < len(u) * len(q.coarse) / 2
     for of_list in range(0, len(q.coarse), 9):
-        at = np.flatnonzero(visits[:, 0] == of_list)
+        at = np.flatnonzero(own == of_list)
         exact = np.sqrt(np.maximum(0, 2 - 2 * u[:200] @ u[at].T))
         assert (abs(q.distances(u[:200], codes[at], of_list) - exact) <= errors[at] + 1e-9).all()
 
