@@ -92,7 +92,7 @@ class Lake:
         if query:
             return self.spark.sql(query)
         df = self.spark.table(self.table(name))
-        return df.limit(limit) if limit else df
+        return df if limit is None else df.limit(limit)
 
     def columns(self, name: str) -> list[str]:
         return self.spark.table(self.table(name)).columns

@@ -117,25 +117,37 @@ def unite_pages(
     body: str = "body",
     max_pages: int | None = None,
     keys: Sequence[str] = PAGE_KEYS,
+    end_at: str = "empty number",
 ) -> DataFrame:
     """Records of the pages of every entity, from 1 to ``max_pages`` (all, if not given), up to its first
-    empty page. A page that landed twice counts once: the body that sorts first stands.
+    empty page.
+
+    A body that landed twice under its number counts once (with the further columns that sort first as JSON);
+    different bodies under one number all stand. A number is empty if all of its bodies are; with ``end_at="empty body"`` one
+    empty body among them is enough to end the entity there.
 
     The first empty page comes from an aggregate over entities, page numbers and sizes; a null entity is an
     entity like any other. Records are parsed only after the pages behind it are cut off, and an
     entity with very many pages is never gathered in one task.
     """
+    if end_at not in ("empty number", "empty body"):
+        raise ValueError(f"unknown end {end_at!r}")
     inside = F.col(page_no) >= 1
     if max_pages is not None:
         inside = inside & (F.col(page_no) <= max_pages)
     wanted = pages.where(inside)
     place = [*entity, page_no]
-    if [c for c in wanted.columns if c not in (*place, body)]:
-        once = wanted.dropDuplicates(place)
+    more = [c for c in wanted.columns if c not in (*place, body)]
+    if more:
+        further = F.struct(*map(_quoted, more))
+        once = wanted.groupBy(*place, body).agg(F.min_by(further, F.to_json(further)).alias("__more"))
+        once = once.select(*place, body, *[F.col("__more").getField(c).alias(c) for c in more]).select(*map(_quoted, wanted.columns))
     else:
-        once = wanted.groupBy(*place).agg(F.min(body).alias(body))
+        once = wanted.distinct()
     keyed = once.withColumn("__keys", F.when(~_is_list(F.col(body)), F.json_object_keys(body)))
     sizes = keyed.select(*place, _page_size(body, keys).alias("__size"))
+    if end_at == "empty number":
+        sizes = sizes.groupBy(*place).agg(F.max("__size").alias("__size"))
     ends = sizes.groupBy(*entity).agg(F.min(F.when(F.col("__size") == 0, F.col(page_no))).alias("__stop"))
     if entity:
         same = None
@@ -146,7 +158,7 @@ def unite_pages(
         limited = once.join(ends, same)
     else:
         limited = once.withColumn("__stop", ends.scalar())
-    kept = limited.where(F.col("__stop").isNull() | (F.col(page_no) < F.col("__stop"))).select(*once.columns)
+    kept = limited.where(F.col("__stop").isNull() | (F.col(page_no) < F.col("__stop"))).select(*map(_quoted, once.columns))
     return _one_row_each(with_page_records(kept, body, keys))
 
 

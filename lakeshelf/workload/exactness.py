@@ -67,17 +67,17 @@ def scan_parquet_folder(spark, sf_dir):
     return files.read_files(spark, where, "*.parquet", "parquet", recursive=True).select("o_orderkey", "o_totalprice", "order_year")
 
 
-@query("scan_json_document", "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation")
+@query("scan_json_document", "SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name FROM customer")
 def scan_json_document(spark, sf_dir):
-    """One JSON list per file, over several lines."""
+    """One JSON list per file, over several lines; at most 500 customers a file."""
     where = scratch_path(spark, "document")
-    rows = t.table(spark, sf_dir, "nation").select(F.to_json(F.struct("n_nationkey", "n_name")).alias("j"), "n_regionkey")
-    # a file for each region: as many rows as regions
-    lists = rows.groupBy("n_regionkey").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("j"), ",\n"), F.lit("\n]")).alias("value"))
-    lists.select("value", "n_regionkey").write.partitionBy("n_regionkey").text(where)
+    part = F.floor(F.col("c_custkey") / 500).alias("part")
+    rows = t.table(spark, sf_dir, "customer").select(F.to_json(F.struct("c_custkey", "c_name")).alias("j"), part)
+    lists = rows.groupBy("part").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("j"), ",\n"), F.lit("\n]")).alias("value"))
+    lists.select("value", "part").write.partitionBy("part").text(where)
     raw = files.read_files(
-        spark, where, "*.txt", "json", recursive=True, options=files.FileOptions(schema="n_nationkey string, n_name string"))
-    return raw.select(F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name")
+        spark, where, "*.txt", "json", recursive=True, options=files.FileOptions(schema="c_custkey string, c_name string"))
+    return raw.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name")
 
 
 @query("scan_dataset_file", "SELECT s_suppkey, s_name FROM supplier")
@@ -92,11 +92,14 @@ def scan_dataset_file(spark, sf_dir):
 # ---- landed responses -----------------------------------------------------
 
 
-def _event_pages(spark, sf_dir, entity, pages: int) -> DataFrame:
-    """Events as landed pages of JSON lists."""
+PAGE_RECORDS = 200
+
+
+def _event_pages(spark, sf_dir, entity) -> DataFrame:
+    """Events as landed pages of JSON lists, at most PAGE_RECORDS of an entity on each."""
     record = F.to_json(F.struct("event_id", "event_type"))
     rows = t.table(spark, sf_dir, "events").select(
-        entity.alias("entity"), (F.col("event_id") % pages + 1).cast("int").alias("page_no"), record.alias("j"))
+        entity.alias("entity"), F.floor(F.col("event_id") / PAGE_RECORDS + 1).cast("int").alias("page_no"), record.alias("j"))
     return rows.groupBy("entity", "page_no").agg(
         F.concat(F.lit('{"data":['), F.array_join(F.collect_list("j"), ","), F.lit("]}")).alias("body"))
 
@@ -109,20 +112,46 @@ def _event_records(df: DataFrame) -> DataFrame:
 
 @query("page_union_all_pages", "SELECT event_id, event_type FROM events")
 def page_union_all_pages(spark, sf_dir):
-    """Forty landed pages for each entity, some of them landed twice, and no limit."""
-    pages = _event_pages(spark, sf_dir, F.col("event_type"), 40)
+    """Any number of landed pages for each entity, some of them landed twice, and no limit."""
+    pages = _event_pages(spark, sf_dir, F.col("event_type"))
     twice = pages.unionByName(pages.where("page_no % 3 = 0"))
     return _event_records(payloads.unite_pages(twice, ["entity"]))
 
 
-@query("page_union_single_entity", "SELECT event_id, event_type FROM events WHERE event_id % 30 < 20")
+@query("page_union_single_entity", f"""
+SELECT event_id, event_type FROM events
+WHERE event_id // {PAGE_RECORDS} + 1 < (SELECT 2 * (max(event_id) // {PAGE_RECORDS} + 1) // 3 FROM events)""")
 def page_union_single_entity(spark, sf_dir):
-    """The entity is null, as for a source that has one only; the first empty page ends it."""
-    pages = _event_pages(spark, sf_dir, F.lit(None).cast("string"), 30)
-    emptied = pages.withColumn("body", F.when(F.col("page_no") == 21, '{"data": []}').otherwise(F.col("body")))
+    """The entity is null, as for a source that has one only; the page at two thirds is empty and ends it."""
+    pages = _event_pages(spark, sf_dir, F.lit(None).cast("string"))
+    ends = F.floor(2 * pages.agg(F.max("page_no")).scalar() / 3)
+    emptied = pages.withColumn("body", F.when(F.col("page_no") == ends, '{"data": []}').otherwise(F.col("body")))
     return _event_records(payloads.unite_pages(emptied, ["entity"]))
 
 
+@query("page_union_conflicting_pages", """
+WITH pages AS (
+    SELECT DISTINCT l_orderkey AS entity, l_linenumber AS page_no, l_partkey, CAST(l_quantity AS BIGINT) % 4 AS n FROM lineitem),
+stops AS (
+    SELECT entity, min(page_no) AS stop
+    FROM (SELECT entity, page_no FROM pages GROUP BY entity, page_no HAVING max(n) = 0) GROUP BY entity)
+SELECT entity, page_no, l_partkey * 10 + k AS record_id, 'first' AS run
+FROM pages LEFT JOIN stops USING (entity), (VALUES (1), (2), (3)) ks(k)
+WHERE k <= n AND (stop IS NULL OR page_no < stop)""")
+def page_union_conflicting_pages(spark, sf_dir):
+    """Different pages under one number all stand, the number ends its order only if all are empty; each landed
+    in two runs and counts once, with the run that sorts first."""
+    n = F.col("l_quantity").cast("bigint") % 4
+    numbers = F.when(n > 0, F.sequence(F.lit(1).cast("bigint"), n)).otherwise(F.array().cast("array<bigint>"))
+    data = F.transform(numbers, lambda k: F.struct((F.col("l_partkey") * 10 + k).alias("record_id")))
+    pages = t.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("entity"), F.col("l_linenumber").alias("page_no"),
+        F.to_json(F.struct(F.col("l_partkey").alias("part"), data.alias("data"))).alias("body"))
+    landed = pages.withColumn("run", F.explode(F.array(F.lit("second"), F.lit("first"))))
+    return payloads.unite_pages(landed, ["entity"]).select(
+        "entity", "page_no", F.get_json_object(payloads.RECORD, "$.record_id").cast("bigint").alias("record_id"), "run")
+
+
 @query("json_envelope_broken", """
 SELECT CASE WHEN c_custkey % 10 <> 0 THEN c_custkey END AS id,
        CASE WHEN c_custkey % 10 = 0 THEN '<html>' || c_name END AS broken FROM customer""")
@@ -280,15 +309,15 @@ def lake_stats(spark, sf_dir):
 
 
 @query("ingestion_audit_rows", """
-SELECT * FROM (VALUES ('regions', 'file', 'success', (SELECT count(*) FROM region), (SELECT count(*) FROM region)),
+SELECT * FROM (VALUES ('orders', 'file', 'success', (SELECT count(*) FROM orders), (SELECT count(*) FROM orders)),
        ('nowhere', 'file', 'failed', 0, 0)) AS v(source_id, source_type, status, rows_extracted, rows_written)""")
 def ingestion_audit_rows(spark, sf_dir):
     """A good and a failing source in one run: both are recorded, and the good one is loaded."""
-    landed = scratch_path(spark, "regions")
-    t.table(spark, sf_dir, "region").write.csv(landed, header=True)
+    landed = scratch_path(spark, "orders")
+    t.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus").write.csv(landed, header=True)
     specs = [
         _landed_spec(spark, name, "file", {"base_path": path, "pattern": "*.csv"}, {})
-        for name, path in (("regions", landed), ("nowhere", f"{landed}/none"))
+        for name, path in (("orders", landed), ("nowhere", f"{landed}/none"))
     ]
     stored = with_lake(spark, audit.INGESTION_AUDIT, lambda lake: Ingestor(lake, specs).run_all(parallel=2))
     return stored.select("source_id", "source_type", "status", "rows_extracted", "rows_written")

@@ -126,7 +126,8 @@ SELECT entity, page_no, l_partkey * 10 + k AS record_id
 FROM pages LEFT JOIN stops USING (entity), (VALUES (1), (2), (3)) ks(k)
 WHERE page_no <= 5 AND k <= n AND (stop IS NULL OR page_no < stop)""")
 def page_union_until_empty(spark, sf_dir):
-    """Order lines stand for pages: the line number is the page, the quantity its size."""
+    """Order lines stand for pages: the line number is the page, the quantity its size. Some numbers hold several
+    pages; one empty page among them ends the order."""
     n = F.col("l_quantity").cast("bigint") % 4
     numbers = F.when(n > 0, F.sequence(F.lit(1).cast("bigint"), n)).otherwise(F.array().cast("array<bigint>"))
     records = F.transform(numbers, lambda k: F.struct((F.col("l_partkey") * 10 + k).alias("record_id")))
@@ -134,7 +135,7 @@ def page_union_until_empty(spark, sf_dir):
         F.col("l_orderkey").alias("entity"), F.col("l_linenumber").alias("page_no"),
         F.to_json(F.struct(records.alias("data"))).alias("body"),
     )
-    united = payloads.unite_pages(pages, ["entity"], max_pages=5)
+    united = payloads.unite_pages(pages, ["entity"], max_pages=5, end_at="empty body")
     return united.select(
         "entity", "page_no", F.get_json_object(payloads.RECORD, "$.record_id").cast("bigint").alias("record_id")
     )
