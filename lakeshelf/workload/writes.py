@@ -20,7 +20,7 @@ from lakeshelf.session import scratch_path
 from lakeshelf.sources import files, messages
 from lakeshelf.sources.ingest import Ingestor
 from lakeshelf.sources.spec import SourceSpec
-from lakeshelf.streaming import bronze, windows
+from lakeshelf.streaming import bronze, topic_log, windows
 from lakeshelf.workload import checks, ingest, tables as t
 from lakeshelf.workload.registry import TWINS, query
 from lakeshelf.workload.sql import with_ctes
@@ -302,3 +302,34 @@ def stream_deduplicate(spark, sf_dir):
         F.explode(F.array(F.lit(1), F.lit(2))).alias("sent"))
     stream = _stream_of(events, "dedup-in")
     return t.as_ntz(_drained(windows.first_of_each_event(stream).drop("sent"), "dedup-out"))
+
+
+def _topic_messages(spark, sf_dir) -> DataFrame:
+    """The events as messages whose offsets run within each topic and partition."""
+    sent = ingest.envelopes(spark, sf_dir, F.to_json(F.struct("event_id", "event_type", "ts")))
+    return sent.withColumn("offset", F.floor(F.col("offset") / 12).cast("long"))  # 4 topics, 3 partitions
+
+
+@query("stream_topic_log", """
+SELECT 'topic_' || CAST(event_id % 4 AS VARCHAR) AS topic, CAST(event_id % 3 AS INTEGER) AS "partition", event_id // 12 AS "offset",
+       CAST(user_id AS VARCHAR) AS key, event_id, event_type, ts AS "timestamp",
+       CASE WHEN event_id % 3 = 2 OR event_id % 4 = 3 OR event_id // 12 > (SELECT max(event_id) // 24 FROM events) THEN 2 ELSE 1 END AS run
+FROM events""")
+def stream_topic_log(spark, sf_dir):
+    """Landed topic logs as a stream, in two runs of one checkpoint; a partition of every topic, and a topic, come
+    with the second. Each message is read once, by the run in which it was new."""
+    sent, log = _topic_messages(spark, sf_dir), scratch_path(spark, "topics")
+    out, checkpoint = scratch_path(spark, "topics-out"), scratch_path(spark, "topics-checkpoint")
+    half = F.col("offset") <= F.floor(sent.agg(F.max("offset")).scalar() / 2)
+    early = half & (F.col("partition") < 2) & (F.col("topic") != "topic_3")
+    read = None
+    for number, messages_ in enumerate((sent.where(early), sent.where(~early)), 1):
+        topic_log.land(messages_, log, segment_rows=2000)
+        stream = topic_log.stream_log(spark, log, rowsPerTask="1000").withColumn("run", F.lit(number))
+        running = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
+        running.awaitTermination()
+        read = spark.read.schema(stream.schema).parquet(out)
+    event = F.from_json(F.col("value").cast("string"), "event_id bigint, event_type string")
+    return t.as_ntz(read.select(
+        "topic", "partition", "offset", F.col("key").cast("string").alias("key"), event["event_id"].alias("event_id"),
+        event["event_type"].alias("event_type"), "timestamp", "run"))
