@@ -44,9 +44,10 @@ SAMPLE_ROWS, SAMPLE_VALUES = 16_384, 1 << 22
 SUBSPACES, CODES = 16, 256
 
 #: Lists: LISTS_SCALE x the root of the classes, at least SAMPLES_A_LIST sampled classes each.
-LISTS_SCALE, SAMPLES_A_LIST = 4, 8
+LISTS_SCALE, SAMPLES_A_LIST = 4, 32
 
-PROBE_SHARE, PROBE_TRIALS = 0.999, 2000
+#: One in HELD_OUT sampled classes is kept from the learning of the lists, for the trials of the margin.
+PROBE_SHARE, PROBE_TRIALS, HELD_OUT = 0.99, 8000, 8
 
 #: Entries or visitors of a list in one task.
 BLOCK_ROWS = 4096
@@ -109,16 +110,19 @@ class Quantiser:
         """From unit vectors; ``classes`` is how many there are in all."""
         rng, (rows, length) = np.random.default_rng(7), sample.shape
         lists = max(1, min(round(LISTS_SCALE * classes**0.5), rows // SAMPLES_A_LIST))
-        coarse = apart(centres(sample, lists, rng), (2 - 2 * least_cosine) ** 0.5 / 2)
+        held = np.arange(rows) % HELD_OUT == 0 if rows >= HELD_OUT else np.ones(rows, bool)
+        trials, sample = sample[held], sample[~held] if rows >= HELD_OUT else sample
+        rows = len(sample)
+        coarse = apart(centres(sample, min(lists, rows), rng), (2 - 2 * least_cosine) ** 0.5 / 2)
         parts = min(SUBSPACES, length)
         made = Quantiser(coarse, np.zeros((parts, 1, -(-length // parts))), 0.0)
         residuals = made.split(sample - coarse[closest(sample, coarse)])
         made.books = np.stack([centres(residuals[:, m], min(CODES, rows), rng) for m in range(parts)])
-        made.margin = made._margin(sample, least_cosine, rng)
+        made.margin = made._margin(trials, least_cosine, rng)
         return made
 
     def _margin(self, sample: np.ndarray, least_cosine: float, rng: np.random.Generator) -> float:
-        """Enough that vectors and partners at the least cosine meet in PROBE_SHARE of the trials."""
+        """Enough that vectors, which the lists weren't learned from, and partners at the least cosine meet in PROBE_SHARE of the trials."""
         if len(self.coarse) == 1 or sample.shape[1] == 1:
             return 0.0
         a = sample[rng.choice(len(sample), PROBE_TRIALS)]
