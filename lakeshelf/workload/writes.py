@@ -20,7 +20,7 @@ from lakeshelf.session import scratch_path
 from lakeshelf.sources import files, messages
 from lakeshelf.sources.ingest import Ingestor
 from lakeshelf.sources.spec import SourceSpec
-from lakeshelf.streaming import bronze, topic_log, windows
+from lakeshelf.streaming import bronze, flush, topic_log, windows
 from lakeshelf.workload import checks, ingest, tables as t
 from lakeshelf.workload.registry import TWINS, query
 from lakeshelf.workload.sql import with_ctes
@@ -333,3 +333,35 @@ def stream_topic_log(spark, sf_dir):
     return t.as_ntz(read.select(
         "topic", "partition", "offset", F.col("key").cast("string").alias("key"), event["event_id"].alias("event_id"),
         event["event_type"].alias("event_type"), "timestamp", "run"))
+
+
+@query("stream_flush_batches", """
+WITH sent AS (
+    SELECT 'topic_' || CAST(event_id % 4 AS VARCHAR) AS topic, CAST(event_id % 3 AS INTEGER) AS "partition", event_id // 12 AS "offset",
+           CASE WHEN event_id // 12 <= (SELECT max(event_id) // 24 FROM events) THEN 1 ELSE 2 END AS run
+    FROM events
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY topic, "partition", run ORDER BY "offset") - 1 AS place,
+           count(*) FILTER (WHERE run = 1) OVER (PARTITION BY topic, "partition") AS early FROM sent
+), numbered AS (
+    SELECT *, place // 100 + CASE WHEN run = 2 THEN (early + 99) // 100 ELSE 0 END AS batch_no FROM placed
+), sized AS (
+    SELECT *, count(*) OVER (PARTITION BY topic, "partition", batch_no) AS n FROM numbered
+)
+SELECT topic, "partition", "offset", CAST(batch_no AS BIGINT) AS batch_no, CAST(n AS INTEGER) AS batch_size,
+       CASE WHEN n = 100 THEN 'full' ELSE 'end' END AS reason
+FROM sized""")
+def stream_flush_batches(spark, sf_dir):
+    """Messages in batches of at most a hundred, in two scheduled runs of one checkpoint; none is held back
+    at the end of a run, and numbers go on in the second."""
+    sent, log = _topic_messages(spark, sf_dir), scratch_path(spark, "flush-topics")
+    out, checkpoint = scratch_path(spark, "flush-out"), scratch_path(spark, "flush-checkpoint")
+    half = F.floor(sent.agg(F.max("offset")).scalar() / 2)
+    read = None
+    for messages_ in (sent.where(F.col("offset") <= half), sent.where(F.col("offset") > half)):
+        topic_log.land(messages_, log)
+        stream = flush.flush_batches(topic_log.stream_log(spark, log), flush_seconds=0)
+        running = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
+        running.awaitTermination()
+        read = spark.read.schema(stream.schema).parquet(out)
+    return read.select("topic", "partition", "offset", "batch_no", "batch_size", "reason")
