@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,7 +21,7 @@ from lakeshelf.session import scratch_path
 from lakeshelf.sources import files, messages
 from lakeshelf.sources.ingest import Ingestor
 from lakeshelf.sources.spec import SourceSpec
-from lakeshelf.streaming import bronze, flush, topic_log, windows
+from lakeshelf.streaming import bronze, compaction, flush, topic_log, windows
 from lakeshelf.workload import checks, ingest, tables as t
 from lakeshelf.workload.registry import TWINS, query
 from lakeshelf.workload.sql import with_ctes
@@ -365,3 +366,36 @@ def stream_flush_batches(spark, sf_dir):
         running.awaitTermination()
         read = spark.read.schema(stream.schema).parquet(out)
     return read.select("topic", "partition", "offset", "batch_no", "batch_size", "reason")
+
+
+@query("stream_compacted_days", """
+WITH batches AS (SELECT *, event_id * 8 // ((SELECT max(event_id) FROM events) + 1) AS number FROM events)
+SELECT CAST(event_id AS VARCHAR) AS event_id, 'topic_' || CAST(event_id % 4 AS VARCHAR) AS kafka_topic, event_id AS kafka_offset,
+       'taken_' || CAST(number AS VARCHAR) AS "_batch_id", DATE '2024-03-01' + CAST(number // 2 AS INTEGER) AS "_ingestion_date",
+       number < 4 AS compacted
+FROM batches""")
+def stream_compacted_days(spark, sf_dir):
+    """Eight micro-batches over four days: the first two days are compacted in two runs, then two of their batches
+    are replayed, one with other rows. Read through the view."""
+    table, label = "bronze_taken", "taken"
+    sent = ingest.envelopes(spark, sf_dir, F.to_json(F.struct("event_id")))
+    number = F.floor(F.col("offset") * 8 / (sent.agg(F.max("offset")).scalar() + 1)).cast("int")
+    batches = sent.withColumn("number", number)
+
+    def write(lake: Lake, k: int, rows: DataFrame) -> None:
+        now = F.lit(f"2024-03-0{1 + k // 2} 12:00:00").cast("timestamp")
+        bronze.batch_writer(lake, table, label)(bronze.project(rows.drop("number"), now=now), k)
+
+    def work(lake: Lake) -> None:
+        for k in range(8):
+            write(lake, k, batches.where(F.col("number") == k))
+        compaction.compact(lake, table, date(2024, 3, 2))
+        compaction.compact(lake, table, date(2024, 3, 3))
+        write(lake, 0, batches.where("number = 0"))
+        write(lake, 3, batches.where("number = 3 AND offset % 2 = 0"))
+        seen = lake.read(compaction.view_name(table))
+        upto = compaction.boundary(lake, table)[label]
+        closed = F.regexp_extract("_batch_id", "[0-9]+$", 0).cast("int") <= upto
+        lake.overwrite(seen.select("event_id", "kafka_topic", "kafka_offset", "_batch_id", "_ingestion_date", closed.alias("compacted")), "silver_seen")
+
+    return with_lake(spark, "silver_seen", work)
