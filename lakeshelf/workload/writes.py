@@ -285,14 +285,13 @@ def stream_intake(spark, sf_dir):
 
 
 @query("stream_hourly_windows", with_ctes("""
-SELECT hour_key, event_category, kafka_topic, event_count, max_metric_value, min_metric_value
+SELECT * REPLACE (round(avg_metric_value, 8) AS avg_metric_value)
 FROM g_events WHERE hour_key + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""", "g_events"))
 def stream_hourly_windows(spark, sf_dir):
-    """Closed hours of an event stream; the last hours stay open behind the watermark."""
+    """Closed hours of an event stream with all measures; the last hours stay open behind the watermark."""
     stream = _stream_of(t.bronze_events(spark, sf_dir), "windows-in")
     counted = _drained(windows.hourly_events(stream), "windows-out")
-    return t.as_ntz(counted.select(
-        "hour_key", "event_category", "kafka_topic", "event_count", "max_metric_value", "min_metric_value"))
+    return t.as_ntz(counted.withColumn("avg_metric_value", F.round("avg_metric_value", 8)))
 
 
 @query("stream_deduplicate", "SELECT CAST(event_id AS VARCHAR) AS event_id, ts AS event_timestamp FROM events")

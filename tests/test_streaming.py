@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from lakeshelf.plans import gold, silver
 from lakeshelf.sources import messages
 from lakeshelf.streaming import bronze, windows
 
@@ -79,6 +80,22 @@ def test_only_closed_hours_are_emitted(spark, run_stream):
     assert batch.count() == 3
 
 
+def test_hours_are_exact_and_equal_the_batch_fact(spark, run_stream):
+    rows = [(i, i % 97, i % 170) for i in range(900)] + [(901, 1, 400), (902, 1, 700)]
+    df = events(spark, *rows).withColumns({
+        "sensor_id": F.when(F.col("kafka_offset") % 11 > 0, F.col("sensor_id")),
+        "location_id": F.concat(F.lit("l"), (F.col("kafka_offset") % 37).cast("string")),
+        "metric_value": F.when(F.col("kafka_offset") % 5 > 0, F.col("metric_value")),
+        "event_type": F.when(F.col("kafka_offset") % 2 > 0, "vehicle").otherwise("order"),
+        "kafka_topic": F.when(F.col("kafka_offset") % 3 > 0, F.lit("t")),
+    })
+    want = gold.fact_stream_events_hourly(silver.silver_stream_events(df)).where("hour_key < '2024-01-01 10:00:00'")
+    got = run_stream(df.repartition(3), windows.hourly_events)
+    for found in (got, windows.hourly_events(df).where("hour_key < '2024-01-01 10:00:00'")):
+        found = found.select(want.columns).withColumn("avg_metric_value", F.round("avg_metric_value", 9))
+        assert sorted(map(str, found.collect())) == sorted(map(str, want.withColumn("avg_metric_value", F.round("avg_metric_value", 9)).collect()))
+
+
 def test_repeats_are_dropped(spark, run_stream):
     df = events(spark, (1, 1, 5), (1, 1, 6), (2, 1, 7))
     assert sorted(r["event_id"] for r in run_stream(df, windows.first_of_each_event).collect()) == ["1", "2"]
