@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeshelf.operators.tables import Lake, _quoted
 from lakeshelf.session import staged
@@ -113,6 +113,121 @@ def load(
     return replace_days(lake, table, fresh, first_day, day, partition_by, partition_start)
 
 
+PROGRESS = "gold.refresh_progress"
+PROGRESS_COLUMNS = "target string, arrived_upto timestamp, groups bigint, recorded_at timestamp"
+
+#: So many partitions are named in the filter; beyond, they are joined (and pruned at run time).
+NAMED_PARTITIONS = 4000
+
+
+@dataclass(frozen=True)
+class Groups:
+    """How a source is cut into the groups that a target holds.
+
+    ``source``: column of the source that names a row's group, and ``target``: the target's column for it. ``partition_by``: the target's
+    partition column, with ``partition_of`` giving the partition of a group. ``source_partition`` (optional): the partition column of the source, with
+    ``source_partition_of`` giving where a group's rows lie; ``time_column`` (optional): a raw time that lies within a group named by
+    time, to skip files by its range.
+    """
+
+    source: str
+    target: str
+    partition_by: str
+    partition_of: Callable[[Column], Column]
+    source_partition: str | None = None
+    source_partition_of: Callable[[Column], Column] = F.to_date
+    time_column: str | None = None
+    group_span: timedelta = timedelta(hours=1)
+
+
+def arrived_upto(lake: Lake, table: str):
+    """The arrival time up to which rows are in the target, or None."""
+    if not lake.exists(PROGRESS):
+        return None
+    return lake.read(PROGRESS).where(F.col("target") == lake.table(table)).agg(F.max("arrived_upto")).first()[0]
+
+
+def refresh_groups(
+    lake: Lake,
+    table: str,
+    source: DataFrame,
+    build: Callable[[DataFrame], DataFrame],
+    groups: Groups,
+    arrival: str = "_ingestion_timestamp",
+) -> int:
+    """Recompute exactly the groups that rows arrived for since the last run; returns how many (all, on a first run: -1).
+
+    Late rows need no look-back to be chosen: what counts is when a row arrived (``arrival``), not the time it is about. The groups of
+    the newly arrived rows are found first, with a scan that arrival times let skip older files. Then only the partitions that hold
+    these groups are read, in the source and in the target, and the groups are built from all of their rows. Rows that arrived at
+    the very time of the last mark are taken again, so none is missed; a run that is repeated gives the same table. Rows without
+    an arrival time are seen by the first run only.
+    """
+    seen = arrived_upto(lake, table) if lake.exists(table) else None
+    newest_arrival = source.agg(F.max(arrival)).first()[0]  # before the build: what arrives meanwhile comes again next time
+    if seen is None:
+        lake.overwrite(build(source), table, [groups.partition_by])
+        _record_progress(lake, table, newest_arrival, -1)
+        return -1
+    new = source.where(F.col(arrival) >= F.lit(seen)).select(F.col(groups.source).alias("__group")).distinct()
+    touched, release = staged(new, "touched")
+    try:
+        count = touched.count()
+        if count:
+            fresh = build(_rows_of(source, touched, groups))
+            sync_columns(lake, table, fresh)
+            _replace_groups(lake, table, fresh, touched, groups)
+    finally:
+        release()
+    _record_progress(lake, table, newest_arrival, count)
+    return count
+
+
+def _record_progress(lake: Lake, table: str, upto, count: int) -> None:
+    row = lake.spark.createDataFrame([(lake.table(table), upto, count)], "target string, arrived_upto timestamp, groups bigint")
+    lake.append(row.withColumn("recorded_at", F.current_timestamp()), PROGRESS)
+
+
+def _in_partitions(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose partition is among the values of ``wanted`` (one column), nulls included."""
+    wanted = wanted.toDF("__part").distinct()
+    listed = [r[0] for r in wanted.limit(NAMED_PARTITIONS + 1).collect()]
+    if len(listed) > NAMED_PARTITIONS:
+        return rows.join(wanted, rows[column].eqNullSafe(wanted["__part"]), "left_semi")
+    inside = F.col(column).isin([v for v in listed if v is not None])
+    return rows.where(inside | F.col(column).isNull() if None in listed else inside)
+
+
+def _rows_of(source: DataFrame, touched: DataFrame, groups: Groups) -> DataFrame:
+    """All source rows of the touched groups, from their partitions and time range."""
+    if groups.source_partition:
+        places = touched.select(groups.source_partition_of(F.col("__group")))
+        source = _in_partitions(source, groups.source_partition, places)
+    if groups.time_column:
+        first, last, nulls = touched.agg(F.min("__group"), F.max("__group"), F.count_if(F.col("__group").isNull())).first()
+        if first is not None and not nulls:
+            source = source.where(
+                (F.col(groups.time_column) >= F.lit(first)) & (F.col(groups.time_column) < F.lit(last) + F.lit(groups.group_span)))
+    return source.join(touched, source[groups.source].eqNullSafe(touched["__group"]), "left_semi")
+
+
+def _replace_groups(lake: Lake, table: str, fresh: DataFrame, touched: DataFrame, groups: Groups) -> None:
+    """Delete the target rows of the touched groups, then add the fresh ones; untouched partitions are not read."""
+    columns = lake.columns(table)
+    places = touched.select(groups.partition_of(F.col("__group")))
+    old = _in_partitions(lake.read(table), groups.partition_by, places)
+    kept = old.join(touched, old[groups.target].eqNullSafe(touched["__group"]), "left_anti")
+    merged, release = staged(kept.select(*_quoted(columns)).unionByName(fresh.select(*_quoted(columns))), "groups")
+    try:
+        filled = {r[0] for r in merged.select(groups.partition_by).distinct().collect()}
+        emptied = {r[0] for r in places.toDF("p").distinct().collect()} - filled
+        lake.overwrite_partitions(merged, table, [groups.partition_by])
+        if emptied:
+            lake.drop_partitions(table, groups.partition_by, lambda value: value in emptied)
+    finally:
+        release()
+
+
 def replace_by_key(lake: Lake, table: str, delta: DataFrame, key: Sequence[str], partition_by: str) -> int:
     """Delete the target rows whose key occurs in ``delta``, then add ``delta``.
 
