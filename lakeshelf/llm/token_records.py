@@ -17,13 +17,16 @@ worker: the tokenizer drops white space and never joins across it, so the ids ar
 
 from __future__ import annotations
 
+import json
 import os
 import struct
+import unicodedata
 from collections.abc import Iterator
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zlib
 import zstandard
 from pyspark import TaskContext
@@ -36,6 +39,8 @@ from lakeshelf.llm.shared_files import created, opened, opened_at
 END_ID = 1
 #: Documents of a shard, about.
 SHARD_DOCS = 20_000
+#: Runs that are encoded in one text.
+JOINED_RUNS = 64
 MASK_ADD = 0xA282EAD8
 
 # ---------------------------------------------------------------- CRC-32C of many messages at once
@@ -142,6 +147,20 @@ def read_frames(stream, portion: int = 1 << 22) -> Iterator[list[bytes]]:
 #: A mark after letters or digits is a piece of its own for the tokenizer.
 _MARKS = frozenset(bytes([c]) for c in b".,!?;:|$%&#*")
 
+#: The character that a byte-level vocabulary has for each byte: itself where it is visible, else one from 256 on.
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = dict(zip([*_VISIBLE, *sorted(set(range(256)).difference(_VISIBLE))], [*_VISIBLE, *range(256, 512)]))
+
+
+def _plain_word(word: str) -> bool:
+    """Letters alone, which no normalizer changes."""
+    return word.isalpha() and (word.isascii() and word.islower() or word == word.lower() and unicodedata.is_normalized("NFC", word))
+
+
+def _byte_level(word: bytes) -> str:
+    return word.decode() if word.isascii() else word.decode("latin-1").translate(_BYTE_CHARS)
+
+
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -156,6 +175,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.between, self.one_piece = self._separator(), self._takes_words_whole()
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) < 1 << 16 else 4
         self._reset()
 
@@ -175,9 +195,23 @@ class Encoder:
         return text if b"<|" in text else text.lower()
 
     def _learn(self, runs: set[bytes]) -> None:
-        """Add runs; one that is letters and a last mark is put together from the two."""
-        marked = [r for r in runs if r[-1:] in _MARKS and r[:-1].isalnum()]
-        self._add([*runs.difference(marked), *({r[:-1] for r in marked}.union(_MARKS) - self.place.keys() - runs)])
+        """Add runs; one that is letters or digits and a last mark is put together from the two."""
+        marked, words, rest = [], [], []
+        for r in runs:
+            word = r.decode()
+            if r[-1:] in _MARKS and (word[:-1].isalpha() or r[:-1].isalnum()):
+                marked.append(r)
+            else:
+                (words if self.one_piece and _plain_word(word) else rest).append(r)
+        known = self.place.keys()
+        parts = ({r[:-1] for r in marked}.union(_MARKS) - known).difference(runs)
+        for r in parts:
+            (words if self.one_piece and _plain_word(r.decode()) else rest).append(r)
+        if words:
+            pieces = [[t.id for t in self.tokenizer.model.tokenize(_byte_level(r))] for r in words]
+            sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+            self._append(words, np.fromiter(chain.from_iterable(pieces), np.uint32, int(sizes.sum())), sizes)
+        self._add(rest)
         if marked:
             core = np.fromiter((self.place[r[:-1]] for r in marked), np.int64, len(marked))
             mark = np.fromiter((self.place[r[-1:]] for r in marked), np.int64, len(marked))
@@ -185,10 +219,45 @@ class Encoder:
             sizes = self.sizes[both]
             self._append(marked, self._gather(both), sizes.reshape(-1, 2).sum(axis=1))
 
+    def _takes_words_whole(self) -> bool:
+        """Whether the tokenizer gives a lower-case word to its model as one piece, byte for byte."""
+        made = json.loads(self.tokenizer.to_str())
+        steps = (made["pre_tokenizer"] or {}).get("pretokenizers", [])
+        pattern = steps[0].get("pattern", {}).get("Regex", "") if len(steps) == 2 else ""
+        letters = r"[\p{L}]+" in pattern.split("|") and steps[1]["type"] == "ByteLevel"
+        if not letters or steps[1]["add_prefix_space"] or steps[1]["use_regex"]:
+            return False
+        words = "the and a zugegeben été façade øre język слово λόγος שלום 日本語 xqzj".split()
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return ids == [[t.id for t in self.tokenizer.model.tokenize(_byte_level(w.encode()))] for w in words]
+
+    def _separator(self) -> tuple[int, str] | None:
+        """A special token that stands for one id wherever it is put, if the tokenizer has one."""
+        for number, token in sorted(self.tokenizer.get_added_tokens_decoder().items()):
+            alone = self.tokenizer.encode(f"a{token.content}a", add_special_tokens=False).ids
+            if token.special and "<|" in token.content and alone.count(number) == 1:
+                return number, token.content
+        return None
+
     def _add(self, runs: list[bytes]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch([r.decode() for r in runs], add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        self._append(runs, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes)
+        """Encode and remember runs. Some are put in one text with a special token between them, which no run can hold
+        (those with its opening are encoded one by one): an encoding costs more than a short run in it."""
+        odd = [r for r in runs if not self.between or b"<|" in r]
+        if odd:
+            plain = [e.ids for e in self.tokenizer.encode_batch_fast([r.decode() for r in odd], add_special_tokens=False)]
+            sizes = np.fromiter(map(len, plain), np.int64, len(plain))
+            self._append(odd, np.fromiter(chain.from_iterable(plain), np.uint32, int(sizes.sum())), sizes)
+            runs = [r for r in runs if self.between and b"<|" not in r]
+        if runs:
+            number, token = self.between
+            mark = token.encode()
+            texts = [mark.join(runs[k : k + JOINED_RUNS] + [b""]).decode() for k in range(0, len(runs), JOINED_RUNS)]
+            parts = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ids = np.concatenate(parts)
+            ends = np.flatnonzero(ids == number)
+            if len(ends) != len(runs):
+                raise ValueError("the tokenizer joins runs across its special token")
+            self._append(runs, ids[ids != number], np.diff(ends, prepend=-1) - 1)
 
     def _append(self, runs: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         self.place.update(zip(runs, range(len(self.place), len(self.place) + len(runs))))
@@ -203,18 +272,25 @@ class Encoder:
         return self.pool[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(at) else 0)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text, the end id last."""
+        """The ids of each text, the end id last. Each distinct run of a batch is looked up once."""
         if len(self.place) > self.LIMIT:
             self._reset()
-        split = [self._folded(t.encode()).split() for t in texts]
-        places = [np.fromiter(map(self.place.get, s, repeat(-1)), np.int64, len(s)) for s in split]
-        unknown = [np.flatnonzero(at < 0) for at in places]
-        new = {s[k] for s, some in zip(split, unknown) for k in some.tolist()}
+        split = pc.ascii_split_whitespace(pa.array([self._folded(t.encode()) for t in texts], pa.large_binary()).cast(pa.large_string()))
+        numbered = split.flatten().dictionary_encode()
+        runs = numbered.dictionary.cast(pa.large_binary()).to_pylist()
+        found = np.fromiter(map(self.place.get, runs, repeat(-1)), np.int64, len(runs))
+        unknown = np.flatnonzero(found < 0)
+        new = [runs[k] for k in unknown.tolist()]
         if new:
-            self._learn(new)
-        for s, at, some in zip(split, places, unknown):
-            at[some] = [self.place[s[k]] for k in some.tolist()]
-        return [np.append(self._gather(at), np.uint32(END_ID)) for at in places]
+            self._learn(set(new) - {b""})
+            found[unknown] = np.fromiter(map(self.place.get, new, repeat(-1)), np.int64, len(new))
+        at = found[numbered.indices.to_numpy()]
+        real = at >= 0  # white space at a text's ends leaves an empty run
+        ends = np.r_[0, np.cumsum(real)][split.offsets.to_numpy()]
+        at = at[real]
+        ids = self._gather(at)
+        ends = np.r_[0, np.cumsum(self.sizes[at])][ends].tolist()
+        return [np.append(ids[a:b], np.uint32(END_ID)) for a, b in zip(ends, ends[1:])]
 
 
 # ---------------------------------------------------------------- writing and reading

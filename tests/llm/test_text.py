@@ -1,4 +1,5 @@
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -170,6 +171,17 @@ def test_runs_encode_like_texts():
     assert [e[:-1].tolist() for e in encoder.encode(texts)] == want
 
 
+def test_random_strings_encode_like_texts():
+    rng, encoder = random.Random(8), token_records.Encoder(TOKENIZER)
+    assert encoder.one_piece and encoder.between
+    letters = "abczAÉÉéßŠšΣσςИйЖaͅ日本가각ªºǅⅷ①²0123 \t\n.,!?;:|$%&#*'<|>-_\u00a0\u2028\u0301\U0001f600"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(40))) for _ in range(4000)]
+    texts += ["word. wörd! 'tis it's l'eau <|endoftext|> x<|startoftext|>y A<|B", "<|endoftext|>", "a\x00b\x1fc \x85d", " ", ""]
+    want = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for at in range(0, len(texts), 97):
+        assert [e[:-1].tolist() for e in encoder.encode(texts[at : at + 97])] == want[at : at + 97]
+
+
 def test_records_of_nothing(spark, nothing):
     assert token_records.write_and_read(nothing, TOKENIZER).count() == 0
     df = spark.createDataFrame([(None, None), (None, "a"), (2, ""), (2, "")], "doc_id long, text string")
