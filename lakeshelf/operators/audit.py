@@ -28,6 +28,8 @@ QUALITY_COLUMNS = (
 TOPIC_PROGRESS = "bronze.topic_progress"
 PROGRESS_COLUMNS = "source_id string, topic string, partition int, next_offset bigint, recorded_at timestamp"
 
+FILE_LEDGER = "bronze.file_ledger"
+
 SUCCESS, FAILED, SKIPPED = "success", "failed", "skipped"
 
 
@@ -103,3 +105,17 @@ def ingestion_summary(runs: DataFrame) -> DataFrame:
         F.count_if(status == FAILED).alias("failed"),
         F.coalesce(F.sum("rows_written"), F.lit(0)).alias("total_rows"),
     )
+
+
+def record_files(lake: Lake, source_id: str, started: datetime, outcomes: Sequence[DataFrame]) -> None:
+    """Append what became of each file of a run: path, status, size, damaged_at, detail; a later outcome of a path stands."""
+    if not outcomes:
+        return
+    ranked = [df.withColumn("rank", F.lit(k)) for k, df in enumerate(outcomes)]
+    together = ranked[0]
+    for df in ranked[1:]:
+        together = together.unionByName(df)
+    columns = [c for c in outcomes[0].columns if c != "path"]
+    last = together.groupBy("path").agg(F.max_by(F.struct(*columns), "rank").alias("last")).select("path", "last.*")
+    stamped = last.select(F.lit(source_id).alias("source_id"), F.lit(started).cast("timestamp").alias("started_at"), "path", *columns)
+    lake.append(stamped, FILE_LEDGER)

@@ -24,6 +24,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakeshelf.operators.mapping import _quoted
+from lakeshelf.session import staged
+from lakeshelf.sources import ledger
 
 log = logging.getLogger(__name__)
 
@@ -38,6 +40,8 @@ SOURCE_FILE = "_source_file"
 CORRUPT = "_corrupt_record"
 
 _HEADER_CHUNK = 64 * 1024
+#: A header that is longer than this, because its line or its quote never ends, is none.
+_HEADER_MOST = 16 * 1024 * 1024
 _PROBE_THREADS = 32
 
 
@@ -60,8 +64,10 @@ class FileOptions:
     schema: str | None = None
     # Keep the text of broken CSV and JSON rows in ``_corrupt_record``.
     keep_corrupt: bool = True
-    # Skip files that cannot be read.
+    # Leave files out that cannot be read to their end, each as a whole; otherwise one of them fails the load.
     tolerate_bad_files: bool = True
+    # Look through compressed and Parquet files before they are read (see ``ledger``). Without it damage within a file fails the load.
+    verify_files: bool = True
     extra: dict[str, str] = field(default_factory=dict)
 
     @classmethod
@@ -156,9 +162,14 @@ def _head(spark: SparkSession, path: str, options: FileOptions) -> _Head | None:
                 raise UnreadableFile(path) from error
             data += more
             at_end = len(more) < size
-            found = _head_in(data, at_end, options)
+            try:
+                found = _head_in(data, at_end, options)
+            except csv.Error as error:
+                raise UnreadableFile(f"{path}: {error}") from error
             if found is not None or at_end:
                 return found
+            if len(data) > _HEADER_MOST:
+                raise UnreadableFile(f"{path} has no header within {len(data)} bytes")
             size = min(size * 4, 64 * 1024 * 1024)
     finally:
         stream.close()
@@ -220,8 +231,8 @@ class _Group:
     long_heads: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
 
-def _csv_groups(spark: SparkSession, paths: list[str], options: FileOptions) -> list[_Group]:
-    """Files by their columns. Reading files with other columns under one schema would
+def _csv_groups(spark: SparkSession, paths: list[str], options: FileOptions, bad: list[tuple[str, str]]) -> list[_Group]:
+    """Files by their columns; those without a readable header are added to ``bad``. Reading files with other columns under one schema would
     shift values into the wrong columns."""
 
     def probe(path: str) -> tuple[str, _Head | None]:
@@ -229,10 +240,11 @@ def _csv_groups(spark: SparkSession, paths: list[str], options: FileOptions) ->
             head = _head(spark, path, options)
             if head is None:
                 raise UnreadableFile(f"{path} holds no record")
-        except UnreadableFile:
+        except UnreadableFile as error:
             if not options.tolerate_bad_files:
                 raise
             log.exception("skipping unreadable file %s", path)
+            bad.append((path, str(error)))
             return path, None
         return path, head
 
@@ -317,10 +329,8 @@ def _read_csv_group(spark: SparkSession, group: _Group, options: FileOptions) ->
     columns, paths = group.columns, group.paths
     fields = [T.StructField(c, T.StringType()) for c in columns]
     schema = T.StructType(fields + ([T.StructField(CORRUPT, T.StringType())] if options.keep_corrupt else []))
-    # Under a promised header Spark compares every file with it; a mismatch must fail and
-    # not count as a bad file to skip. Otherwise the header was read before.
-    skip_bad = options.tolerate_bad_files and not options.same_header
-    reading = {"ignoreCorruptFiles": str(skip_bad).lower()}
+    # a reader that skips the rest of a bad file would load half of it
+    reading = {"ignoreCorruptFiles": "false"}
     if options.skip_rows:
         if options.multi_line:
             raise ValueError("skip_rows and multi_line cannot be used together")
@@ -373,7 +383,7 @@ def _read_json(spark: SparkSession, paths: list[str], options: FileOptions, line
         primitivesAsString="true",
         mode="PERMISSIVE",
         columnNameOfCorruptRecord=CORRUPT,
-        ignoreCorruptFiles=str(options.tolerate_bad_files).lower(),
+        ignoreCorruptFiles="false",
         encoding=options.encoding,
         **options.extra,
     )
@@ -388,7 +398,7 @@ def _read_json(spark: SparkSession, paths: list[str], options: FileOptions, line
 def _read_parquet(spark: SparkSession, paths: list[str], options: FileOptions) -> DataFrame:
     return (
         spark.read.options(
-            mergeSchema="true", ignoreCorruptFiles=str(options.tolerate_bad_files).lower(), **options.extra
+            mergeSchema="true", ignoreCorruptFiles="false", **options.extra
         )
         .parquet(*paths)
         .select("*", F.col("_metadata.file_name").alias(SOURCE_FILE))
@@ -403,23 +413,49 @@ def unite(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _whole_files(spark: SparkSession, paths: list[str], options: FileOptions, outcomes: list[DataFrame]) -> list[str]:
+    """The files that are whole (or can't be examined); the outcome of all is added to ``outcomes``."""
+    if not options.verify_files:
+        return paths
+    found, _ = staged(ledger.examine(spark, paths), "ledger")
+    outcomes.append(found)
+    bad = {r["path"]: r for r in found.where(~F.col("status").isin(ledger.WHOLE, ledger.UNEXAMINED)).collect()}
+    for path, row in bad.items():
+        if not options.tolerate_bad_files:
+            raise UnreadableFile(f"{path} is {row['status']}: {row['detail']}")
+        log.error("leaving out %s file %s: %s", row["status"], path, row["detail"])
+    return [p for p in paths if p not in bad]
+
+
 def read_paths(
-    spark: SparkSession, paths: list[str], configured_format: str, options: FileOptions | None = None
+    spark: SparkSession, paths: list[str], configured_format: str, options: FileOptions | None = None,
+    outcomes: list[DataFrame] | None = None,
 ) -> DataFrame:
-    """Read files of any mix of formats and columns into one frame with ``_source_file``."""
-    options = options or FileOptions()
+    """Read files of any mix of formats and columns into one frame with ``_source_file``.
+
+    Files that aren't whole are left out as a whole. ``outcomes`` is given frames of ``ledger.COLUMNS``: what became of each
+    file (where a path occurs twice, the later frame has found more).
+    """
+    options, outcomes = options or FileOptions(), [] if outcomes is None else outcomes
     by_format: dict[str, list[str]] = {}
+    bad: list[tuple[str, str]] = []
     for path in paths:
         try:
             by_format.setdefault(format_of(path, configured_format), []).append(path)
-        except ValueError:
+        except ValueError as error:
             if not options.tolerate_bad_files:
                 raise
             log.exception("skipping file %s", path)
+            bad.append((path, str(error)))
+    known = [p for members in by_format.values() for p in members]
+    whole = set(_whole_files(spark, known, options, outcomes)) if known else set()
     frames: list[DataFrame] = []
-    for fmt, members in sorted(by_format.items()):
+    for fmt, listed in sorted(by_format.items()):
+        members = [p for p in listed if p in whole]
+        if not members:
+            continue
         if fmt == "csv":
-            for group in _csv_groups(spark, members, options):
+            for group in _csv_groups(spark, members, options, bad):
                 frames.append(_read_csv_group(spark, group, options))
             continue
         try:
@@ -428,11 +464,15 @@ def read_paths(
             else:
                 lines = fmt in ("jsonl", "ndjson") or options.json_lines
                 frames.append(_read_json(spark, members, options, lines))
-        except AnalysisException:
+        except AnalysisException as error:
             # no file of the group gave a schema
             if not options.tolerate_bad_files:
                 raise
             log.exception("skipping %d unreadable %s files", len(members), fmt)
+            bad += [(p, str(error)[:500]) for p in members]
+    if bad:
+        rows = [(path, ledger.UNREADABLE, None, None, detail[:500]) for path, detail in bad]
+        outcomes.append(spark.createDataFrame(rows, ledger.COLUMNS))
     if not frames:
         raise RuntimeError(f"none of the {len(paths)} files could be read")
     return unite(frames)
@@ -445,9 +485,10 @@ def read_files(
     configured_format: str = "csv",
     recursive: bool = False,
     options: FileOptions | None = None,
+    outcomes: list[DataFrame] | None = None,
 ) -> DataFrame:
-    """Discover and read the matching files; no match is an error."""
+    """Discover and read the matching files (see ``read_paths``); no match is an error."""
     paths = discover(spark, base_path, pattern, recursive)
     if not paths:
         raise FileNotFoundError(f"no file matches {pattern} in {base_path}")
-    return read_paths(spark, paths, configured_format, options)
+    return read_paths(spark, paths, configured_format, options, outcomes)

@@ -31,7 +31,7 @@ RAW_JSON = "_raw_record"
 # ---- readers by source type ----------------------------------------------
 
 
-def read_file_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+def read_file_source(spark: SparkSession, spec: SourceSpec, outcomes: list[DataFrame] | None = None) -> DataFrame:
     s = spec.settings
     return files.read_files(
         spark,
@@ -40,16 +40,17 @@ def read_file_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
         spec.format,
         s.get("recursive", False),
         files.FileOptions.from_dict(s),
+        outcomes,
     )
 
 
-def read_dataset_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+def read_dataset_source(spark: SparkSession, spec: SourceSpec, outcomes: list[DataFrame] | None = None) -> DataFrame:
     """A dataset file that was downloaded before."""
     s = spec.settings
     path = files.dataset_file(spark, s["download_path"], s.get("filename", ""))
     kind = "parquet" if path.lower().endswith(".parquet") else "csv"
     return files.read_paths(
-        spark, [path], kind, files.FileOptions.from_dict(s)
+        spark, [path], kind, files.FileOptions.from_dict(s), outcomes
     ).drop(files.SOURCE_FILE)
 
 
@@ -243,6 +244,12 @@ class Ingestor:
                 )
             if reader is read_topic_source:
                 self._load_topics(spec, started, result)
+            elif reader in (read_file_source, read_dataset_source):
+                outcomes: list[DataFrame] = []
+                try:
+                    self._load(reader(self.lake.spark, spec, outcomes), spec, started, result)
+                finally:
+                    audit.record_files(self.lake, spec.source_id, started, outcomes)
             else:
                 self._load(reader(self.lake.spark, spec), spec, started, result)
             result.status = audit.SUCCESS

@@ -80,6 +80,42 @@ def scan_json_document(spark, sf_dir):
     return raw.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name")
 
 
+_ROWS_AND_FILES = """
+SELECT o_orderkey, CAST(o_orderkey % 8 AS INTEGER) AS part, CAST(o_totalprice AS DOUBLE) AS o_totalprice, CAST(NULL AS VARCHAR) AS status
+FROM orders WHERE o_orderkey % 8 NOT IN (2, 5, 7)
+UNION ALL
+SELECT NULL, CAST(part AS INTEGER), NULL, CASE WHEN part IN (2, 5) THEN 'damaged' WHEN part = 7 THEN 'unreadable' ELSE 'whole' END
+FROM range(8) t(part) WHERE part IN (SELECT o_orderkey % 8 FROM orders)"""
+
+
+@query("scan_csv_damaged_files", _ROWS_AND_FILES)
+def scan_csv_damaged_files(spark, sf_dir):
+    """Orders in compressed files, of which two end half way and one is broken from the start: the rows of whole files and
+    what became of each file."""
+    where, outcomes = scratch_path(spark, "damaged"), []
+    part = (F.col("o_orderkey") % 8).cast("int").alias("part")
+    orders = t.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", part)
+    orders.repartition("part").write.partitionBy("part").option("compression", "gzip").csv(where, header=True)
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    system = path_of(where).getFileSystem(spark._jsc.hadoopConfiguration())
+    for number in (2, 5, 7):
+        for status in system.listStatus(path_of(f"{where}/part={number}")):
+            source = system.open(status.getPath())
+            data = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(source))
+            source.close()
+            out = system.create(status.getPath(), True)
+            out.write(bytearray(data[: len(data) // 2] if number < 7 else b"no gzip" + data[:100]))
+            out.close()
+    raw = files.read_files(spark, where, "*.csv.gz", recursive=True, outcomes=outcomes)
+    rows = raw.select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_totalprice").cast("double").alias("o_totalprice"))
+    rows = rows.withColumn("part", (F.col("o_orderkey") % 8).cast("int")).withColumn("status", F.lit(None).cast("string"))
+    found = files.unite(outcomes).select(
+        F.lit(None).cast("bigint").alias("o_orderkey"), F.lit(None).cast("double").alias("o_totalprice"),
+        F.regexp_extract("path", "part=([0-9]+)", 1).cast("int").alias("part"), "status")
+    return rows.unionByName(found)
+
+
 @query("scan_dataset_file", "SELECT s_suppkey, s_name FROM supplier")
 def scan_dataset_file(spark, sf_dir):
     """The named file of a downloaded dataset, or the first CSV file of its folder."""
