@@ -70,6 +70,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def unused(name: str, taken: Iterable[str]) -> str:
+    """A column name that isn't among ``taken`` (which Spark compares without case)."""
+    taken = {c.lower() for c in taken}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

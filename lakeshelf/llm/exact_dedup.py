@@ -76,7 +76,7 @@ def decode_sorted(data: bytes) -> np.ndarray:
 _SENT = pa.schema([
     ("part", pa.int64()), ("doc_id", pa.int64()), ("text_sha256", pa.string()), ("print", pa.int64()),
 ])
-_LISTS = "part long, owner int, list binary"
+_LISTS = "part long, owner int, list binary, again binary"
 _REPLIES = pa.schema([("part", pa.int64()), ("owner", pa.int32()), ("bitmap", pa.binary())])
 #: A task's documents are sent in portions of this many, so that neither side holds more at once.
 PORTION = 65_536
@@ -105,34 +105,42 @@ def fingerprints(docs: DataFrame, bits: int) -> DataFrame:
 
 
 def suspects(prints: DataFrame, bits: int, owners: int) -> DataFrame:
-    """doc_id of the rows whose fingerprint some other row has too (and of few others)."""
+    """doc_id of the rows whose fingerprint some other row has too (and of few others).
+
+    A portion sends each of its fingerprints once, with a bit for those that it has several times, so a text in a third
+    of all rows is one entry for each portion.
+    """
     owners = 1 << (max(1, owners) - 1).bit_length()  # a power of two: an owner is the top bits
     shift = np.uint64(bits - owners.bit_length() + 1)
 
     def send(key, rows):
-        values = np.sort(rows["print"].to_numpy().astype(np.uint64))
+        values, times = np.unique(rows["print"].to_numpy().astype(np.uint64), return_counts=True)
         owner = (values >> shift).astype(np.int64)
         cuts = np.searchsorted(owner, np.arange(owners + 1))
         some = np.flatnonzero(np.diff(cuts))
         lists = [encode_sorted(values[cuts[o] : cuts[o + 1]] - (np.uint64(o) << shift), int(shift)) for o in some]
-        return pa.table({"part": pa.array([key[0].as_py()] * len(some), pa.int64()), "owner": pa.array(some, pa.int32()), "list": pa.array(lists, pa.binary())})
+        again = [np.packbits(times[cuts[o] : cuts[o + 1]] > 1).tobytes() for o in some]
+        return pa.table({
+            "part": pa.array([key[0].as_py()] * len(some), pa.int64()), "owner": pa.array(some, pa.int32()),
+            "list": pa.array(lists, pa.binary()), "again": pa.array(again, pa.binary()),
+        })
 
     def reply(key, lists):
         got = [decode_sorted(x.as_py()) for x in lists["list"]]
         values, counts = np.unique(np.concatenate(got), return_counts=True)
-        twice = values[counts > 1]
+        flags = [np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(g)).astype(bool) for x, g in zip(lists["again"], got)]
+        twice = np.union1d(values[counts > 1], np.concatenate([g[f] for g, f in zip(got, flags)]))
         bitmaps = [np.packbits(np.isin(g, twice, assume_unique=False)).tobytes() for g in got]
         return pa.table([lists["part"].combine_chunks(), lists["owner"].combine_chunks(), pa.array(bitmaps, pa.binary())], schema=_REPLIES)
 
     def mark(key, rows, replies):
-        values = rows["print"].to_numpy().astype(np.uint64)
-        order = np.argsort(values, kind="stable")
-        cuts = np.searchsorted((values[order] >> shift).astype(np.int64), np.arange(owners + 1))
+        values, which = np.unique(rows["print"].to_numpy().astype(np.uint64), return_inverse=True)
+        cuts = np.searchsorted((values >> shift).astype(np.int64), np.arange(owners + 1))
         hit = np.zeros(len(values), bool)
         for o, bitmap in zip(replies["owner"].to_pylist(), replies["bitmap"].to_pylist()):
-            own = order[cuts[o] : cuts[o + 1]]
-            hit[own] = np.unpackbits(np.frombuffer(bitmap, np.uint8), count=len(own)).astype(bool)
-        return rows.select(["doc_id", "print"]).filter(pa.array(hit))
+            own = slice(cuts[o], cuts[o + 1])
+            hit[own] = np.unpackbits(np.frombuffer(bitmap, np.uint8), count=cuts[o + 1] - cuts[o]).astype(bool)
+        return rows.select(["doc_id", "print"]).filter(pa.array(hit[which]))
 
     sent = prints.select("part", "print").groupBy("part").applyInArrow(send, _LISTS)
     replies = sent.groupBy("owner").applyInArrow(reply, "part long, owner int, bitmap binary")
@@ -176,31 +184,38 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     )
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """row (all columns, whatever their names), doc_id, digest."""
+    return docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.sha2(ascii_lower(F.col("text")), 256).alias("digest"))
+
+
+def _named_by(rows: DataFrame, named: DataFrame):
+    return rows["doc_id"].eqNullSafe(named["of_id"]) & (rows["digest"] == named["of_text"])
+
+
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with its columns."""
     gone = exact_groups(docs).where("NOT kept").select(
-        F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_text")
+        F.col("doc_id").alias("of_id"), F.col("text_sha256").alias("of_text")
     ).distinct()
-    same_text = F.sha2(ascii_lower(docs["text"]), 256) == F.col("_gone_text")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone_id")) & same_text, "left_anti")
+    rows = _packed(docs)
+    return rows.join(gone, _named_by(rows, gone), "left_anti").select("row.*")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """One row of each group of equal texts, with the columns of ``docs``: as ``drop_exact_copies``, and of rows that
     share the largest doc_id one, the one with the smallest hash of its columns."""
     changed = stored(
-        exact_groups(docs).where("group_size > 1").groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_text"))
-        .agg(F.first("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows")).where("NOT _kept OR _rows > 1"),
+        exact_groups(docs).where("group_size > 1").groupBy(F.col("doc_id").alias("of_id"), F.col("text_sha256").alias("of_text"))
+        .agg(F.first("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("NOT kept OR n > 1"),
         "dedup-changed",
     )
-    changed_row = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.sha2(ascii_lower(docs["text"]), 256) == F.col("_text"))
-    others = docs.join(changed.select("_id", "_text"), changed_row, "left_anti")
-    repeated = changed.where("_kept").select("_id", "_text")
+    rows = _packed(docs)
+    others = rows.join(changed, _named_by(rows, changed), "left_anti").select("row.*")
+    repeated = changed.where("kept").select("of_id", "of_text")
     if repeated.isEmpty():
         return others
-    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
-    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(*hashed).alias("h"), "doc_id", "text").join(
-        repeated, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.sha2(ascii_lower(F.col("text")), 256) == F.col("_text"))
-    )
+    hashed = [F.col("row").getField(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    met = rows.withColumn("h", F.xxhash64(*hashed)).join(repeated, _named_by(rows, repeated))
     # each task keeps one row of a group before the shuffle
-    return others.unionByName(rows.groupBy("_id", "_text").agg(F.min_by("row", "h").alias("row")).select("row.*"))
+    return others.unionByName(met.groupBy("of_id", "of_text").agg(F.min_by("row", "h").alias("row")).select("row.*"))

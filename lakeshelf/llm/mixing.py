@@ -145,11 +145,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs=MAX_EPOCHS, seed=SEED) -> D
     """The mixed rows, with the columns of ``docs``; a row that is taken twice is there twice."""
     sizes = sized(docs, seed)
     chosen = stored(decisions(sizes, source_targets(sizes, weights, max_epochs)), "mix-plan")
-    plan = chosen.select(F.struct(F.col("source").alias("of"), "whole", "cut").alias("_mix"))
-    again = F.when(seeded(docs["doc_id"], seed) <= F.col("_mix.cut"), 1).otherwise(0)
-    copies = F.array_repeat(F.lit(1), (F.col("_mix.whole") + again).cast("int"))
-    return (
-        docs.join(plan, docs["source"].eqNullSafe(F.col("_mix.of")))
-        .withColumn("_mix_copy", F.explode(copies))
-        .select(*[docs[c] for c in docs.columns])
-    )
+    plan = chosen.select(F.col("source").alias("of"), "whole", "cut")
+    rows = docs.select(F.struct("*").alias("row"), "source", seeded(F.col("doc_id"), seed).alias("h"))  # whatever its columns are called
+    copies = F.array_repeat(F.lit(1), (F.col("whole") + F.when(F.col("h") <= F.col("cut"), 1).otherwise(0)).cast("int"))
+    return rows.join(plan, F.col("source").eqNullSafe(F.col("of"))).select("row", F.explode(copies).alias("copy")).select("row.*")

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+import pytest
 import re
 from collections import Counter
 
@@ -56,3 +58,17 @@ def test_run_of_nothing(spark, nothing, tmp_path):
     nothing.write.parquet(str(tmp_path / "documents.parquet"))
     assert spark.read.parquet(str(tmp_path / "documents.parquet")).schema == spark.createDataFrame([], SCHEMA).schema
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_stages_take_any_column_names(spark, docs, number):
+    """Columns with the names that the stages use themselves, in any case, and names with dots and quotes."""
+    names = "_id _text _gone_id _gone_text _mix _mix_copy _of row h of whole cut copy digest of_id kept n gone_id GONE_ID_ cid a.b x`y score lang_pred".split()
+    wide = docs.select("*", *[F.lit(f"{k}").alias(name) for k, name in enumerate(names)])
+    stage = corpus_pipeline.STAGES[number][1]
+    plain = Counter((r["doc_id"], r["text"]) for r in stage(spark, docs, "").collect())
+    found = stage(spark, wide, "")
+    assert found.columns == wide.columns
+    rows = found.collect()
+    assert Counter((r["doc_id"], r["text"]) for r in rows) == plain
+    assert all(tuple(r)[5:] == tuple(map(str, range(len(names)))) for r in rows)
