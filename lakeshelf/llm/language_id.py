@@ -196,21 +196,26 @@ class Classifier:
 
 
 def fit(docs: DataFrame, learn: Column | None = None, sample: int = SAMPLE) -> Classifier:
-    """Fit on labelled rows of ``docs`` (doc_id, text, lang) for which ``learn`` holds."""
+    """Fit on labelled rows of ``docs`` (doc_id, text, lang) for which ``learn`` holds.
+
+    Rows that repeat a doc_id are learned from once for each language, by the text that sorts first, so the sample is bounded whatever repeats;
+    rows without a doc_id count by their text.
+    """
     labelled = docs.where("lang IS NOT NULL")
     if learn is not None:
         labelled = labelled.where(learn)
-    order = F.xxhash64(F.lit("language"), F.col("doc_id"))
-    ids = labelled.select("lang", "doc_id", order.alias("h"))
-    counts = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per language
+    order = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit("language"), F.col("text"))).otherwise(F.xxhash64(F.lit("language"), F.col("doc_id")))
+    # a row per language; different documents, to two hundredths
+    counts = labelled.groupBy("lang").agg(F.approx_count_distinct(order, 0.02).alias("n")).collect()
     rows_of = {r["lang"]: r["n"] for r in counts}
     # the smallest hashes of each language: a cut that keeps about SAMPLE rows, then exactly those
     span = 1 << 64
-    cut = {k: -(1 << 63) + min(span - 1, int(span * min(1.0, (sample + 6 * sample**0.5 + 20) / n))) for k, n in rows_of.items()}
+    cut = {k: -(1 << 63) + min(span - 1, int(span * min(1.0, 1.1 * (sample + 6 * sample**0.5 + 20) / n))) for k, n in rows_of.items()}
     if not cut:
         return Classifier([])
     edges = docs.sparkSession.createDataFrame(sorted(cut.items()), "lang string, edge long")
-    rows = labelled.select("lang", "text", order.alias("h")).join(F.broadcast(edges), "lang").where("h <= edge").select("lang", "text", "h")
+    rows = labelled.select("lang", "text", order.alias("h")).join(F.broadcast(edges), "lang").where("h <= edge")
+    rows = rows.groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text", "h")
     small_batches(docs.sparkSession)
     schema = pa.schema([("lang", pa.string()), ("h", pa.int64()), ("n", pa.int64()), ("x", pa.binary())])
 
@@ -317,4 +322,5 @@ def keep_known(docs: DataFrame, model: Classifier, least_score: float = LEAST_SC
             found = [predict(t) for t in texts_of(b.column(at))]
             yield b.filter(pa.array([k != UNKNOWN and s >= least_score for k, s in found], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])  # mapInArrow resolves columns by name
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

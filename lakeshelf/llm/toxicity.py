@@ -205,7 +205,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, toxic:
     order = F.xxhash64(F.lit("toxicity"), F.col("doc_id"))
     chosen = known.where("toxic = 1").orderBy(order).limit(toxic).unionByName(known.where("toxic = 0").orderBy(order).limit(ordinary))
     # the sample has a fixed bound, and so may be broadcast and brought to the driver
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # of rows that repeat a doc_id, the text that sorts first
     got = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["text"] or ""))
     return Scorer([r["text"] or "" for r in got], [r["toxic"] for r in got])
 

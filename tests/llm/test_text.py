@@ -284,3 +284,18 @@ def test_no_labels(spark, nothing):
     labels = spark.createDataFrame([(1, None), (None, 1), (7, 1)], "doc_id long, toxic int")
     scorer = toxicity.fit(nothing, labels)
     assert scorer.score("anything") == 0.0 and toxicity.score(nothing, scorer, "doc_id").count() == 0
+
+
+def test_repeated_ids_do_not_grow_what_is_learned_from(spark, monkeypatch):
+    """One id in 20,000 rows, and rows without an id: the driver gets each id's text once."""
+    rows = [(1, f"the words of an ordinary text {k}", "en") for k in range(20_000)]
+    rows += [(i, f"les mots du texte {i}", "fr") for i in range(2, 40)] + [(None, f"a text without an id {k % 5}", "en") for k in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    taken = []
+    monkeypatch.setattr(language_id.Classifier, "learn", lambda self, x, langs, sizes: taken.append(langs) or self)
+    language_id.fit(docs)
+    assert len(taken[0]) == taken[0].count("en") + 38 and taken[0].count("en") == 6
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "Scorer", lambda texts, marks: taken.append((texts, marks)))
+    toxicity.fit(docs.drop("lang"), labels)
+    assert taken[1] == (["the words of an ordinary text 0", "les mots du texte 2", "les mots du texte 3"], [1, 0, 0])
