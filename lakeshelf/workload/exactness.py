@@ -5,7 +5,10 @@ Like ``writes``: whatever is stored goes below the shared scratch folder, in a n
 
 from __future__ import annotations
 
+import json
+import tempfile
 from datetime import date
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
@@ -16,8 +19,8 @@ from lakeshelf.operators.tables import Lake
 from lakeshelf.plans import dims, gold, medallion, staging
 from lakeshelf.session import scratch_path
 from lakeshelf.sources import files, payloads
-from lakeshelf.sources.ingest import Ingestor
-from lakeshelf.sources.spec import SourceSpec
+from lakeshelf.sources.ingest import Ingestor, check_sources
+from lakeshelf.sources.spec import SourceSpec, SpecFolder
 from lakeshelf.workload import checks, ingest, tables as t
 from lakeshelf.workload.checks import check_sql, nulls, off, unions
 from lakeshelf.workload.registry import query
@@ -240,6 +243,69 @@ def ingest_api_source(spark, sf_dir):
     return stored.select("id", "name", "_source_id", "_source_type", (stamped & F.col("_batch_id").startswith("suppliers_")).alias("stamped"))
 
 
+@query("ingest_unpaged_entities", """
+SELECT c_custkey AS id, c_name AS name, 'responses' AS source FROM customer
+UNION ALL SELECT o_orderkey, o_orderstatus, 'listing' FROM orders""")
+def ingest_unpaged_entities(spark, sf_dir):
+    """A folder of specs (one broken, one switched off): an API source with one landed response for each entity, in three
+    shapes of envelope, and a source type of the user's own."""
+    landed, folder = scratch_path(spark, "responses"), Path(tempfile.mkdtemp(prefix="specs-"))
+    part = F.floor(F.col("c_custkey") / PAGE_RECORDS).alias("entity")
+    rows = t.table(spark, sf_dir, "customer").select(part, F.to_json(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))).alias("j"))
+    records = F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]"))
+    around = F.when(F.col("entity") % 3 == 0, F.concat(F.lit('{"results":'), "body", F.lit("}"))).when(
+        F.col("entity") % 3 == 1, F.concat(F.lit('{"meta":{"n":1},"features":'), "body", F.lit("}"))).otherwise(F.col("body"))
+    bodies = rows.groupBy("entity").agg(records.alias("body")).select("entity", around.alias("value"))
+    bodies.write.partitionBy("entity").text(landed)
+    given = [("responses", "api", {"landing_path": f"{landed}/*/*"}, True), ("listing", "own", {}, True), ("off", "own", {}, False)]
+    for name, kind, settings, on in given:
+        mapping = _ID_NAME if kind == "api" else {}
+        (folder / f"{name}.json").write_text(json.dumps({
+            "source_id": name, "source_type": kind, kind: settings, "enabled": on, "target": {"table": f"bronze_{name}"}, "schema_mapping": mapping}))
+    (folder / "broken.json").write_text("{no spec")
+
+    def work(lake: Lake) -> None:
+        ingestor = Ingestor(lake, SpecFolder(folder))
+        ingestor.register("own", lambda spark, spec: t.table(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("name")))
+        ingestor.run_all(parallel=2)
+        parts = [lake.read(f"bronze_{n}").select("id", "name", F.lit(n).alias("source")) for n in ("responses", "listing")]
+        lake.overwrite(files.unite(parts), "silver_loaded")
+
+    return with_lake(spark, "silver_loaded", work)
+
+
+@query("ingest_spec_checks", """
+WITH n AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_totalprice > 100000) AS dear FROM orders)
+SELECT 'orders' AS source_id, 'not_null' AS check_type, 'o_orderkey' AS check_column, true AS passed, 0 AS failed_rows, n AS total_rows FROM n
+UNION ALL SELECT 'orders', 'value_range', 'o_totalprice', dear = 0, dear, n FROM n
+UNION ALL SELECT 'orders', 'row_count', '', true, 0, n FROM n
+UNION ALL SELECT 'nothing', 'row_count', '', false, NULL, 0""")
+def ingest_spec_checks(spark, sf_dir):
+    """The checks that specs declare over what they loaded: an unknown one is left out, and a source that loads no row has a
+    table without rows."""
+    landed = scratch_path(spark, "checked")
+    orders = t.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    orders.write.parquet(f"{landed}/some")
+    orders.where("false").write.parquet(f"{landed}/none")
+    checks = [
+        {"check_type": "not_null", "column": "o_orderkey"}, {"check_type": "value_range", "column": "o_totalprice", "max": 100000},
+        {"check_type": "no such check", "column": "o_orderkey"}]
+    specs = [
+        _landed_spec(spark, name, "file", {"base_path": f"{landed}/{where}", "pattern": "*.parquet"}, {},
+                     format="parquet", quality_checks=given, metadata={"expected_row_count_min": 1})
+        for name, where, given in (("orders", "some", checks), ("nothing", "none", []))]
+
+    def work(lake: Lake) -> None:
+        Ingestor(lake, specs).run_all()
+        audit.create_audit_tables(lake)
+        check_sources(lake, specs)
+
+    stored = with_lake(spark, audit.QUALITY_AUDIT, work)
+    failed = F.when(F.col("source_id") == "nothing", F.lit(None)).otherwise(F.col("failed_rows")).alias("failed_rows")
+    return stored.select("source_id", "check_type", "check_column", "passed", failed, "total_rows")
+
+
 @query("topic_source_twice", "SELECT event_id FROM events")
 def topic_source_twice(spark, sf_dir):
     """A topic source in three runs, the second without news: every message is loaded once."""
