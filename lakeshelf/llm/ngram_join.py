@@ -19,8 +19,8 @@ A document is the set of its distinct shingles (64-bit hashes). Two link when
    is lost: pairs left out are those already in one component.
 
 Defined results: null and empty texts and texts without words have no shingles, are linked with nothing
-and are their own component. A row with a null doc_id is never the name of a component; it is linked like others
-where another document has an equal set, else its component is null if it has no doc_id to show. Rows
+and are their own component. A row with a null doc_id is linked like others, but never names a component: one that has no
+doc_id at all is called null. Rows
 that repeat a doc_id are each compared with their own text. Further columns are ignored. An empty table gives an empty result.
 
 Memory: an owner of a range of shingles holds about OWNER_ROWS entries, and a tree holds the distinct classes of one
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeshelf.llm.common import (
-    batch, mixed, rows_with_ids, shingle_hashes, shuffle_partitions, small_batches, stored, texts_of,
+    batch, mixed, rows_with_ids, shingle_hashes, shuffle_partitions, small_batches, stored, texts_of, unused,
 )
 from lakeshelf.llm.components import components
 
@@ -119,21 +119,21 @@ def _signed(docs: DataFrame, frequent: np.ndarray, owners: int) -> DataFrame:
         ("owner", pa.int32()), ("block", pa.binary()),
     ])
 
-    def blocks(tokens: list, cids: list) -> pa.RecordBatch:
-        t = np.concatenate(tokens)
-        c = np.repeat(np.array(cids, np.int64), [len(x) for x in tokens])
+    def blocks(tokens: list, cids: list, sizes: list) -> pa.RecordBatch:
+        t, lengths = np.concatenate(tokens), [len(x) for x in tokens]
+        c, n = np.repeat(np.array(cids, np.int64), lengths), np.repeat(np.array(sizes, np.int32), lengths)
         at = (t >> down).astype(np.int64) if owners > 1 else np.zeros(len(t), np.int64)
         order = np.argsort(at, kind="stable")  # a class's shingles stay together: its name then takes little room
-        t, c, at = t[order], c[order], at[order]
+        t, c, n, at = t[order], c[order], n[order], at[order]
         cuts = np.searchsorted(at, np.arange(owners + 1))
         some = np.flatnonzero(np.diff(cuts))
-        data = [t[cuts[o] : cuts[o + 1]].tobytes() + c[cuts[o] : cuts[o + 1]].tobytes() for o in some]
+        data = [b"".join(x[cuts[o] : cuts[o + 1]].tobytes() for x in (t, c, n)) for o in some]
         nothing = [pa.nulls(len(some), f.type) for f in schema][:5]
         return pa.RecordBatch.from_arrays([*nothing, pa.array(some, pa.int32()), pa.array(data, pa.binary())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = shared.value
-        tokens, cids, seen, size = [], [], set(), 0
+        tokens, cids, sizes, seen, size = [], [], [], set(), 0
         for b in batches:
             rows = []
             for doc_id, text in zip(b.column(0).to_pylist(), texts_of(b.column(1))):
@@ -155,43 +155,53 @@ def _signed(docs: DataFrame, frequent: np.ndarray, owners: int) -> DataFrame:
                 first = v[: len(v) - _needed(len(v)) + 1]
                 tokens.append(first)
                 cids.append(cid)
+                sizes.append(len(v))
                 size += len(first)
             if rows:
                 n = len(rows)
                 yield batch(schema, *zip(*rows), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()))
             if size > _WINDOW // 2:
-                yield blocks(tokens, cids)
-                tokens, cids, seen, size = [], [], set(), 0
+                yield blocks(tokens, cids, sizes)
+                tokens, cids, sizes, seen, size = [], [], [], set(), 0
         if tokens:
-            yield blocks(tokens, cids)
+            yield blocks(tokens, cids, sizes)
 
     return stored(docs.select("doc_id", "text").mapInArrow(run, _SETS), "ngram-sets")
 
 
+_BUCKETS = "bucket long, cid long, n int, members int, shared long"
+
+
 def _buckets(signed: DataFrame) -> DataFrame:
-    """bucket, cid, shared: the classes that share a first shingle; buckets with the same members are one.
+    """bucket, cid, n, members, shared: the classes that share a first shingle; buckets with the same members are one.
 
-    A bucket is named by a hash of its members; ``shared`` counts the shingles behind it.
+    A bucket is named by a hash of its members; ``shared`` counts the shingles behind it. Sizes of classes and buckets go along, so
+    nothing is joined to find them.
     """
-    schema = pa.schema([("bucket", pa.int64()), ("cid", pa.int64()), ("shared", pa.int64())])
+    schema = pa.schema([
+        ("bucket", pa.int64()), ("cid", pa.int64()), ("n", pa.int32()), ("members", pa.int32()), ("shared", pa.int64()),
+    ])
 
     def meet(key, blocks):
-        parts = [np.frombuffer(x.as_py(), np.uint64) for x in blocks["block"]]
-        tokens = np.concatenate([p[: len(p) // 2] for p in parts])
-        cids = np.concatenate([p[len(p) // 2 :] for p in parts])
+        parts = []
+        for x in blocks["block"]:
+            data = x.as_py()
+            k = len(data) // 20
+            parts.append((np.frombuffer(data, np.uint64, k), np.frombuffer(data, np.uint64, k, 8 * k), np.frombuffer(data, np.int32, k, 16 * k)))
+        tokens, cids, n = (np.concatenate([p[i] for p in parts]) for i in range(3))
         del parts
         order = np.argsort(tokens, kind="stable")
-        tokens, cids = tokens[order], cids[order]
+        tokens, cids, n = tokens[order], cids[order], n[order]
         starts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
         lengths = np.diff(np.r_[starts, len(tokens)])
         many = np.repeat(lengths > 1, lengths)
-        tokens, cids = tokens[many], cids[many]
+        tokens, cids, n = tokens[many], cids[many], n[many]
         if not len(tokens):
-            return pa.table([pa.array([], f.type) for f in schema], schema=schema)
+            return schema.empty_table()
         order = np.lexsort((cids, tokens))
-        tokens, cids = tokens[order], cids[order]
+        tokens, cids, n = tokens[order], cids[order], n[order]
         new = np.r_[True, (tokens[1:] != tokens[:-1]) | (cids[1:] != cids[:-1])]  # classes met in several windows
-        tokens, cids = tokens[new], cids[new]
+        tokens, cids, n = tokens[new], cids[new], n[new]
         starts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
         lengths = np.diff(np.r_[starts, len(tokens)])
         names = mixed(np.add.reduceat(mixed(cids), starts) + lengths.astype(np.uint64))
@@ -200,12 +210,27 @@ def _buckets(signed: DataFrame) -> DataFrame:
         shared[first] = times
         shared[lengths < 2] = 0
         rows = np.repeat(shared > 0, lengths)
-        columns = (np.repeat(names, lengths).view(np.int64), cids.view(np.int64), np.repeat(shared, lengths))
-        return pa.table([c[rows] for c in columns], schema=schema)
+        names, members, shared = (np.repeat(x, lengths)[rows] for x in (names, lengths, shared))
+        return pa.table([names.view(np.int64), cids[rows].view(np.int64), n[rows], members.astype(np.int32), shared], schema=schema)
 
     blocks = signed.where("owner IS NOT NULL").select("owner", "block")
-    met = blocks.groupBy("owner").applyInArrow(meet, "bucket long, cid long, shared long")
-    return stored(met.groupBy("bucket", "cid").agg(F.sum("shared").alias("shared")), "ngram-buckets")
+    met = blocks.groupBy("owner").applyInArrow(meet, _BUCKETS)
+    return stored(met.groupBy("bucket", "cid", "n", "members").agg(F.sum("shared").alias("shared")), "ngram-buckets")
+
+
+def _stars(buckets: DataFrame) -> DataFrame:
+    """bucket, cid, n, members, pivot, pivot_n: every member of a bucket with the one to compare it with first.
+
+    That is the member of which the largest part is shared with most others: in a group of edited copies, the text that they
+    were made from, which is more like each of them than they are like each other. It is weighed over all buckets, so
+    that those of one group agree on it.
+    """
+    weight = buckets.groupBy("cid", "n").agg(F.sum(F.col("shared") * F.col("members")).alias("met"))
+    weight = weight.select(F.col("cid").alias("pivot"), F.col("n").alias("pivot_n"), (F.col("met") / F.col("n")).alias("weight"))
+    weighed = buckets.select("bucket", F.col("cid").alias("pivot")).join(weight, "pivot")
+    pivots = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "pivot", "pivot_n")).alias("best"))
+    stars = buckets.join(pivots, "bucket").select("bucket", "cid", "n", "members", "best.pivot", "best.pivot_n")
+    return stored(stars.where("cid <> pivot"), "ngram-stars")
 
 
 # ---------------------------------------------------------------- verification
@@ -251,14 +276,9 @@ def _sizes_fit(n_a="n_a", n_b="n_b"):
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that link."""
-    size = classes.select("cid", "n", "bits")
-    near = (
-        pairs.join(classes.select(F.col("cid").alias("a"), F.col("n").alias("n_a")), "a")
-        .join(classes.select(F.col("cid").alias("b"), F.col("n").alias("n_b")), "b").where(_sizes_fit())
-        .join(size.select(F.col("cid").alias("a"), F.col("bits").alias("bits_a")), "a")
-        .join(size.select(F.col("cid").alias("b"), F.col("bits").alias("bits_b")), "b")
-    )
+    """The pairs (a, b) of classes that link; with them come their sizes n_a and n_b."""
+    bits = {k: classes.select(F.col("cid").alias(k), F.col("bits").alias(f"bits_{k}")) for k in "ab"}
+    near = pairs.where(_sizes_fit()).join(bits["a"], "a").join(bits["b"], "b")
 
     def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -269,7 +289,8 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFram
         near.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(screen, "a long, b long"), "ngram-candidates"
     )
     wanted = likely.select(F.col("a").alias("cid")).union(likely.select("b")).distinct()
-    reps = classes.join(wanted, "cid").select(F.col("rep").alias("doc_id"))
+    chosen = classes.join(wanted, "cid").select("cid", F.col("rep").alias("doc_id"))
+    _FULL = "cid long, n long, short binary, set binary"
     sets_schema = pa.schema([("cid", pa.int64()), ("n", pa.int64()), ("short", pa.binary()), ("set", pa.binary())])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,8 +301,13 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFram
                 [v.tobytes() for v in found],
             )
 
-    chosen = rows_with_ids(docs.select("doc_id", "text"), reps).select("doc_id", "text")
-    full = chosen.mapInArrow(sets, "cid long, n long, short binary, set binary").dropDuplicates(["cid"])
+    named = rows_with_ids(docs.select("doc_id", "text"), chosen.where("doc_id IS NOT NULL").select("doc_id")).select("doc_id", "text")
+    full = named.mapInArrow(sets, _FULL)
+    nameless = chosen.where("doc_id IS NULL").select("cid")
+    if not nameless.isEmpty():  # no doc_id to fetch them by: all rows without one are looked through
+        unnamed = docs.where("doc_id IS NULL").select("doc_id", "text").mapInArrow(sets, _FULL)
+        full = full.unionByName(unnamed.join(nameless, "cid", "left_semi"))
+    full = full.dropDuplicates(["cid"])
     full = stored(full, "ngram-full")
 
     def screen_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -401,29 +427,28 @@ def tree_pairs(
 def _tree_candidates(members: DataFrame, classes: DataFrame) -> DataFrame:
     """a, b: pairs of classes of different components in a bucket that the tree lets through.
 
-    ``members`` (bucket, cid, comp). A bucket is split by size first: a class is at home in its size class
+    ``members`` (bucket, cid, n, members, comp). A bucket is split by size first: a class is at home in its size class
     and a guest in the next larger one, since linked sizes differ by a third at most; parts with one component, or
     without a class at home, need no tree. Buckets are ordered by size, the largest first, and a pair that meets in
     several is looked at in the first of them, as far as the FIRST_BUCKETS first buckets of both tell.
     """
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
     most, low = (1 << 20) - 1, (1 << 43) - 1
-    place = F.shiftleft((F.lit(most) - F.least("size", F.lit(most))).cast("long"), 43).bitwiseOR(F.col("bucket").bitwiseAND(F.lit(low)))
-    placed = members.join(sizes, "bucket").withColumn("place", place)
+    place = F.shiftleft((F.lit(most) - F.least("members", F.lit(most))).cast("long"), 43).bitwiseOR(F.col("bucket").bitwiseAND(F.lit(low)))
+    placed = members.withColumn("place", place)
     first = placed.groupBy("cid").agg(F.slice(F.array_sort(F.collect_list("place")), 1, FIRST_BUCKETS).alias("first"))
     grade = F.floor(F.log("n") / F.lit(float(np.log(100 / PERCENT)))).cast("int")
-    homes = placed.join(classes.select("cid", "n"), "cid").select("bucket", "place", "cid", "comp", grade.alias("grade"))
+    homes = placed.select("bucket", "place", "cid", "n", "comp", grade.alias("grade"))
     both = F.array(
         F.struct(F.col("grade").alias("at"), F.lit(True).alias("home")), F.struct((F.col("grade") + 1).alias("at"), F.lit(False).alias("home"))
     )
-    spread = stored(homes.withColumn("g", F.explode(both)).select("bucket", "place", "cid", "comp", "g.at", "g.home"), "ngram-grades")
+    spread = stored(homes.withColumn("g", F.explode(both)).select("bucket", "place", "cid", "n", "comp", "g.at", "g.home"), "ngram-grades")
     parts = spread.groupBy("bucket", "at").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max("home").alias("lived_in"))
     parts = parts.where("lived_in AND x <> y").select("bucket", "at")
     rows = (
-        spread.join(parts, ["bucket", "at"]).join(first, "cid").join(classes.select("cid", "n", "bits"), "cid")
+        spread.join(parts, ["bucket", "at"]).join(first, "cid").join(classes.select("cid", "bits"), "cid")
         .select("place", F.when(F.col("home"), F.col("at")).otherwise(-F.col("at")).alias("at"), "cid", "comp", "n", "bits", "first")
     )
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64())])
 
     def pairs_of(group: pa.Table) -> Iterator[pa.RecordBatch]:
         home, comp = group["at"].to_numpy() >= 0, group["comp"].to_numpy()  # a guest's part has a minus
@@ -433,25 +458,27 @@ def _tree_candidates(members: DataFrame, classes: DataFrame) -> DataFrame:
         first = np.full((group.num_rows, FIRST_BUCKETS), -1, np.int64)
         for row, places in zip(first, group["first"].to_pylist()):
             row[: len(places)] = places
-        for i, j in tree_pairs(group["n"].to_numpy(), comp, group["bits"].to_pylist(), home, group["place"][0].as_py(), first):
+        n = group["n"].to_numpy().astype(np.int64)
+        for i, j in tree_pairs(n, comp, group["bits"].to_pylist(), home, group["place"][0].as_py(), first):
             if len(i):
-                yield batch(schema, np.minimum(cid[i], cid[j]), np.maximum(cid[i], cid[j]))
+                i, j = np.where(cid[i] < cid[j], i, j), np.where(cid[i] < cid[j], j, i)
+                yield batch(schema, cid[i], cid[j], n[i], n[j])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs met in several buckets of a task are given once, as far as half a million of them are held."""
         held, size = [], 0
         for b in found_in(batches):
-            held.append(np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()], axis=1))
+            held.append(np.stack([c.to_numpy() for c in b.columns], axis=1))
             size += b.num_rows
             if size > 500_000:
                 once = np.unique(np.concatenate(held), axis=0)
                 held, size = [once], len(once)
                 if size > 250_000:
-                    yield batch(schema, once[:, 0], once[:, 1])
+                    yield batch(schema, *once.T)
                     held, size = [], 0
         if held:
             once = np.unique(np.concatenate(held), axis=0)
-            yield batch(schema, once[:, 0], once[:, 1])
+            yield batch(schema, *once.T)
 
     def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -470,27 +497,12 @@ def _tree_candidates(members: DataFrame, classes: DataFrame) -> DataFrame:
 
     part = [F.col("place"), F.abs("at")]
     by_group = rows.repartition(shuffle_partitions(rows.sparkSession), *part).sortWithinPartitions(*part)
-    return by_group.mapInArrow(run, "a long, b long").distinct()
+    return by_group.mapInArrow(run, "a long, b long, n_a long, n_b long").distinct()
 
 
 # ---------------------------------------------------------------- the join
 
 
-def _stars(buckets: DataFrame, classes: DataFrame) -> DataFrame:
-    """bucket, cid, pivot, members: every member of a bucket with the one to compare it with first.
-
-    That is the member of which the largest part is shared with most others: in a group of edited copies, the text that they
-    were made from, which is more like each of them than they are like each other.
-    """
-    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
-    sized = buckets.join(sizes, "bucket")
-    weight = sized.groupBy("cid").agg(F.sum(F.col("shared") * F.col("members")).alias("met"))
-    weight = weight.join(classes.select("cid", "n"), "cid").select("cid", (F.col("met") / F.col("n")).alias("weight"))
-    weighed = sized.join(weight, "cid")
-    pivots = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "cid")).alias("best"))
-    return weighed.join(pivots, "bucket").select("bucket", "cid", F.col("best.cid").alias("pivot"), "members").where("cid <> pivot")
-
-
 def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents (doc_id, cid, n), classes (cid, n, rep, bits) and components (cid, comp)."""
     spark = docs.sparkSession
@@ -508,17 +520,17 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         "ngram-classes",
     )
     buckets = _buckets(signed)
-    findable = classes.where("rep IS NOT NULL")
-    stars = stored(_stars(buckets, findable), "ngram-stars")
-    links = stored(_verified(docs, findable, stars.select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()), "ngram-links")
+    stars = _stars(buckets)
+    pairs = stars.select(F.col("pivot").alias("a"), F.col("cid").alias("b"), F.col("pivot_n").alias("n_a"), F.col("n").alias("n_b"))
+    links = stored(_verified(docs, classes, pairs.where(_sizes_fit()).distinct()), "ngram-links")
     comps = stored(components(links), "ngram-components")
     # pairs with the pivot are done: of the other members, those of buckets with several components remain
-    open_members = stars.where("members > 2").select("bucket", "cid").join(comps, "cid", "left").select(
-        "bucket", "cid", F.coalesce("comp", "cid").alias("comp")
+    open_members = stars.where("members > 2").join(comps, "cid", "left").select(
+        "bucket", "cid", "n", "members", F.coalesce("comp", "cid").alias("comp")
     )
     mixed_buckets = open_members.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
     members = stored(open_members.join(mixed_buckets.select("bucket"), "bucket"), "ngram-open")
-    more = stored(_verified(docs, findable, _tree_candidates(members, findable)), "ngram-links")
+    more = stored(_verified(docs, classes, _tree_candidates(members, classes)), "ngram-links")
     if not more.isEmpty():
         known = comps.select(F.col("cid").alias("a"), F.col("comp").alias("b"))  # what is joined stays so
         comps = stored(components(known.unionByName(more)), "ngram-components")
@@ -545,5 +557,6 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     Rows without a doc_id stay. Rows that repeat a doc_id stay or go together; they go if none of them names its component.
     """
     named = near_duplicates(docs).groupBy("doc_id").agg(F.max(F.col("component_id") == F.col("doc_id")).alias("named"))
-    gone = named.where("NOT named").select(F.col("doc_id").alias("_gone_id"))
-    return docs.join(gone, docs["doc_id"] == F.col("_gone_id"), "left_anti")
+    gone_id = unused("gone_id", docs.columns)
+    gone = named.where("NOT named").select(F.col("doc_id").alias(gone_id))
+    return docs.join(gone, docs["doc_id"] == gone[gone_id], "left_anti")

@@ -163,6 +163,17 @@ def test_near_empty_nulls_and_repeats(spark, nothing):
     )
 
 
+def test_texts_without_a_doc_id_are_linked(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, text), (None, f"{text} x"), (9, f"{text} x y z v u t s r"), (20, "other words " * 9), (None, "no one like this one here"), (None, f"{text} x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(((r[0], r[2]) for r in got(ngram_join.near_duplicates(df))), key=str)
+    assert found == sorted([(5, 5), (9, 5), (20, 20), (None, 5), (None, 5), (None, None)], key=str)
+    chain = [(None, f"{text} {' '.join(f'v{i}' for i in range(k))}") for k in (0, 8, 16)] + [(3, f"{text} {' '.join(f'v{i}' for i in range(24))}")]
+    found = got(ngram_join.near_duplicates(spark.createDataFrame(chain, "doc_id long, text string")))
+    assert {r[2] for r in found} == {3}
+
+
 def test_threshold_is_inclusive(spark):
     # 8 words give 4 shingles; three of four shared and one more on one side only: 3 of 4
     rows = [(1, "a b c d e f g h"), (2, "a b c d e f g"), (3, "q b c d e f g h"), (4, "a b c d e x y z")]
