@@ -160,6 +160,14 @@ def rows_with_ids(docs: DataFrame, ids: DataFrame, id_column: str = "doc_id", ma
     return docs.mapInArrow(pick, docs.schema).join(ids, id_column, "left_semi")
 
 
+def rows_without(rows: DataFrame, gone: DataFrame, on, at_most: int = BROADCAST_IDS) -> DataFrame:
+    """Rows of ``rows`` that match no row of ``gone`` under the condition ``on``.
+
+    Up to ``at_most`` rows of ``gone`` (counted here) are broadcast, so the others aren't shuffled; beyond, both sides are joined by key.
+    """
+    return rows.join(F.broadcast(gone) if gone.count() <= at_most else gone, on, "left_anti")
+
+
 # ---------------------------------------------------------------- words and shingles
 
 

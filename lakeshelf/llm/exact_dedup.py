@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeshelf.llm.common import (
-    ascii_lower, batch, rows_with_ids, scratch_path, shuffle_partitions, small_batches, stored, texts_of,
+    ascii_lower, batch, rows_with_ids, rows_without, scratch_path, shuffle_partitions, small_batches, stored, texts_of,
 )
 
 #: Bits beyond log2(rows): about one false suspect in 2 ** SPARE_BITS documents.
@@ -184,6 +184,10 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     )
 
 
+#: Changed groups (an id and a digest) that are broadcast: some 20 MB.
+BROADCAST_GROUPS = 200_000
+
+
 def _packed(docs: DataFrame) -> DataFrame:
     """row (all columns, whatever their names), doc_id, digest."""
     return docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.sha2(ascii_lower(F.col("text")), 256).alias("digest"))
@@ -198,8 +202,8 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     gone = exact_groups(docs).where("NOT kept").select(
         F.col("doc_id").alias("of_id"), F.col("text_sha256").alias("of_text")
     ).distinct()
-    rows = _packed(docs)
-    return rows.join(gone, _named_by(rows, gone), "left_anti").select("row.*")
+    rows, gone = _packed(docs), stored(gone, "dedup-gone")
+    return rows_without(rows, gone, _named_by(rows, gone), BROADCAST_GROUPS).select("row.*")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
@@ -211,7 +215,7 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
         "dedup-changed",
     )
     rows = _packed(docs)
-    others = rows.join(changed, _named_by(rows, changed), "left_anti").select("row.*")
+    others = rows_without(rows, changed.select("of_id", "of_text"), _named_by(rows, changed), BROADCAST_GROUPS).select("row.*")
     repeated = changed.where("kept").select("of_id", "of_text")
     if repeated.isEmpty():
         return others

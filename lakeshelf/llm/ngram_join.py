@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeshelf.llm.common import (
-    batch, mixed, rows_with_ids, shingle_hashes, shuffle_partitions, small_batches, stored, texts_of, unused,
+    batch, mixed, rows_with_ids, rows_without, shingle_hashes, shuffle_partitions, small_batches, stored, texts_of, unused,
 )
 from lakeshelf.llm.components import components
 
@@ -558,5 +558,5 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     """
     named = near_duplicates(docs).groupBy("doc_id").agg(F.max(F.col("component_id") == F.col("doc_id")).alias("named"))
     gone_id = unused("gone_id", docs.columns)
-    gone = named.where("NOT named").select(F.col("doc_id").alias(gone_id))
-    return docs.join(gone, docs["doc_id"] == gone[gone_id], "left_anti")
+    gone = stored(named.where("NOT named").select(F.col("doc_id").alias(gone_id)), "ngram-gone")
+    return rows_without(docs, gone, docs["doc_id"] == gone[gone_id])
