@@ -43,6 +43,8 @@ _HEADER_CHUNK = 64 * 1024
 #: A header that is longer than this, because its line or its quote never ends, is none.
 _HEADER_MOST = 16 * 1024 * 1024
 _PROBE_THREADS = 32
+#: Splits that are set smaller than this share a task up to it: each task starts Python, and each split reads a buffer beyond its end.
+_TASK_BYTES = 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -266,10 +268,25 @@ def _csv_groups(spark: SparkSession, paths: list[str], options: FileOptions, bad
     return list(groups.values())
 
 
+def _bytes_of(spark: SparkSession, key: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+
+
 def _shortest_split(spark: SparkSession) -> int:
     """No split of a file is shorter than this many bytes, but the last of the file."""
-    number = lambda key: spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
-    return min(number("spark.sql.files.maxPartitionBytes"), number("spark.sql.files.openCostInBytes"))
+    return min(_bytes_of(spark, "spark.sql.files.maxPartitionBytes"), _bytes_of(spark, "spark.sql.files.openCostInBytes"))
+
+
+def _share_tasks(lines: DataFrame) -> DataFrame:
+    """Several small splits to a task, each still whole and in file order; the number of tasks grows with the input.
+
+    Splits of the usual sizes stay as they are."""
+    spark = lines.sparkSession
+    each = _TASK_BYTES // _bytes_of(spark, "spark.sql.files.maxPartitionBytes")
+    if each < 2:
+        return lines
+    splits = lines.rdd.getNumPartitions()
+    return lines.coalesce(max(-(-splits // each), min(splits, spark.sparkContext.defaultParallelism)))
 
 
 def _csv_parse_options(options: FileOptions) -> dict[str, str]:
@@ -341,7 +358,7 @@ def _read_csv_group(spark: SparkSession, group: _Group, options: FileOptions) ->
                 F.col("_metadata.file_block_length").alias("length"),
             )
         )
-        body = _drop_first_lines(lines, group.drop, group.long_heads)
+        body = _drop_first_lines(_share_tasks(lines), group.drop, group.long_heads)
         row = _from_csv(F.col("value"), schema, options)
         name = F.element_at(F.split("file", "/"), -1)
         raw = body.where(F.trim("value") != "").select(row.alias("row"), name.alias(SOURCE_FILE)).select("row.*", SOURCE_FILE)

@@ -47,6 +47,26 @@ def test_preamble_over_several_splits(spark, tmp_path, split):
             spark.conf.set(k, v)
 
 
+def test_small_splits_share_tasks(spark, tmp_path, monkeypatch):
+    preamble = "".join(f"line {i} {'y' * 90}\n" for i in range(100))
+    for name in "ab":
+        (tmp_path / f"{name}.csv").write_text(preamble + "a,b\n" + "".join(f"{name},{i:08}\n" for i in range(10_000)))
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for key, value in zip(keys, ("1k", "512")):
+            spark.conf.set(key, value)
+        read = lambda: files.read_files(spark, str(tmp_path), options=FileOptions(skip_rows=100)).select("a", "b")
+        assert read().rdd.getNumPartitions() == spark.sparkContext.defaultParallelism  # of 240 splits
+        monkeypatch.setattr(files, "_TASK_BYTES", 10 * 1024)
+        got = read()
+        assert 20 < got.rdd.getNumPartitions() < 30  # with the input's size, not at a fixed number
+        assert rows(got) == [(name, f"{i:08}") for name in "ab" for i in range(10_000)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_blank_line_between_preamble_and_header(spark, tmp_path):
     (tmp_path / "a.csv").write_text("note\n\n  \na,b\n1,2\n")
     got = files.read_files(spark, str(tmp_path), options=FileOptions(skip_rows=1)).select("a", "b")
