@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -98,16 +99,35 @@ def _one_row_each(df: DataFrame) -> DataFrame:
     return rows.where(F.col(RECORD).isNotNull())
 
 
-def _page_size(body: str, keys: Sequence[str]) -> Column:
-    """Number of records of a page, counted without parsing them: the length of the top-level list, or of what
-    the first present key holds (a null is empty, any other value is one record); else one."""
-    text = F.col(body)
-    size = F.lit(1)
+def _may_be_empty(text: Column) -> Column:
+    """False where a look at the text shows that it holds a record, without a parse: a page with none has an empty list or a null in it,
+    or a text that reads like a list (between quotes, or written with escapes)."""
+    marks = ["[]", "[ ", "[\t", "[\n", "[\r", "null", "\\", '"[', "'[", " ["]
+    return reduce(lambda a, b: a | b, [text.contains(m) for m in marks])
+
+
+def _with_empty(df: DataFrame, body: str, keys: Sequence[str]) -> DataFrame:
+    """Replace the body by ``__empty``: whether the page has no records. Those are the top-level list, or what the first
+    present key holds (a null is none, any other value is one record); else the page itself is one.
+
+    The list is only counted, its records aren't parsed; each value that several conditions look at is taken from the body once."""
+    text, others = F.col(body), [_quoted(c) for c in df.columns if c != body]
+    looked = F.when(_may_be_empty(text) | _is_list(text), text).alias("__text")
+    text = F.col("__text")
+    held = first = None
     for key in reversed(keys):
-        held = F.get_json_object(body, f"$.{key}")
-        own = F.when(held.isNull(), 0).when(_is_list(held), F.json_array_length(held)).otherwise(1)
-        size = F.when(F.array_contains(F.col("__keys"), key), own).otherwise(size)
-    return F.when(_is_list(text), F.json_array_length(text)).otherwise(size)
+        has, value = F.array_contains("__keys", key), F.get_json_object(text, f"$.{key}")
+        held = F.when(has, value) if held is None else F.when(has, value).otherwise(held)
+        first = F.when(has, True) if first is None else F.when(has, True).otherwise(first)
+    listed = F.when(_is_list(text), text).when(_is_list(F.col("__held")), F.col("__held"))
+    return (
+        df.select(*others, looked)
+        .withColumn("__keys", F.when(~_is_list(text), F.json_object_keys(text)))
+        .withColumns({"__held": held, "__first": first})
+        .withColumn("__empty", F.when(listed.isNotNull(), F.json_array_length(listed) == 0).otherwise(
+            F.coalesce(F.col("__first") & F.col("__held").isNull(), F.lit(False))))
+        .select(*others, "__empty")
+    )
 
 
 def unite_pages(
@@ -126,7 +146,7 @@ def unite_pages(
     different bodies under one number all stand. A number is empty if all of its bodies are; with ``end_at="empty body"`` one
     empty body among them is enough to end the entity there.
 
-    The first empty page comes from an aggregate over entities, page numbers and sizes; a null entity is an
+    The first empty page comes from an aggregate over entities, page numbers and whether pages are empty; a null entity is an
     entity like any other. Records are parsed only after the pages behind it are cut off, and an
     entity with very many pages is never gathered in one task.
     """
@@ -144,11 +164,11 @@ def unite_pages(
         once = once.select(*place, body, *[F.col("__more").getField(c).alias(c) for c in more]).select(*map(_quoted, wanted.columns))
     else:
         once = wanted.distinct()
-    keyed = once.withColumn("__keys", F.when(~_is_list(F.col(body)), F.json_object_keys(body)))
-    sizes = keyed.select(*place, _page_size(body, keys).alias("__size"))
+    # a body that landed twice changes no end, so the pages aren't brought together by their bodies for this
+    sizes = _with_empty(wanted.select(*place, body), body, keys)
     if end_at == "empty number":
-        sizes = sizes.groupBy(*place).agg(F.max("__size").alias("__size"))
-    ends = sizes.groupBy(*entity).agg(F.min(F.when(F.col("__size") == 0, F.col(page_no))).alias("__stop"))
+        sizes = sizes.groupBy(*place).agg(F.every("__empty").alias("__empty"))
+    ends = sizes.groupBy(*entity).agg(F.min(F.when(F.col("__empty"), F.col(page_no))).alias("__stop"))
     if entity:
         same = None
         ends = ends.withColumnsRenamed({e: f"__{e}" for e in entity})

@@ -1,5 +1,6 @@
 import gzip
 import json
+import re
 
 import pandas as pd
 import pytest
@@ -130,6 +131,27 @@ def test_pages_stop_at_the_first_empty_one(spark):
     assert payloads.missing_pages(pages.where("page_no <> 2"), ["entity"]).count() == 2
 
 
+def test_ends_are_found_without_bringing_bodies_together(spark):
+    rows = [("e", 1, '{"data":[{"r":1}]}', "b"), ("e", 1, '{"data":[{"r":1}]}', "a"), ("e", 2, '{"data":[]}', "a"), ("e", 2, '{"data":[]}', "b"),
+            ("e", 3, '{"data":[{"r":3}]}', "a"), (None, 1, '{"data":[]}', "a"), (None, 1, '{"data":[{"r":4}]}', "a"), (None, 2, '{"data":null}', "a")]
+    got = payloads.unite_pages(spark.createDataFrame(rows, "entity string, page_no int, body string, run string"), ["entity"])
+    assert records(got, "entity", "record", "run") == [("e", '{"r":1}', "a"), (None, '{"r":4}', "a")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"hashpartitioning\(entity#\w+, page_no#\w+, body#", plan)) == 1
+
+
+def test_empty_pages(spark):
+    empty = ['{"data":[]}', '{"data": [ ] }', '{"x":1,"data":[\n]}', '{"data":null}', '{"data" : "[]"}', '{"data":"[ ]"}', r'{"data":"\u005b\u005d"}', "[]", " [ ]",
+             r'{"d\u0061ta":[]}', '{"results":[],"y":[1]}', '{"data":[],"results":[1]}', '{"features":null}', "{'data':[]}"]
+    others = ['{"data":[1]}', '{"data":[null]}', '{"data":[[]]}', '{"data":{"x":[]}}', '{"data":""}', '{"data":"null"}', '{"data":0}', '{"data":{}}', "{}", "[1]", "[null]",
+              '{"items":[]}', '{"results":[1],"data":[1]}', '{"results":[],"data":[1]}', "", "null", "{bad", '{"data":[]', "\n[]", None]
+    found = {r["i"]: r["__empty"] for r in payloads._with_empty(bodies(spark, *empty, *others), "body", payloads.PAGE_KEYS).collect()}
+    assert [b for i, b in enumerate(empty) if found[i] is not True] == []
+    assert [b for i, b in enumerate(others, len(empty)) if found[i] is not False] == []
+    # a text that only begins like a list is neither, as its length isn't known
+    assert payloads._with_empty(bodies(spark, '{"data":"[abc"}', "[1"), "body", payloads.PAGE_KEYS).where("__empty IS NULL").count() == 2
+
+
 def envelope(spark, *values):
     rows = [(b"k", v, "t", 0, i) for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, "key binary, value binary, topic string, partition int, offset long")
