@@ -400,7 +400,10 @@ def stream_compacted_days(spark, sf_dir):
     table, label = "bronze_taken", "taken"
     sent = ingest.envelopes(spark, sf_dir, F.to_json(F.struct("event_id")))
     number = F.floor(F.col("offset") * 8 / (sent.agg(F.max("offset")).scalar() + 1)).cast("int")
-    batches = sent.withColumn("number", number)
+    numbered, landed = sent.withColumn("number", number), scratch_path(spark, "batches")
+    # each batch is read on its own and by all cores, also where the messages lie in the order of time
+    numbered.repartition("offset", "timestamp").write.partitionBy("number").parquet(landed)
+    batches = spark.read.schema(numbered.schema).parquet(landed)
 
     def write(lake: Lake, k: int, rows: DataFrame) -> None:
         now = F.lit(f"2024-03-0{1 + k // 2} 12:00:00").cast("timestamp")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakeshelf.operators import tables
 from lakeshelf.streaming import bronze, compaction
+from lakeshelf.workload import writes
 
 TABLE = "bronze_e"
 
@@ -105,3 +106,30 @@ def test_empty_open_table(lake, spark):
     write(lake, spark, 0, "2024-01-01")
     assert compaction.compact(lake, TABLE, date(2024, 1, 1)).batches == 0
     assert ids(lake, f"{TABLE}_all") == ids(lake) and tables.qualify(TABLE) == "bronze.bronze_e"
+
+
+def test_ordered_messages_of_a_batch_are_spread_over_tasks(spark, tmp_path, monkeypatch):
+    """The table is in the order of its ids, so a batch lies in one of its splits."""
+    ids = spark.range(0, 16_000, 1, 8).withColumnRenamed("id", "event_id")
+    ids.select("event_id", F.col("event_id").alias("user_id"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts")).write.parquet(
+        str(tmp_path / "events.parquet"))
+    spread, make = {}, bronze.batch_writer
+
+    def batch_writer(lake, table, label):
+        write = make(lake, table, label)
+
+        def counted(batch, number):
+            spread.setdefault(number, []).append([r["count"] for r in batch.groupBy(F.spark_partition_id()).count().collect()])
+            write(batch, number)
+
+        return counted
+
+    monkeypatch.setattr(bronze, "batch_writer", batch_writer)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    try:
+        got = {r["event_id"]: (r["_batch_id"], r["compacted"]) for r in writes.stream_compacted_days(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    assert got == {str(i): (f"taken_{i // 2000}", i // 2000 < 4) for i in range(16_000)}
+    assert {k: [sum(n) for n in runs] for k, runs in spread.items()} == {k: [2000] * (1 + (k == 0)) + [1000] * (k == 3) for k in range(8)}
+    assert all(max(n) < 0.6 * sum(n) for runs in spread.values() for n in runs)
